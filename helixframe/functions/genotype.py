@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from helixframe.functions.text import strtok
+from helixframe.functions.text import tokens
 
 CHROM_X, CHROM_Y, CHROM_MT = 23, 24, 25
 GENOKEY_STRIDE = 1_000_000_000
@@ -19,9 +19,14 @@ def _is_phased(gt: Column) -> Column:
     return F.contains(gt, F.lit("|"))
 
 
+def gt_tokens(gt: Column) -> Column:
+    """Strand texts of the call; one shared expression, whichever strands are read."""
+    return F.when(_is_phased(gt), tokens(gt, "|")).otherwise(tokens(gt, "/"))
+
+
 def gt_token(gt: Column, which: int) -> Column:
     """Text of one strand of the call, 1-based; NULL where the call has no such strand."""
-    return F.when(_is_phased(gt), strtok(gt, "|", which)).otherwise(strtok(gt, "/", which))
+    return F.get(gt_tokens(gt), F.lit(which - 1))
 
 
 def _alt_at(alt: Column, token: Column) -> Column:
@@ -128,7 +133,6 @@ def rebase_gt(old_alt: Column, new_alt: Column, gt: Column) -> Column:
 
 def gt_numbers(gt: Column) -> Column:
     """The call as an integer array, no-call strands as -1 (nested-call layout)."""
-    tokens = F.when(_is_phased(gt), F.split(gt, r"\|")).otherwise(F.split(gt, "/"))
     return F.transform(
-        tokens, lambda t: F.when(t == ".", F.lit(-1)).otherwise(t.try_cast("int"))
+        gt_tokens(gt), lambda t: F.when(t == ".", F.lit(-1)).otherwise(t.try_cast("int"))
     )

@@ -8,18 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-
-
-def _strand(sep: str) -> str:
-    """n-th non-empty token of ``gt`` between separators ``sep``."""
-    squeezed = f"btrim(regexp_replace(gt, '[{sep}]+', '{sep}'), '{sep}')"
-    return f"nullif(split_part({squeezed}, '{sep}', n), '')"
-
-
 SQL_FUNCTIONS = {
     "gt_token": (
         "(gt STRING, n INT) RETURNS STRING",
-        f"CASE WHEN contains(gt, '|') THEN {_strand('|')} ELSE {_strand('/')} END",
+        "get(array_remove(CASE WHEN contains(gt, '|') THEN split(gt, '[|]') "
+        "ELSE split(gt, '/') END, ''), n - 1)",
     ),
     "allele1": (
         "(ref STRING, alt ARRAY<STRING>, gt STRING) RETURNS STRING",

@@ -8,19 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def strtok(text: Column, delimiter: str, n: int | Column) -> Column:
-    """The n-th (1-based) non-empty token; NULL when there are fewer.
-
-    Empty tokens are skipped, so repeated and outer delimiters are removed first. The
-    regular expression runs only on rows that do repeat the delimiter.
-    """
-    squeezed = F.when(
-        F.contains(text, F.lit(delimiter * 2)),
-        F.regexp_replace(text, f"(?:{re.escape(delimiter)})+", delimiter.replace("\\", "\\\\")),
-    ).otherwise(text)
-    position = n if isinstance(n, Column) else F.lit(n)
-    token = F.split_part(F.btrim(squeezed, F.lit(delimiter)), F.lit(delimiter), position)
-    return F.nullif(token, F.lit(""))
+def tokens(text: Column, delimiter: str) -> Column:
+    """Non-empty tokens between literal delimiters."""
+    return F.array_remove(split_literal(text, delimiter), "")
+
+
+def strtok(text: Column, delimiter: str, n: int) -> Column:
+    """The n-th (1-based) non-empty token; NULL when there are fewer."""
+    return F.get(tokens(text, delimiter), F.lit(n - 1))
 
 
 def split_literal(text: Column, delimiter: str) -> Column:
