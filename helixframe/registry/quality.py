@@ -19,9 +19,10 @@ def _rounded(df):
 
 
 def titv_nested(spark, sf):
-    """The calls of a site held in one array column, as nested stores do."""
+    """Calls held in an array column, as nested stores do, a block of samples per row."""
     calls = src.genotypes(spark, sf).withColumn("genotype", gt_numbers(F.col("gt")))
-    nested = calls.groupBy("chrom", "pos", "ref", "alt").agg(
+    block = F.pmod(F.xxhash64("sample_id"), F.lit(16)).alias("block")
+    nested = calls.groupBy("chrom", "pos", "ref", "alt", block).agg(
         F.collect_list(F.struct("sample_id", "genotype")).alias("calls")
     )
     return _rounded(U.titv_nested(U.P.autosomes(nested)))
