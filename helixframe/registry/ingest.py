@@ -1,3 +1,397 @@
-"""x."""
-QUERIES = {}
-ORACLES = {}
+"""Readers over text files, the load rules, clustered writes and incremental runs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from helixframe.fixtures import fixture
+from helixframe.functions import fields as V
+from helixframe.operators.reshape import unpivot_samples
+from helixframe.plans.tables import gvcf_view, with_alleles
+from helixframe.registry import inputs as src
+from helixframe.registry import texts
+from helixframe.registry.inputs import check, flat
+from helixframe.session import new_scratch_path
+from helixframe.sinks import tables as K
+from helixframe.sources import vcf as S
+from helixframe.streaming import incremental as X
+
+SAMPLE_OF_PATH = r"sample_id=([^/]+)/"
+FILE_OF_PATH = r"(sample_id=[^/]+/shard=\d+)/"
+
+
+def _file():
+    return V.path_part(F.col("filename"), FILE_OF_PATH)
+
+
+def _sample():
+    return V.path_part(F.col("filename"), SAMPLE_OF_PATH)
+
+
+def scan_vcf_lines(spark, sf):
+    rows = S.scan_vcf_lines(spark, texts.gvcf_files(spark, sf))
+    return rows.select(_file().alias("file"), F.col("line").cast("bigint").alias("line"), "text")
+
+
+def scan_vcf_headers(spark, sf):
+    rows = S.scan_vcf_headers(spark, texts.gvcf_files(spark, sf), name=_sample())
+    return rows.select("vcfname", _file().alias("file"), "line", "text")
+
+
+def scan_gvcf(spark, sf):
+    rows = S.scan_gvcf(spark, texts.gvcf_files(spark, sf), sample=_sample())
+    return rows.drop("filename").withColumn("qual", F.col("qual").cast("bigint"))
+
+
+def gvcf_from_text(spark, sf):
+    """The gVCF view over files: FORMAT keys parsed on read."""
+    rows = gvcf_view(S.scan_gvcf(spark, texts.gvcf_files(spark, sf), sample=_sample()))
+    return rows.select("chrom", "pos", "end_pos", "sample_id", "gt", "dp", "gq", "min_dp", "ps", "str_times")
+
+
+def scan_vcf_sites(spark, sf):
+    return S.scan_vcf_sites(spark, texts.site_files(spark, sf)).drop("filename")
+
+
+def typed_sites(spark, sf):
+    return flat(S.typed_sites(S.scan_vcf_sites(spark, texts.site_files(spark, sf))).drop("filename", "info"))
+
+
+def scan_vcf_wide(spark, sf):
+    wide, _ = S.scan_vcf_wide(spark, texts.wide_files(spark, sf))
+    return flat(wide.select("chrom", "pos", "id", "ref", "alt", "format", "calls"))
+
+
+def unpivot(spark, sf):
+    wide, samples = S.scan_vcf_wide(spark, texts.wide_files(spark, sf))
+    long = unpivot_samples(wide, samples, ["chrom", "pos", "ref", "alt"])
+    return long.select("chrom", "pos", "ref", "alt", "sample_id", V.gt_only(F.col("call")).alias("gt"))
+
+
+def select_files(spark, sf):
+    rows = S.select_files(spark, texts.gvcf_files(spark, sf), r"sample_id=S0+[0-4]/shard=[02]/")
+    return rows.select(_file().alias("file"), "text")
+
+
+def sample_lookup(spark, sf):
+    lines = S.read_lines(spark, texts.gvcf_files(spark, sf))
+    return S.sample_lookup(lines).select(_file().alias("file"), "sample_id")
+
+
+def rows_with_sample(spark, sf):
+    """Body rows with the sample that the column line of their own file names."""
+    lines = S.read_lines(spark, texts.gvcf_files(spark, sf))
+    rows = S.with_sample(S.parse_vcf_body(lines), S.sample_lookup(lines))
+    return rows.select("sample_id", "chrom", "pos", "gt")
+
+
+def parse_vcf_body(spark, sf):
+    lines = fixture(spark, sf, "gvcf_lines_fx").select(
+        F.col("sample_id").alias("filename"), F.col("line_text").alias("text")
+    )
+    return flat(S.parse_vcf_body(lines))
+
+
+def file_parts(spark, sf):
+    lines = S.read_lines(spark, texts.gvcf_files(spark, sf)).groupBy("filename").agg(F.count("*").alias("lines"))
+    path = F.col("filename")
+    return lines.select(
+        _sample().alias("sample_id"),
+        V.path_part(path, r"shard=(\d+)/").cast("int").alias("shard"),
+        F.substring(V.file_stem(path), 1, 4).alias("stem"),
+        "lines",
+    )
+
+
+def scan_panel(spark, sf):
+    return S.scan_panel(spark, texts.panel_files(spark, sf))
+
+
+def scan_bed(spark, sf):
+    return S.scan_bed(spark, texts.bed_files(spark, sf))
+
+
+def _risky(spark, sf):
+    return fixture(spark, sf, "risky_lines_fx").withColumnRenamed("line_text", "text")
+
+
+def skip_bad_files(spark, sf):
+    good, _ = S.skip_bad_files(_risky(spark, sf))
+    return S.parse_sites(good).select("filename", "chrom", "pos", "id", "ref", "alt")
+
+
+def bad_lines(spark, sf):
+    _, bad = S.skip_bad_files(_risky(spark, sf))
+    return bad
+
+
+def incremental_ingest(spark, sf):
+    """Files arrive in two lots; three runs load each of them once."""
+    landing, target, log = (new_scratch_path(spark, n) for n in ("landing", "ingested", "load-log"))
+    lines = texts.gvcf_lines(spark, sf)
+
+    def arrive(part):
+        files = lines.where(part)
+        ordered = files.repartition("sample_id").sortWithinPartitions("sample_id", "line", "chrom", "pos")
+        ordered.select("value", "sample_id").write.partitionBy("sample_id").mode("append").text(landing)
+
+    def run():
+        X.incremental_ingest(spark, landing, target, log, lambda rows: S.parse_gvcf(rows, _sample()))
+
+    arrive(F.col("shard") < 2)
+    run()
+    arrive(F.col("shard") >= 2)
+    run()
+    run()
+    return spark.read.parquet(target).select("chrom", "pos", "end_pos", "sample_id", "gt", "vals")
+
+
+def write_clustered(spark, sf):
+    rows = src.genotypes(spark, sf)
+    path = new_scratch_path(spark, "genotypes")
+    K.write_clustered(rows, path, K.LOCUS_ORDER)
+    return flat(K.read_clustered(spark, path, rows.schema))
+
+
+def genotypes_by_sample(spark, sf):
+    rows = src.genotypes(spark, sf)
+    locus, sample = (new_scratch_path(spark, n) for n in ("by-locus", "by-sample"))
+    K.write_genotypes(rows, locus, sample)
+    return flat(K.read_clustered(spark, sample, rows.schema))
+
+
+def refresh_by_sample(spark, sf):
+    """The second copy kept up by runs after each append to the first."""
+    rows = src.genotypes(spark, sf).drop("id")
+    table, copy, log = (new_scratch_path(spark, n) for n in ("growing", "by-sample", "refresh-log"))
+    rows.where(F.col("gt") == "./.").write.parquet(table)
+    X.refresh_by_sample(spark, table, copy, log)
+    rows.where(F.col("gt") != "./.").write.mode("append").parquet(table)
+    X.refresh_by_sample(spark, table, copy, log)
+    X.refresh_by_sample(spark, table, copy, log)
+    return flat(X.read_by_sample(spark, copy))
+
+
+def genotypes_by_position(spark, sf):
+    rows = src.spans(spark, sf)
+    path = new_scratch_path(spark, "by-position")
+    K.write_clustered(rows, path, ("chrom", "pos"))
+    return flat(K.read_clustered(spark, path, rows.schema)).select(
+        "chrom", "pos", "end_pos", "ref", "alt", "sample_id", "gt", "dp", "gq"
+    )
+
+
+def materialize(spark, sf):
+    K.materialize(src.spans(spark, sf), "range_base")
+    return spark.sql("select chrom, filter, count(*) as n from range_base group by chrom, filter")
+
+
+def append_all(spark, sf):
+    """Three site sources with different columns in one table."""
+    parts = [
+        fixture(spark, sf, name).select("chrom", "pos", "ref", *extra)
+        for name, extra in (("sites_fx", ["qual"]), ("snp_fx", ["geneinfo"]), ("clinvar_fx", ["clndn"]))
+    ]
+    return K.append_all(parts)
+
+
+def overwrite_reload(spark, sf):
+    """A table loaded twice with overwrite holds the second load only."""
+    path = new_scratch_path(spark, "reload")
+    src.panel(spark, sf).write.mode("overwrite").parquet(path)
+    src.panel(spark, sf).where(F.col("gender") == "male").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def variants_flattened(spark, sf):
+    K.create_view(src.alleles(spark, sf), "alleles_view")
+    return flat(spark.sql("select chrom, pos, id, ref, alt, alt_allele_id, alt_allele, af from alleles_view"))
+
+
+def flattened_from_text(spark, sf):
+    """Sites read from text, INFO parsed by the header, flattened to alleles."""
+    from helixframe.operators.info import parse_info
+    from helixframe.plans.tables import variants_flattened as flatten
+    from helixframe.registry.scalars import dictionary
+
+    sites = S.typed_sites(S.scan_vcf_sites(spark, texts.site_files(spark, sf)))
+    return flatten(parse_info(sites, dictionary(spark))).select(
+        "chrom", "pos", "ref", "alt_allele_id", "alt_allele", "ac", "af"
+    )
+
+
+def genotypes_from_text(spark, sf):
+    """Wide text to decoded long genotypes, written by locus and read back."""
+    wide, samples = S.scan_vcf_wide(spark, texts.wide_files(spark, sf))
+    long = unpivot_samples(wide, samples, ["chrom", "pos", "ref", "alt"])
+    rows = with_alleles(
+        long.select(
+            "chrom", "pos", "ref", F.split("alt", ",").alias("alt"), "sample_id",
+            V.gt_only(F.col("call")).alias("gt"),
+        )
+    )
+    path = new_scratch_path(spark, "loaded-genotypes")
+    K.write_clustered(rows, path, K.LOCUS_ORDER)
+    stored = K.read_clustered(spark, path, rows.schema)
+    return stored.groupBy("chrom", "pos", "ref", "gt", "allele1", "allele2").agg(F.count("*").alias("n"))
+
+
+def duplicate_keys(spark, sf):
+    """Rows that repeat a declared key: (part, supplier) of the raw line items."""
+    spark.read.parquet(f"{sf}/lineitem.parquet").createOrReplaceTempView("lineitem")
+    return K.duplicate_keys(spark.table("lineitem"), ["l_partkey", "l_suppkey"])
+
+
+QUERIES = {
+    "scan_vcf_lines": scan_vcf_lines,
+    "scan_vcf_headers": scan_vcf_headers,
+    "scan_gvcf": scan_gvcf,
+    "gvcf_view": gvcf_from_text,
+    "scan_vcf_sites": scan_vcf_sites,
+    "typed_sites": typed_sites,
+    "scan_vcf_wide": scan_vcf_wide,
+    "unpivot_samples": unpivot,
+    "select_files": select_files,
+    "sample_lookup": sample_lookup,
+    "rows_with_sample": rows_with_sample,
+    "parse_vcf_body": parse_vcf_body,
+    "file_parts": file_parts,
+    "scan_panel": scan_panel,
+    "scan_bed": scan_bed,
+    "skip_bad_files": skip_bad_files,
+    "bad_lines": bad_lines,
+    "incremental_ingest": incremental_ingest,
+    "write_clustered": write_clustered,
+    "genotypes_by_sample": genotypes_by_sample,
+    "refresh_by_sample": refresh_by_sample,
+    "genotypes_by_position": genotypes_by_position,
+    "materialize": materialize,
+    "append_all": append_all,
+    "overwrite_reload": overwrite_reload,
+    "variants_flattened": variants_flattened,
+    "flattened_from_text": flattened_from_text,
+    "genotypes_from_text": genotypes_from_text,
+    "duplicate_keys": duplicate_keys,
+}
+
+_FILE = "'sample_id='||sample_id||'/shard='||shard"
+_FILES = "select distinct sample_id, shard from gvcf_lines_fx"
+_LINES = (
+    "select sample_id, shard, line, '' as chrom, 0 as pos, line_text from headers_fx "
+    "join files using (sample_id) union all "
+    "select sample_id, shard, 99, chrom, pos, line_text from gvcf_lines_fx"
+)
+_WIDE = (
+    "select v.chrom, v.pos, v.id, v.ref, v.alt_string as alt, p.sample_id, "
+    "coalesce(g.gt,'./.') as gt from variants_fx v join panel_fx p "
+    "on v.chrom<>'Y' or p.gender='male' left join genotypes_fx g on g.chrom=v.chrom "
+    "and g.pos=v.pos and g.sample_id=p.sample_id"
+)
+_GENO = (
+    "select chrom, pos, replace(id,';',',') as id, ref, alt_string as alt, sample_id, gt, allele1, "
+    "allele2 from geno"
+)
+_RISKY = (
+    "select filename, split_part(line_text,chr(9),1) as chrom, try_cast(split_part(line_text,chr(9),2)"
+    " as int) as pos, split_part(line_text,chr(9),3) as id, split_part(line_text,chr(9),4) as ref, "
+    "split_part(line_text,chr(9),5) as alt from risky_lines_fx"
+)
+
+ORACLES = {
+    "scan_vcf_lines": check(
+        f"select {_FILE} as file, row_number() over (partition by sample_id, shard "
+        "order by line, chrom, pos) as line, line_text as text from all_lines",
+        files=_FILES,
+        all_lines=_LINES,
+    ),
+    "scan_vcf_headers": check(
+        f"select sample_id as vcfname, {_FILE} as file, line, line_text as text from headers_fx "
+        "join files using (sample_id)",
+        files=_FILES,
+    ),
+    "scan_gvcf": check(
+        "select chrom, pos, end_pos, cast(null as varchar) as id, ref, alt_string, "
+        "cast(null as bigint) as qual, filter, '.' as info, sample_id, format, gt, vals from spans"
+    ),
+    "gvcf_view": check(
+        "select chrom, pos, end_pos, sample_id, gt, dp, gq, min_dp, cast(null as int) as ps, "
+        "cast(null as double) as str_times from spans"
+    ),
+    "scan_vcf_sites": check(
+        "select chrom, pos, id, ref, alt_string as alt, qual, filter, info from sites_fx"
+    ),
+    "typed_sites": check(
+        "select chrom, pos, replace(id,';',',') as id, ref, alt_string as alt, "
+        "cast(qual as bigint) as qual, filter from sites_fx"
+    ),
+    "scan_vcf_wide": check(
+        "select chrom, pos, id, ref, alt, 'GT' as format, string_agg(gt, ',' order by sample_id) "
+        "as calls from wide group by all",
+        wide=_WIDE,
+    ),
+    "unpivot_samples": check("select chrom, pos, ref, alt, sample_id, gt from wide", wide=_WIDE),
+    "select_files": check(
+        f"select {_FILE} as file, line_text as text from all_lines where "
+        "regexp_matches(sample_id,'^S0+[0-4]$') and shard in (0, 2)",
+        files=_FILES,
+        all_lines=_LINES,
+    ),
+    "sample_lookup": check(f"select {_FILE} as file, sample_id from files", files=_FILES),
+    "rows_with_sample": check("select sample_id, chrom, pos, gt from spans"),
+    "parse_vcf_body": check(
+        "select chrom, pos, cast(null as varchar) as id, ref, alt_string as alt, "
+        "cast(null as varchar) as qual, filter, cast(null as varchar) as info, format, gt, "
+        "sample_id as filename from spans"
+    ),
+    "file_parts": check(
+        "select sample_id, shard, 'part' as stem, count(*) as lines from all_lines "
+        "group by sample_id, shard",
+        files=_FILES,
+        all_lines=_LINES,
+    ),
+    "scan_panel": check("select * from panel_fx"),
+    "scan_bed": check("select * from bed_fx"),
+    "skip_bad_files": check(
+        "select * from risky where filename not in (select filename from risky where pos is null)",
+        risky=_RISKY,
+    ),
+    "bad_lines": check(
+        "select filename, line_text as text from risky_lines_fx where "
+        "try_cast(split_part(line_text,chr(9),2) as int) is null"
+    ),
+    "incremental_ingest": check("select chrom, pos, end_pos, sample_id, gt, vals from spans"),
+    "write_clustered": check(_GENO),
+    "genotypes_by_sample": check(_GENO),
+    "refresh_by_sample": check(
+        "select chrom, pos, ref, alt_string as alt, sample_id, gt, allele1, allele2 from geno"
+    ),
+    "genotypes_by_position": check(
+        "select chrom, pos, end_pos, ref, alt_string as alt, sample_id, gt, dp, gq from spans"
+    ),
+    "materialize": check("select chrom, filter, count(*) as n from gvcf_fx group by chrom, filter"),
+    "append_all": check(
+        "select chrom, pos, ref, qual, null as geneinfo, null as clndn from sites_fx union all "
+        "select chrom, pos, ref, null, geneinfo, null from snp_fx union all "
+        "select chrom, pos, ref, null, null, clndn from clinvar_fx"
+    ),
+    "overwrite_reload": check("select * from panel_fx where gender='male'"),
+    "variants_flattened": check(
+        "select chrom, pos, replace(id,';',',') as id, ref, alt_string as alt, alt_allele_id, "
+        "alt_allele, af from flat"
+    ),
+    "flattened_from_text": check(
+        "select f.chrom, f.pos, f.ref, f.alt_allele_id, f.alt_allele, cast(split_part("
+        "regexp_extract(s.info,'AC=([^;]*)',1),',',f.alt_allele_id+1) as bigint) as ac, f.af "
+        "from flat f join sites_fx s on f.chrom=s.chrom and f.pos=s.pos"
+    ),
+    "genotypes_from_text": check(
+        "select chrom, pos, ref, gt, allele1, allele2, count(*) as n from (select w.*, "
+        + src.allele_sql(1, "ref", "alt") + " as allele1, " + src.allele_sql(2, "ref", "alt")
+        + " as allele2 from wide w) d group by all",
+        wide=_WIDE,
+    ),
+    "duplicate_keys": (
+        "select l_partkey, l_suppkey, count(*) as copies from lineitem "
+        "group by l_partkey, l_suppkey having count(*)>1"
+    ),
+}
