@@ -34,19 +34,19 @@ def _alt_at(alt: Column, token: Column) -> Column:
     return F.get(alt, token.try_cast("int") - F.lit(1))
 
 
-def allele(ref: Column, alt: Column, gt: Column, which: int) -> Column:
-    token = gt_token(gt, which)
+def token_allele(ref: Column, alt: Column, token: Column) -> Column:
+    """Allele a strand text stands for: REF for ``0``, else the ALT it numbers."""
     return F.when(token == "0", ref).otherwise(_alt_at(alt, token))
 
 
 def allele1(ref: Column, alt: Column, gt: Column) -> Column:
     """Spelled-out first allele."""
-    return allele(ref, alt, gt, 1)
+    return token_allele(ref, alt, gt_token(gt, 1))
 
 
 def allele2(ref: Column, alt: Column, gt: Column) -> Column:
     """Spelled-out second allele; NULL for haploid calls."""
-    return allele(ref, alt, gt, 2)
+    return token_allele(ref, alt, gt_token(gt, 2))
 
 
 def allele_position(gt: Column, which: int) -> Column:
@@ -110,25 +110,38 @@ def genokey(chrom: Column, pos: Column) -> Column:
     return number.cast("long") * F.lit(GENOKEY_STRIDE).cast("long") + pos
 
 
+def rebased_index(old_alt: Column, new_alt: Column, token: Column) -> Column:
+    """1-based place in ``new_alt`` of the allele a strand text numbers in ``old_alt``.
+
+    NULL for no-calls, 0 for alleles that ``new_alt`` lacks.
+    """
+    return F.array_position(new_alt, _alt_at(old_alt, token))
+
+
+def rebased_token(token: Column, index: Column) -> Column:
+    """Strand text for a new index: ``0`` stays, unknown alleles become ``.``."""
+    return F.when(token == "0", F.lit("0")).otherwise(
+        F.coalesce(F.nullif(index, F.lit(0)).cast("string"), F.lit("."))
+    )
+
+
+def join_strands(gt: Column, first: Column, second: Column) -> Column:
+    """Two strand texts with the separator of ``gt``; the first alone where it has none."""
+    separator = F.when(_is_phased(gt), F.lit("|")).otherwise(F.lit("/"))
+    paired = _is_phased(gt) | F.contains(gt, F.lit("/"))
+    return F.concat(first, F.when(paired, F.concat(separator, second)).otherwise(F.lit("")))
+
+
 def rebase_gt(old_alt: Column, new_alt: Column, gt: Column) -> Column:
     """Re-encode a call that indexes ``old_alt`` so that it indexes ``new_alt``.
 
     Alleles that ``new_alt`` lacks, and no-calls, become ``.``; the separator is kept.
     """
-
-    def recode(which: int) -> Column:
-        token = gt_token(gt, which)
-        found = F.array_position(new_alt, _alt_at(old_alt, token))
-        return F.when(token == "0", F.lit("0")).otherwise(
-            F.coalesce(F.nullif(found, F.lit(0)).cast("string"), F.lit("."))
-        )
-
-    second = (
-        F.when(_is_phased(gt), F.concat(F.lit("|"), recode(2)))
-        .when(F.contains(gt, F.lit("/")), F.concat(F.lit("/"), recode(2)))
-        .otherwise(F.lit(""))
-    )
-    return F.concat(recode(1), second)
+    strands = [
+        rebased_token(token, rebased_index(old_alt, new_alt, token))
+        for token in (gt_token(gt, 1), gt_token(gt, 2))
+    ]
+    return join_strands(gt, *strands)
 
 
 def gt_numbers(gt: Column) -> Column:

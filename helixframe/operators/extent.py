@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from helixframe.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, row_bytes
 
 MAX_CONTIGS = 4096
-MAX_CONTIG_FILTERS = 64
+MAX_CONTIG_NAMES = 64
+MAX_CONTIG_RANGES = 4
 
 
 @dataclass(frozen=True)
@@ -34,16 +35,22 @@ class Extent:
         )
 
     def near(self, df: DataFrame, chrom: str, start: str, end: str) -> DataFrame:
-        """Rows of ``df`` whose [start, end] can meet this extent; drops no other row."""
+        """Rows of ``df`` whose [start, end] can meet this extent; drops no other row.
+
+        Few contigs get a position range each, more of them share one: a test per contig
+        and row would cost more than it saves.
+        """
         if self.contigs is None:
             return df
         if not self.contigs:
             return df.where(F.lit(False))
         lo, hi = min(c[1] for c in self.contigs), max(c[2] for c in self.contigs)
         df = df.where((F.col(start) <= hi) & (F.col(end) >= lo))
-        if len(self.contigs) > MAX_CONTIG_FILTERS:
+        if len(self.contigs) > MAX_CONTIG_NAMES:
             return df
         df = df.where(F.col(chrom).isin([name for name, _, _ in self.contigs]))
+        if not 1 < len(self.contigs) <= MAX_CONTIG_RANGES:
+            return df
         return df.where(
             reduce(
                 lambda a, b: a | b,

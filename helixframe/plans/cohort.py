@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.functions import genotype as G
 from helixframe.operators import predicates as P
 from helixframe.operators.extent import Extent, measure
 from helixframe.operators.intervals import bed_positions, point_in_span_join, span_in_span_join
 from helixframe.operators.reshape import flatten_alts, pivot_samples
+from helixframe.plans.tables import decode_calls, rebase_calls
 from helixframe.sinks.tables import written
 
 SPAN_KEYS = ("chrom", "pos", "end_pos")
@@ -50,8 +50,7 @@ def genotypes_at_nonref_sites(
     """
     needed = spans.select(*SPAN_KEYS, "sample_id", "alt", "filter", "gt", "dp", "gq", "min_dp")
     pairs = span_in_span_join(_written_sites(spans, chrom, start, end), needed)
-    ref, alt, gt = F.col("p_ref"), F.col("s_alt"), F.col("s_gt")
-    return pairs.select(
+    return decode_calls(pairs, "p_ref", "s_alt", "s_gt").select(
         F.col("s_sample_id").alias("sample_id"),
         F.col("p_chrom").alias("chrom"),
         F.col("p_pos").alias("pos"),
@@ -59,9 +58,9 @@ def genotypes_at_nonref_sites(
         F.col("s_filter").alias("filter"),
         F.col("s_pos").alias("gpos"),
         F.col("s_end_pos").alias("gend"),
-        gt.alias("gt"),
-        G.allele1(ref, alt, gt).alias("allele1"),
-        G.allele2(ref, alt, gt).alias("allele2"),
+        F.col("s_gt").alias("gt"),
+        "allele1",
+        "allele2",
         F.col("s_dp").alias("dp"),
         F.col("s_gq").alias("gq"),
         F.col("s_min_dp").alias("min_dp"),
@@ -94,14 +93,13 @@ def genotype_counts_at_sites(
     extent = measure(sites, "chrom", "pos", "pos")
     counted = _counted(spans, [*SPAN_KEYS, "alt", "gt"], extent)
     pairs = span_in_span_join(sites, counted, extent=extent)
-    ref, alt, gt = F.col("p_ref"), F.col("s_alt"), F.col("s_gt")
-    decoded = pairs.select(
+    decoded = decode_calls(pairs, "p_ref", "s_alt", "s_gt").select(
         F.col("p_chrom").alias("chrom"),
         F.col("p_pos").alias("pos"),
-        ref.alias("ref"),
-        G.allele1(ref, alt, gt).alias("allele1"),
-        G.allele2(ref, alt, gt).alias("allele2"),
-        gt.alias("gt"),
+        F.col("p_ref").alias("ref"),
+        "allele1",
+        "allele2",
+        F.col("s_gt").alias("gt"),
         F.col("s_n").alias("n"),
     )
     return (
@@ -129,17 +127,13 @@ def alt_union(
     )
 
 
-def vcf_value(
-    old_alt: Column, new_alt: Column, gt: Column, dp: Column, gq: Column, min_dp: Column, ft: Column
-) -> Column:
-    """A GT:DP:GQ:MIN_DP:FT sample column with GT rebased to ``new_alt``."""
+def vcf_value(gt: Column, dp: Column, gq: Column, min_dp: Column, ft: Column) -> Column:
+    """A GT:DP:GQ:MIN_DP:FT sample column."""
 
     def shown(value: Column) -> Column:
         return F.coalesce(value.cast("string"), F.lit("."))
 
-    return F.concat_ws(
-        ":", G.rebase_gt(old_alt, new_alt, gt), shown(dp), shown(gq), shown(min_dp), shown(ft)
-    )
+    return F.concat_ws(":", gt, shown(dp), shown(gq), shown(min_dp), shown(ft))
 
 
 RECORD_COLUMNS = ("chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", "format")
@@ -163,10 +157,9 @@ def vcf_records(
     outer = spans.select(*SPAN_KEYS, "sample_id", "alt", "gt", "dp", "gq", "min_dp", "filter")
     pairs = span_in_span_join(written(sites, "record_sites"), outer)
     value = vcf_value(
-        F.col("s_alt"), F.col("p_alt"), F.col("s_gt"), F.col("s_dp"), F.col("s_gq"),
-        F.col("s_min_dp"), F.col("s_filter"),
+        F.col("gt"), F.col("s_dp"), F.col("s_gq"), F.col("s_min_dp"), F.col("s_filter")
     )
-    return pairs.select(
+    return rebase_calls(pairs, "s_alt", "p_alt", "s_gt", "gt").select(
         F.col("p_chrom").alias("chrom"),
         F.col("p_pos").alias("pos"),
         F.col("p_id").alias("id"),
@@ -240,12 +233,12 @@ def _span_calls(spans: DataFrame, loci: DataFrame, extra: str, **options) -> Dat
         spans.select(*SPAN_KEYS, "alt", "gt", extra),
         **options,
     )
-    return pairs.select(
+    return rebase_calls(pairs, "s_alt", "p_alt", "s_gt", "gt").select(
         F.col("p_chrom").alias("chrom"),
         F.col("p_pos").alias("pos"),
         F.col("p_ref").alias("ref"),
         F.col("p_alt_string").alias("alt_string"),
-        G.rebase_gt(F.col("s_alt"), F.col("p_alt"), F.col("s_gt")).alias("gt"),
+        "gt",
         F.col(f"s_{extra}").alias(extra),
     )
 
@@ -257,12 +250,12 @@ LIST_PARTS = 32
 def sample_lists(calls: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Count and ordered, comma-joined sample list per key.
 
-    Samples are first listed in parts, so a frequent call (the reference, mostly) is
-    gathered by many tasks and only the part lists meet. The list itself is the value of
-    one result row and as long as that row's samples.
+    Samples are first listed in parts, by the partition a row comes from, so a frequent
+    call (the reference, mostly) is gathered by many tasks and only the part lists meet.
+    The list itself is the value of one result row and as long as that row's samples.
     """
-    part = F.pmod(F.xxhash64("sample_id"), F.lit(LIST_PARTS))
-    parts = calls.groupBy(*keys, part.alias("__part")).agg(
+    parted = calls.withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(LIST_PARTS)))
+    parts = parted.groupBy(*keys, "__part").agg(
         F.collect_list("sample_id").alias("__samples"), F.count(F.lit(1)).alias("__n")
     )
     return parts.groupBy(*keys).agg(
@@ -274,9 +267,10 @@ def sample_lists(calls: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 def cohort_calls(spans: DataFrame, loci: DataFrame) -> DataFrame:
     """Calls at the cohort's loci: count and the ordered list of samples.
 
+    A table to be written, so it is left unsorted: ``write_clustered`` orders it.
     ``compute_variant_counts`` gives the counts alone.
     """
-    return sample_lists(_span_calls(spans, loci, "sample_id"), CALL_KEYS).orderBy("chrom", "pos")
+    return sample_lists(_span_calls(spans, loci, "sample_id"), CALL_KEYS)
 
 
 def compute_variant_counts(spans: DataFrame, loci: DataFrame) -> DataFrame:
@@ -284,7 +278,7 @@ def compute_variant_counts(spans: DataFrame, loci: DataFrame) -> DataFrame:
     extent = measure(loci, "chrom", "pos", "pos")
     counted = _counted(spans, [*SPAN_KEYS, "alt", "gt"], extent)
     calls = _span_calls(counted, loci, "n", extent=extent)
-    return calls.groupBy(*CALL_KEYS).agg(F.sum("n").alias("cnt")).orderBy("chrom", "pos")
+    return calls.groupBy(*CALL_KEYS).agg(F.sum("n").alias("cnt"))
 
 
 def samples_by_genotype(calls: DataFrame) -> DataFrame:
@@ -339,14 +333,13 @@ def pgx_calls(spans: DataFrame, loci: DataFrame) -> DataFrame:
     pairs = point_in_span_join(
         loci.select("chrom", "pos", "ref"), spans.select(*SPAN_KEYS, "alt", "gt", "sample_id")
     )
-    ref, alt, gt = F.col("p_ref"), F.col("s_alt"), F.col("s_gt")
-    return pairs.select(
+    return decode_calls(pairs, "p_ref", "s_alt", "s_gt").select(
         F.col("s_sample_id").alias("sample_id"),
         F.col("p_chrom").alias("chrom"),
         F.col("p_pos").alias("pos"),
-        ref.alias("ref"),
-        G.allele1(ref, alt, gt).alias("allele1"),
-        G.allele2(ref, alt, gt).alias("allele2"),
+        F.col("p_ref").alias("ref"),
+        "allele1",
+        "allele2",
     )
 
 

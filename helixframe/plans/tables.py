@@ -19,11 +19,45 @@ FORMAT_TEXTS = ("VAR_TYPE", "VAR_CONTEXT")
 FORMAT_DOUBLES = ("STR_TIMES",)
 
 
+def _with_tokens(calls: DataFrame, gt: str) -> DataFrame:
+    """The call's strand texts as columns, so that later expressions do not split it again.
+
+    The optimizer keeps the projections apart because the columns are used repeatedly.
+    """
+    split = calls.withColumn("__tokens", G.gt_tokens(F.col(gt)))
+    return split.withColumns(
+        {f"__token{n}": F.get("__tokens", F.lit(n - 1)) for n in (1, 2)}
+    ).drop("__tokens")
+
+
+def decode_calls(
+    calls: DataFrame, ref: str = "ref", alt: str = "alt", gt: str = "gt"
+) -> DataFrame:
+    """Calls with both alleles spelled out as ``allele1`` and ``allele2``."""
+    ref_col, alt_col = F.col(ref), F.col(alt)
+    return _with_tokens(calls, gt).withColumns(
+        {f"allele{n}": G.token_allele(ref_col, alt_col, F.col(f"__token{n}")) for n in (1, 2)}
+    ).drop("__token1", "__token2")
+
+
 def with_alleles(genotypes: DataFrame) -> DataFrame:
     """Genotypes with both alleles spelled out."""
-    ref, alt, gt = F.col("ref"), F.col("alt"), F.col("gt")
-    return genotypes.withColumns(
-        {"allele1": G.allele1(ref, alt, gt), "allele2": G.allele2(ref, alt, gt)}
+    return decode_calls(genotypes)
+
+
+def rebase_calls(
+    calls: DataFrame, old_alt: str, new_alt: str, gt: str, out: str
+) -> DataFrame:
+    """Calls with GT re-encoded from one ALT list to another, as the column ``out``."""
+    indexed = _with_tokens(calls, gt).withColumns(
+        {
+            f"__index{n}": G.rebased_index(F.col(old_alt), F.col(new_alt), F.col(f"__token{n}"))
+            for n in (1, 2)
+        }
+    )
+    strands = [G.rebased_token(F.col(f"__token{n}"), F.col(f"__index{n}")) for n in (1, 2)]
+    return indexed.withColumn(out, G.join_strands(F.col(gt), *strands)).drop(
+        "__token1", "__token2", "__index1", "__index2"
     )
 
 
