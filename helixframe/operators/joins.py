@@ -70,14 +70,19 @@ def join_variant_genotype(alleles: DataFrame, genotypes: DataFrame) -> DataFrame
     return joined.select("v.*", *[F.col(f"g.{c}").alias(c) for c in extra])
 
 
-def only_at(rows: DataFrame, loci: DataFrame, keys) -> DataFrame:
+def only_at(
+    rows: DataFrame, loci: DataFrame, keys, known_small: bool | None = None
+) -> DataFrame:
     """Drop rows at other loci where the loci are few enough to broadcast.
 
     A saving only: the callers join by the same keys later. Many loci would need a shuffle
     of every row, which counting rows first makes unnecessary, so then nothing happens here.
+    ``known_small`` carries the outcome of a size check already made.
     """
     keyed = loci.select(*keys).distinct()
-    marked, is_small = broadcast_if_small(keyed)
+    marked, is_small = (
+        broadcast_if_small(keyed) if known_small is None else (F.broadcast(keyed), known_small)
+    )
     return rows.join(marked, list(keys), "left_semi") if is_small else rows
 
 

@@ -20,9 +20,16 @@ def unpivot_samples(wide: DataFrame, samples: DataFrame, keep: list[str]) -> Dat
 
     ``samples`` has one row per file: ``filename`` and ``samples``, the names of its
     ``#CHROM`` line in column order. The names join per file before the rows multiply, so
-    only wide rows meet them and any number of samples gives the same small plan.
+    only wide rows meet them and any number of samples gives the same small plan. Files
+    share few column layouts, so a file is linked to its layout by a digest and each
+    layout's names are kept once.
     """
-    named = wide.join(small(samples.select("filename", "samples")), "filename")
+    keyed = samples.select(
+        "filename", F.sha2(F.array_join("samples", "\t"), 256).alias("__layout"), "samples"
+    )
+    files = keyed.select("filename", "__layout")
+    layouts = keyed.groupBy("__layout").agg(F.first("samples").alias("samples"))
+    named = wide.join(small(files), "filename").join(small(layouts), "__layout")
     cells = named.select(
         *keep, F.explode(F.arrays_zip(F.col("samples"), F.col("calls"))).alias("cell")
     )

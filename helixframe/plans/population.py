@@ -192,7 +192,8 @@ def interval_allele_frequency(
     in_region = written(in_region, "alleles_in_region")
     extent = measure(in_region, "chrom", "pos", "pos")
     near = extent.near(genotypes, "chrom", "pos", "pos")
-    counts = J.genotype_counts(J.only_at(near, in_region, J.SITE_KEYS))
+    at_sites = J.only_at(near, in_region, J.SITE_KEYS, extent.is_small())
+    counts = J.genotype_counts(at_sites)
     group = ["chrom", "pos", "ref", "alt", "alt_allele", "gene", "af"]
     totals = J.allele_totals(in_region, counts, group)
     annotated = J.annotate_snp(totals, extent.near(snp, "chrom", "pos", "pos"))
@@ -211,8 +212,9 @@ def gene_rare_variants(
     keys: list[Column] = [F.col(f"a.{c}") == F.col(f"s.{c}") for c in ("chrom", "pos", "alt")]
     chosen = infrequent.alias("a").join(small(listed).alias("s"), keys).select("a.*", "s.geneinfo")
     chosen = written(chosen, "gene_alleles")
-    near = measure(chosen, "chrom", "pos", "pos").near(genotypes, "chrom", "pos", "pos")
-    counts = J.genotype_counts(J.only_at(near, chosen, J.SITE_KEYS))
+    extent = measure(chosen, "chrom", "pos", "pos")
+    near = extent.near(genotypes, "chrom", "pos", "pos")
+    counts = J.genotype_counts(J.only_at(near, chosen, J.SITE_KEYS, extent.is_small()))
     group = ["chrom", "pos", "ref", "alt", "alt_allele", "af", "geneinfo", "id"]
     return J.allele_totals(chosen, counts, group)
 

@@ -6,11 +6,15 @@ from pyspark.sql import functions as F
 
 from helixframe.fixtures import fixture
 from helixframe.functions import fields as V
+from helixframe.operators.info import parse_info
 from helixframe.operators.reshape import unpivot_samples
+from helixframe.plans import loading as L
 from helixframe.plans.tables import gvcf_view, with_alleles
+from helixframe.plans.tables import variants_flattened as flatten_sites
 from helixframe.registry import inputs as src
 from helixframe.registry import texts
 from helixframe.registry.inputs import check, flat
+from helixframe.registry.scalars import dictionary
 from helixframe.session import new_scratch_path
 from helixframe.sinks import tables as K
 from helixframe.sources import vcf as S
@@ -210,12 +214,8 @@ def variants_flattened(spark, sf):
 
 def flattened_from_text(spark, sf):
     """Sites read from text, INFO parsed by the header, flattened to alleles."""
-    from helixframe.operators.info import parse_info
-    from helixframe.plans.tables import variants_flattened as flatten
-    from helixframe.registry.scalars import dictionary
-
     sites = S.typed_sites(S.scan_vcf_sites(spark, texts.site_files(spark, sf)))
-    return flatten(parse_info(sites, dictionary(spark))).select(
+    return flatten_sites(parse_info(sites, dictionary(spark))).select(
         "chrom", "pos", "ref", "alt_allele_id", "alt_allele", "ac", "af"
     )
 
@@ -236,6 +236,43 @@ def genotypes_from_text(spark, sf):
     return stored.groupBy("chrom", "pos", "ref", "gt", "allele1", "allele2").agg(F.count("*").alias("n"))
 
 
+def _loaded(name):
+    """A fresh output folder of a load."""
+    return lambda spark: new_scratch_path(spark, name)
+
+
+def load_sites(spark, sf):
+    sites = L.load_sites(spark, texts.site_files(spark, sf), _loaded("site-load")(spark))
+    return sites.select(
+        "chrom", "pos", F.array_join("id", ";").alias("id"), "ref", F.array_join("alt", ",").alias("alt"),
+        "qual", "filter", F.get("info.AF", F.lit(0)).alias("af0"), F.col("info.AN").alias("an"),
+        F.coalesce("info.DB", F.lit(False)).alias("db"),
+    )
+
+
+def load_genotypes(spark, sf):
+    """The by-sample copy of a load from multi-sample text."""
+    _, by_sample = L.load_genotypes(spark, texts.wide_files(spark, sf), _loaded("wide-load")(spark))
+    return flat(by_sample)
+
+
+def load_gvcf(spark, sf):
+    _, by_position = L.load_gvcf(
+        spark, texts.gvcf_files(spark, sf), _loaded("gvcf-load")(spark), sample=_sample()
+    )
+    return flat(by_position).select("chrom", "pos", "end_pos", "ref", "alt", "sample_id", "gt", "dp", "gq", "min_dp")
+
+
+def load_single_sample(spark, sf):
+    rows = L.load_single_sample(spark, texts.gvcf_files(spark, sf), _loaded("single-load")(spark))
+    return flat(rows.drop("info")).withColumn("filename", _sample())
+
+
+def load_headers(spark, sf):
+    rows = L.load_headers(spark, texts.gvcf_files(spark, sf), _loaded("headers")(spark), _sample())
+    return rows.groupBy("line", "text").agg(F.count("*").alias("files"))
+
+
 def duplicate_keys(spark, sf):
     """Rows that repeat a declared key: (part, supplier) of the raw line items."""
     spark.read.parquet(f"{sf}/lineitem.parquet").createOrReplaceTempView("lineitem")
@@ -271,6 +308,11 @@ QUERIES = {
     "variants_flattened": variants_flattened,
     "flattened_from_text": flattened_from_text,
     "genotypes_from_text": genotypes_from_text,
+    "load_sites": load_sites,
+    "load_genotypes": load_genotypes,
+    "load_gvcf": load_gvcf,
+    "load_single_sample": load_single_sample,
+    "load_headers": load_headers,
     "duplicate_keys": duplicate_keys,
 }
 
@@ -390,6 +432,29 @@ ORACLES = {
         + " as allele2 from wide w) d group by all",
         wide=_WIDE,
     ),
+    "load_sites": check(
+        "select chrom, pos, id, ref, alt_string as alt, cast(qual as bigint) as qual, filter, "
+        "cast(split_part(af_string,',',1) as double) as af0, cast(regexp_extract(info,'AN=([0-9]+)',1)"
+        " as bigint) as an, contains(info,';DB;') as db from sites_fx"
+    ),
+    "load_genotypes": check(
+        "select chrom, pos, replace(id,';',',') as id, ref, alt, sample_id, gt, "
+        + src.allele_sql(1, "ref", "alt") + " as allele1, " + src.allele_sql(2, "ref", "alt")
+        + " as allele2 from wide",
+        wide=_WIDE,
+    ),
+    "load_gvcf": check(
+        "select chrom, pos, end_pos, ref, alt_string as alt, sample_id, gt, dp, gq, min_dp from spans"
+    ),
+    "load_single_sample": check(
+        "select chrom, pos, cast(null as varchar) as id, ref, alt_string as alt, "
+        "cast(null as bigint) as qual, filter, format, gt, sample_id as filename from spans"
+    ),
+    "load_headers": check(
+        "select line, line_text as text, count(*) as files from headers_fx join files "
+        "using (sample_id) group by line, line_text",
+        files=_FILES,
+    ),
     "duplicate_keys": (
         "select l_partkey, l_suppkey, count(*) as copies from lineitem "
         "group by l_partkey, l_suppkey having count(*)>1"

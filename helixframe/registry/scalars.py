@@ -4,27 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from helixframe.fixtures import fixture
+from helixframe.fixtures import SITE_HEADER, fixture
 from helixframe.functions import fields as V
 from helixframe.functions import genotype as G
 from helixframe.functions.sql import register_functions
 from helixframe.functions.text import split_alts, split_ids
 from helixframe.operators import info as I
 from helixframe.registry import inputs as src
+from helixframe.session import literal_table
 from helixframe.registry.inputs import TOKEN1, TOKEN2, check, flat
 
 KEYS = ("chrom", "pos", "ref", "sample_id", "gt")
 
-SITE_HEADER = (
-    '##INFO=<ID=AC,Number=A,Type=Integer,Description="Allele count, per ALT">',
-    '##INFO=<ID=AF,Number=A,Type=Float,Description="Allele frequency">',
-    '##INFO=<ID=AN,Number=1,Type=Integer,Description="Called alleles">',
-    '##INFO=<ID=DB,Number=0,Type=Flag,Description="Known site">',
-    '##INFO=<ID=VT,Number=.,Type=String,Description="Variant types">',
-    '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth">',
-)
-
-
 def _genotype_columns(**columns):
     """A query that adds expressions to every genotype row."""
 
@@ -47,7 +38,7 @@ def _target(alt):
 
 
 def dictionary(spark):
-    return I.info_dictionary(spark.createDataFrame([(x,) for x in SITE_HEADER], "text string"))
+    return I.info_dictionary(literal_table(spark, [(x,) for x in SITE_HEADER], "text string"))
 
 
 def allele_contained_in(spark, sf):

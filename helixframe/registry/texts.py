@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.fixtures import fixture
+from helixframe.fixtures import SITE_HEADER, fixture
 from helixframe.session import new_scratch_path
 
 SHARDS = 4
@@ -67,6 +67,7 @@ def site_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.posexplode(
             F.array(
                 F.lit("##fileformat=VCFv4.2"),
+                *[F.lit(line) for line in SITE_HEADER],
                 F.concat(F.lit("##contig=<ID="), F.col("chrom"), F.lit(">")),
                 F.lit("\t".join(WIDE_COLUMNS[:8])),
             )
@@ -124,6 +125,7 @@ def wide_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.posexplode(
             F.array(
                 F.lit("##fileformat=VCFv4.2"),
+                *[F.lit(line) for line in SITE_HEADER],
                 F.concat_ws("\t", F.lit("\t".join(WIDE_COLUMNS)), "samples"),
             )
         ).alias("line", "value"),

@@ -45,6 +45,16 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/helixframe/{name}-{uuid.uuid4().hex}"
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few literal rows as a plan of literals, without a Python-side data source."""
+    fields = T.StructType.fromDDL(schema).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def row_bytes(df: DataFrame):
     """Row width in bytes: fixed-width types by their size, the others by their text."""
     total = F.lit(16)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from helixframe.session import literal_table
+
 # RefSeq accession versions of chromosomes 1-22, X, Y in both builds, in order.
 CHROMOSOMES = (*(str(n) for n in range(1, 23)), "X", "Y")
 GRCH37_VERSIONS = (10, 11, 11, 11, 9, 11, 13, 10, 11, 10, 9, 11, 10, 8, 9, 9, 10, 9, 9, 10, 8, 10, 10, 9)
@@ -58,20 +60,22 @@ def contig_aliases(build: str = "GRCh38") -> dict[str, str]:
 
 
 def contig_alias_dim(spark: SparkSession, build: str = "GRCh38") -> DataFrame:
-    return spark.createDataFrame(
-        list(contig_aliases(build).items()), "genbank_id string, chrom string"
+    return literal_table(
+        spark, list(contig_aliases(build).items()), "genbank_id string, chrom string"
     )
 
 
 def cyp2c19_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return literal_table(
+        spark,
         [(CYP2C19_CHROM, *locus) for locus in CYP2C19_LOCI],
         "chrom string, pos int, ref string, alt string",
     )
 
 
 def gene_regions_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return literal_table(
+        spark,
         [
             (gene, chrom, start, end, start - REGION_FLANK, end + REGION_FLANK)
             for gene, chrom, start, end in GENE_REGIONS

@@ -22,20 +22,26 @@ BED_SCHEMA = "chrom string, start_pos int, end_plus1 int"
 
 
 def read_lines(
-    spark: SparkSession, path: str | list[str], pattern: str | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    pattern: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Text lines with ``filename`` (full path); ``pattern`` selects files by their path.
 
     The file condition is on file metadata, so Spark drops other files before reading them.
+    A gzip file is one task; ``partitions`` spreads the lines of few large ones before they
+    are parsed.
     """
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
     if pattern is not None:
         lines = lines.where(F.col("_metadata.file_path").rlike(pattern))
-    return lines.select(
+    named = lines.select(
         F.col("_metadata.file_path").alias("filename"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.col("value").alias("text"),
     )
+    return named.repartition(partitions) if partitions else named
 
 
 def select_files(spark: SparkSession, path: str | list[str], pattern: str) -> DataFrame:
