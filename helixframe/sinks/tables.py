@@ -44,11 +44,14 @@ def write_clustered(
 
 
 def read_clustered(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Read a clustered table; the partition column keeps its text type (chromosome names)."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+    """Read a clustered table with the columns, types and order of ``schema``.
+
+    The partition column comes from folder names; the schema keeps it text, as chromosome
+    names are.
+    """
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def write_genotypes(genotypes: DataFrame, by_locus: str, by_sample: str, **options) -> None:
