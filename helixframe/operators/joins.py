@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions.genotype import allele_count, count_matches
-from helixframe.session import broadcast_if_small, small
+from helixframe.session import small
 
 SITE_KEYS = ("chrom", "pos", "ref", "alt")
 LOCUS_KEYS = ("chrom", "pos", "ref")
@@ -31,23 +31,26 @@ def join_panel(genotypes: DataFrame, panel: DataFrame) -> DataFrame:
 
 def join_clinvar(genotypes: DataFrame, clinvar: DataFrame) -> DataFrame:
     """Genotype rows at annotated loci; annotation columns come back as ``c_*``."""
-    return _join_annotation(genotypes, clinvar, None)
+    return join_annotation(genotypes, small(clinvar))
 
 
 def join_clinvar_allele(genotypes: DataFrame, clinvar: DataFrame) -> DataFrame:
     """Genotype rows that carry an annotated allele."""
+    return join_annotation(genotypes, small(clinvar), carriers_only=True)
+
+
+def join_annotation(
+    genotypes: DataFrame, annotation: DataFrame, carriers_only: bool = False
+) -> DataFrame:
+    """Genotype rows at annotated loci, or those that carry an annotated allele."""
     carries = F.array_contains(F.col("c.alt"), F.col("g.allele1")) | F.array_contains(
         F.col("c.alt"), F.col("g.allele2")
     )
-    return _join_annotation(genotypes, clinvar, carries)
-
-
-def _join_annotation(genotypes: DataFrame, annotation: DataFrame, residual) -> DataFrame:
     condition = site_match("g", "c", LOCUS_KEYS)
-    if residual is not None:
-        condition = condition & residual
+    if carriers_only:
+        condition = condition & carries
     extra = [c for c in annotation.columns if c not in LOCUS_KEYS]
-    joined = genotypes.alias("g").join(small(annotation).alias("c"), condition)
+    joined = genotypes.alias("g").join(annotation.alias("c"), condition)
     return joined.select("g.*", *[F.col(f"c.{c}").alias(f"c_{c}") for c in extra])
 
 
@@ -70,50 +73,38 @@ def join_variant_genotype(alleles: DataFrame, genotypes: DataFrame) -> DataFrame
     return joined.select("v.*", *[F.col(f"g.{c}").alias(c) for c in extra])
 
 
-def only_at(
-    rows: DataFrame, loci: DataFrame, keys, known_small: bool | None = None
+def counted(
+    rows: DataFrame, keys, lookup_small: bool, weight: Column | None = None
 ) -> DataFrame:
-    """Drop rows at other loci where the loci are few enough to broadcast.
+    """``keys`` with the number ``n`` of rows they stand for, ready to meet a lookup.
 
-    A saving only: the callers join by the same keys later. Many loci would need a shuffle
-    of every row, which counting rows first makes unnecessary, so then nothing happens here.
-    ``known_small`` carries the outcome of a size check already made.
+    Against a broadcast lookup rows pass as they are with weight 1: the join filters them in
+    place and the final aggregate combines on the map side. A lookup that needs a shuffle
+    meets rows counted per key instead, so that however many samples share a call, neither
+    the exchange nor the join sees more than one row of it.
     """
-    keyed = loci.select(*keys).distinct()
-    marked, is_small = (
-        broadcast_if_small(keyed) if known_small is None else (F.broadcast(keyed), known_small)
-    )
-    return rows.join(marked, list(keys), "left_semi") if is_small else rows
+    each = F.lit(1).cast("long") if weight is None else weight.cast("long")
+    if lookup_small:
+        return rows.select(*keys, each.alias("n"))
+    return rows.groupBy(*keys).agg(F.sum(each).alias("n"))
 
 
-def genotype_counts(genotypes: DataFrame) -> DataFrame:
-    """Rows per distinct call of a site, combined before the shuffle.
-
-    However many samples a site has, it leaves this with one row per call, so joins behind
-    it neither move nor skew by sample count.
-    """
-    return genotypes.groupBy(*SITE_KEYS, "gt", "allele1", "allele2").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+CALL_KEYS = (*SITE_KEYS, "gt", "allele1", "allele2")
 
 
 def allele_totals(
-    alleles: DataFrame, counts: DataFrame, group: list[str], extra_joins=None
+    alleles: DataFrame, genotypes: DataFrame, group: list[str], lookup_small: bool
 ) -> DataFrame:
-    """Per allele row: strands that carry it, and strands called at the site.
-
-    ``counts`` is the output of ``genotype_counts``; ``extra_joins`` may widen the allele
-    rows after the site join.
-    """
-    joined = alleles.alias("v").join(counts.alias("g"), site_match("v", "g", SITE_KEYS))
+    """Per allele row: strands that carry it, and strands called at the site."""
+    calls = counted(genotypes, CALL_KEYS, lookup_small)
+    lookup = F.broadcast(alleles) if lookup_small else alleles
+    joined = calls.alias("g").join(lookup.alias("v"), site_match("v", "g", SITE_KEYS))
     strands = count_matches(F.col("v.alt_allele"), F.col("g.allele1"), F.col("g.allele2"))
     weighted = joined.select(
         "v.*",
         (strands * F.col("g.n")).alias("__variant"),
         (allele_count(F.col("g.gt")) * F.col("g.n")).alias("__total"),
     )
-    if extra_joins is not None:
-        weighted = extra_joins(weighted)
     return weighted.groupBy(*group).agg(
         F.sum("__variant").alias("num_variant_alleles"),
         F.sum("__total").alias("total_num_alleles"),

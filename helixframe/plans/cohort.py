@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.operators import predicates as P
-from helixframe.operators.extent import Extent, measure
+from helixframe.operators.extent import measure
 from helixframe.operators.intervals import bed_positions, point_in_span_join, span_in_span_join
+from helixframe.operators.joins import counted
 from helixframe.operators.reshape import flatten_alts, pivot_samples
 from helixframe.plans.tables import decode_calls, rebase_calls
 from helixframe.sinks.tables import written
@@ -73,26 +74,14 @@ def _written_sites(spans: DataFrame, chrom, start, end) -> DataFrame:
     return written(sites, "nonref_sites")
 
 
-def _counted(spans: DataFrame, keys: list[str], lookup: Extent) -> DataFrame:
-    """Spans with a weight ``n``.
-
-    A broadcast lookup leaves the counting to the map side of the final aggregate. Where
-    the range join has to shuffle, equal spans are counted first so that samples do not
-    multiply through it.
-    """
-    if lookup.is_small():
-        return spans.select(*keys, F.lit(1).cast("long").alias("n"))
-    return spans.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-
-
 def genotype_counts_at_sites(
     spans: DataFrame, chrom: str | None = None, start: int | None = None, end: int | None = None
 ) -> DataFrame:
     """Calls per site and spelled-out genotype."""
     sites = _written_sites(spans, chrom, start, end)
     extent = measure(sites, "chrom", "pos", "pos")
-    counted = _counted(spans, [*SPAN_KEYS, "alt", "gt"], extent)
-    pairs = span_in_span_join(sites, counted, extent=extent)
+    calls = counted(spans, [*SPAN_KEYS, "alt", "gt"], extent.is_small())
+    pairs = span_in_span_join(sites, calls, extent=extent)
     decoded = decode_calls(pairs, "p_ref", "s_alt", "s_gt").select(
         F.col("p_chrom").alias("chrom"),
         F.col("p_pos").alias("pos"),
@@ -276,9 +265,9 @@ def cohort_calls(spans: DataFrame, loci: DataFrame) -> DataFrame:
 def compute_variant_counts(spans: DataFrame, loci: DataFrame) -> DataFrame:
     """Calls at the cohort's loci over all contigs in one job."""
     extent = measure(loci, "chrom", "pos", "pos")
-    counted = _counted(spans, [*SPAN_KEYS, "alt", "gt"], extent)
-    calls = _span_calls(counted, loci, "n", extent=extent)
-    return calls.groupBy(*CALL_KEYS).agg(F.sum("n").alias("cnt"))
+    calls = counted(spans, [*SPAN_KEYS, "alt", "gt"], extent.is_small())
+    at_loci = _span_calls(calls, loci, "n", extent=extent)
+    return at_loci.groupBy(*CALL_KEYS).agg(F.sum("n").alias("cnt"))
 
 
 def samples_by_genotype(calls: DataFrame) -> DataFrame:
@@ -318,8 +307,8 @@ def bed_cohort_frequencies(spans: DataFrame, bed: DataFrame) -> DataFrame:
     """
     positions = bed_positions(bed)
     extent = measure(positions, "chrom", "pos", "pos")
-    counted = _counted(spans, [*SPAN_KEYS, "alt_string", "gt"], extent)
-    pairs = point_in_span_join(positions, counted, extent=extent)
+    calls = counted(spans, [*SPAN_KEYS, "alt_string", "gt"], extent.is_small())
+    pairs = point_in_span_join(positions, calls, extent=extent)
     return pairs.groupBy(
         F.col("p_chrom").alias("chrom"),
         F.col("p_pos").alias("pos"),

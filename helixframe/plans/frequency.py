@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.operators import predicates as P
-from helixframe.operators.joins import join_panel, only_at
-from helixframe.session import small
+from helixframe.operators.joins import counted, join_panel
+from helixframe.session import broadcast_if_small, small
 
 TARGET_COLUMNS = ("af_fin", "af", "chrom", "pos", "alt_allele", "ref")
 
@@ -43,8 +43,13 @@ def gnomad_compare(
     )
 
 
-def _carrier_rows(annotation, genotypes, match_ref, thresholds) -> DataFrame:
-    targets = _targets(annotation, **thresholds)
+def _carrier_counts(annotation, genotypes, panel, match_ref, thresholds, extra) -> DataFrame:
+    """Rows of ``genotypes`` that carry a target's allele, counted by target and ``extra``."""
+    targets, is_small = broadcast_if_small(_targets(annotation, **thresholds))
+    keys = ["chrom", "pos", "ref", "allele1", "allele2"]
+    if panel is not None:
+        genotypes = join_panel(genotypes.select(*keys, "sample_id"), panel.select("sample_id", *extra))
+    calls = counted(genotypes, [*keys, *extra], is_small)
     condition = (
         (F.col("g.chrom") == F.col("t.chrom"))
         & (F.col("g.pos") == F.col("t.pos"))
@@ -55,25 +60,17 @@ def _carrier_rows(annotation, genotypes, match_ref, thresholds) -> DataFrame:
     )
     if match_ref:
         condition = condition & (F.col("g.ref") == F.col("t.ref"))
-    return genotypes.alias("g").join(small(targets).alias("t"), condition)
+    rows = calls.alias("g").join(targets.alias("t"), condition)
+    group = [F.col(f"t.{c}") for c in TARGET_COLUMNS] + [F.col(f"g.{c}") for c in extra]
+    return rows.groupBy(*group).agg(F.sum("g.n").alias("cnt"))
 
 
 def gnomad_carriers(
     annotation: DataFrame, genotypes: DataFrame, match_ref: bool = False, **thresholds
 ) -> DataFrame:
-    """Genotype rows that carry the allele, counted per site.
-
-    Calls at those positions are counted per allele pair before the join.
-    """
-    at_targets = only_at(genotypes, _targets(annotation, **thresholds), ("chrom", "pos"))
-    counts = at_targets.groupBy("chrom", "pos", "ref", "allele1", "allele2").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    rows = _carrier_rows(annotation, counts, match_ref, thresholds)
-    totals = rows.groupBy(*[F.col(f"t.{c}") for c in TARGET_COLUMNS]).agg(
-        F.sum("g.n").alias("cnt")
-    )
-    return totals.orderBy("chrom", "pos")
+    """Genotype rows that carry the allele, counted per site."""
+    counts = _carrier_counts(annotation, genotypes, None, match_ref, thresholds, [])
+    return counts.orderBy("chrom", "pos")
 
 
 def gnomad_carriers_by_pop(
@@ -84,16 +81,5 @@ def gnomad_carriers_by_pop(
     **thresholds,
 ) -> DataFrame:
     """The same by population of the carrier, most first."""
-    at_targets = only_at(genotypes, _targets(annotation, **thresholds), ("chrom", "pos"))
-    members = join_panel(
-        at_targets.select("chrom", "pos", "ref", "allele1", "allele2", "sample_id"),
-        panel.select("sample_id", "pop"),
-    )
-    counts = members.groupBy("chrom", "pos", "ref", "allele1", "allele2", "pop").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    rows = _carrier_rows(annotation, counts, match_ref, thresholds)
-    totals = rows.groupBy(
-        *[F.col(f"t.{c}") for c in TARGET_COLUMNS], F.col("g.pop").alias("pop")
-    ).agg(F.sum("g.n").alias("cnt"))
-    return totals.orderBy(F.desc("cnt"), "chrom", "pos", "pop")
+    counts = _carrier_counts(annotation, genotypes, panel, match_ref, thresholds, ["pop"])
+    return counts.orderBy(F.desc("cnt"), "chrom", "pos", "pop")

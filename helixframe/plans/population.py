@@ -15,7 +15,7 @@ from helixframe.operators import joins as J
 from helixframe.operators import predicates as P
 from helixframe.operators.extent import measure
 from helixframe.operators.intervals import interval_join
-from helixframe.session import small
+from helixframe.session import broadcast_if_small, small
 from helixframe.sinks.tables import written
 
 ALLELE_COLUMNS = ("chrom", "pos", "ref", "alt", "alt_allele_id", "alt_allele", "af")
@@ -52,18 +52,14 @@ def genotype_distribution(genotypes: DataFrame) -> DataFrame:
     )
 
 
-def _condition_distribution(genotypes, clinvar, condition, join) -> DataFrame:
-    """Distribution over annotated loci.
-
-    Counting per call comes before the join, so that a locus with very many samples leaves
-    the scan as a few rows; the counts are then summed per matching annotation row.
-    """
+def _condition_distribution(genotypes, clinvar, condition, carriers_only) -> DataFrame:
+    """Samples per call, summed per matching annotation row."""
     annotated = P.has_condition(clinvar, condition).select("chrom", "pos", "ref", "alt")
-    counts = J.only_at(genotypes, annotated, J.LOCUS_KEYS).groupBy(*J.SITE_KEYS, "gt", "allele1", "allele2").agg(
-        F.count("sample_id").alias("n")
-    )
+    lookup, is_small = broadcast_if_small(annotated)
+    has_sample = F.when(F.col("sample_id").isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    calls = J.counted(genotypes, J.CALL_KEYS, is_small, has_sample)
     return (
-        join(counts, annotated)
+        J.join_annotation(calls, lookup, carriers_only)
         .groupBy("chrom", "pos", "ref", "alt", "gt")
         .agg(F.sum("n").alias("samples"))
         .orderBy("chrom", "pos", "gt")
@@ -72,12 +68,12 @@ def _condition_distribution(genotypes, clinvar, condition, join) -> DataFrame:
 
 def condition_genotypes(genotypes: DataFrame, clinvar: DataFrame, condition: str) -> DataFrame:
     """Calls seen at the loci of a clinical condition."""
-    return _condition_distribution(genotypes, clinvar, condition, J.join_clinvar)
+    return _condition_distribution(genotypes, clinvar, condition, False)
 
 
 def condition_carriers(genotypes: DataFrame, clinvar: DataFrame, condition: str) -> DataFrame:
     """Calls at those loci that carry an allele annotated for the condition."""
-    return _condition_distribution(genotypes, clinvar, condition, J.join_clinvar_allele)
+    return _condition_distribution(genotypes, clinvar, condition, True)
 
 
 def common_alleles(
@@ -180,10 +176,10 @@ def interval_allele_frequency(
 ) -> DataFrame:
     """Allele counts of infrequent alleles within gene regions, with SNP annotation.
 
-    The regions first narrow the alleles (a range join that broadcasts the regions) and,
-    through the surviving sites, the genotypes; genotypes are counted per call before the
-    site join. The surviving alleles are written once since three steps read them. The SNP
-    table joins the few rows that remain, read only within their extent.
+    The regions first narrow the alleles (a range join that broadcasts the regions), and the
+    surviving alleles, written once since two steps read them, are looked up by the
+    genotypes within their extent. The SNP table joins the few rows that remain, read only
+    within that extent too.
     """
     infrequent = P.freq_filter(alleles, below=below).select(*ALLELE_COLUMNS)
     in_region = interval_join(
@@ -192,10 +188,8 @@ def interval_allele_frequency(
     in_region = written(in_region, "alleles_in_region")
     extent = measure(in_region, "chrom", "pos", "pos")
     near = extent.near(genotypes, "chrom", "pos", "pos")
-    at_sites = J.only_at(near, in_region, J.SITE_KEYS, extent.is_small())
-    counts = J.genotype_counts(at_sites)
     group = ["chrom", "pos", "ref", "alt", "alt_allele", "gene", "af"]
-    totals = J.allele_totals(in_region, counts, group)
+    totals = J.allele_totals(in_region, near, group, extent.is_small())
     annotated = J.annotate_snp(totals, extent.near(snp, "chrom", "pos", "pos"))
     return annotated.orderBy("chrom", "pos", "alt_allele")
 
@@ -214,9 +208,8 @@ def gene_rare_variants(
     chosen = written(chosen, "gene_alleles")
     extent = measure(chosen, "chrom", "pos", "pos")
     near = extent.near(genotypes, "chrom", "pos", "pos")
-    counts = J.genotype_counts(J.only_at(near, chosen, J.SITE_KEYS, extent.is_small()))
     group = ["chrom", "pos", "ref", "alt", "alt_allele", "af", "geneinfo", "id"]
-    return J.allele_totals(chosen, counts, group)
+    return J.allele_totals(chosen, near, group, extent.is_small())
 
 
 def rsid_variants(

@@ -62,15 +62,17 @@ def rebase_calls(
 
 
 def variants_flattened(variants: DataFrame, info: str = "info") -> DataFrame:
-    """One row per ALT allele, with its values of the per-ALT INFO keys that are present."""
+    """One row per ALT allele, with its values of the per-ALT INFO keys that are present.
+
+    The arrays leave the struct before the rows multiply, so the scan reads only the keys
+    that a query goes on to use.
+    """
     present = [f.name for f in variants.schema[info].dataType.fields]
-    flat = flatten_alts(variants)
-    per_alt = {
-        key.lower(): F.get(F.col(f"{info}.{key}"), F.col("alt_allele_id"))
-        for key in PER_ALT_KEYS
-        if key in present
-    }
-    return flat.withColumns(per_alt)
+    keys = [key for key in PER_ALT_KEYS if key in present]
+    arrays = {f"__{key}": F.col(f"{info}.{key}") for key in keys}
+    flat = flatten_alts(variants.withColumns(arrays))
+    per_alt = {key.lower(): F.get(f"__{key}", F.col("alt_allele_id")) for key in keys}
+    return flat.withColumns(per_alt).drop(*arrays)
 
 
 def gvcf_view(raw: DataFrame) -> DataFrame:

@@ -173,9 +173,10 @@ def nested_exists(spark, sf):
 
 
 def allele_totals(spark, sf):
-    counts = J.genotype_counts(src.genotypes(spark, sf))
     group = ["chrom", "pos", "ref", "alt", "alt_allele", "af"]
-    return flat(J.allele_totals(src.alleles(spark, sf), counts, group))
+    return flat(
+        J.allele_totals(src.alleles(spark, sf), src.genotypes(spark, sf), group, lookup_small=False)
+    )
 
 
 def by_rsid(spark, sf):

@@ -99,10 +99,12 @@ def test_join_paths_agree(spark, rows, monkeypatch):
     genotypes, alleles = _genotypes(spark, 200), _alleles(spark)
     near = rows(Q.rare_carriers(alleles, genotypes, 0.001))
     monkeypatch.setattr(J, "small", lambda df, **k: df)
-    monkeypatch.setattr(J, "broadcast_if_small", lambda df, **k: (df, False))
+    monkeypatch.setattr(Q, "broadcast_if_small", lambda df, **k: (df, False))
     assert rows(Q.rare_carriers(alleles, genotypes, 0.001)) == near and near
     clinvar = alleles.select("chrom", "pos", "id", "ref", "alt", F.array(F.lit("x")).alias("clndn"))
     far = rows(Q.condition_genotypes(genotypes, clinvar, "x"))
+    counts = rows(J.allele_totals(alleles, genotypes, ["chrom", "pos", "alt_allele"], False))
+    assert rows(J.allele_totals(alleles, genotypes, ["chrom", "pos", "alt_allele"], True)) == counts
     monkeypatch.undo()
     assert rows(Q.condition_genotypes(genotypes, clinvar, "x")) == far
 
