@@ -99,9 +99,9 @@ select 'chr'||chrom||'/part-'||cast(cast(floor(pos/1000.0) as int) as varchar(9)
   chrom||chr(9)||case when pk%31=0 then 'n'||cast(pos as varchar(12)) else cast(pos as varchar(12)) end||chr(9)||id||chr(9)||ref
     ||chr(9)||alt_string||chr(9)||qual||chr(9)||filter||chr(9)||info as line_text
 from (select s.*, v.pk from sites_fx s join variants_fx v on s.chrom=v.chrom and s.pos=v.pos) x""",
-    # Body lines of one gVCF per sample, in four shards each.
+    # Body lines of one gVCF per sample, in shards of 200,000 positions.
     "gvcf_lines_fx": """
-select sample_id, pos%4 as shard, chrom, pos,
+select sample_id, cast(floor(pos/200000.0) as int) as shard, chrom, pos,
   'chr'||chrom||chr(9)||cast(pos as varchar(12))||chr(9)||'.'||chr(9)||ref||chr(9)||alt_string||chr(9)||'.'||chr(9)||filter
     ||chr(9)||case when end_pos>pos then 'END='||cast(end_pos as varchar(12)) else '.' end||chr(9)||format||chr(9)||vals as line_text
 from gvcf_fx""",

@@ -1,6 +1,8 @@
 """VCF-family text files made by Spark from the test tables, for the reader queries.
 
-Files go below the shared scratch folder, once per application and source folder.
+Files go below the shared scratch folder, once per application and source folder. A file
+holds one shard, a fixed stretch of positions of a sample or contig, so that no file grows
+with the genome; every file has its own header.
 """
 
 from __future__ import annotations
@@ -11,10 +13,14 @@ from pyspark.sql import functions as F
 from helixframe.fixtures import SITE_HEADER, fixture
 from helixframe.session import new_scratch_path
 
-SHARDS = 4
+SHARD_POSITIONS = 200_000
 SITE_COLUMNS = ("chrom", "pos", "id", "ref", "alt_string", "qual", "filter", "info")
 WIDE_COLUMNS = ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT")
 
+def _shard():
+    return F.floor(F.col("pos") / F.lit(SHARD_POSITIONS)).cast("int").alias("shard")
+
+
 _made: dict[tuple[str, str, str], str] = {}
 
 
@@ -27,10 +33,11 @@ def _once(spark: SparkSession, sf: str, name: str, write) -> str:
     return _made[key]
 
 
-def _write_files(lines: DataFrame, folders: list[str], order: list[str], path: str, **options):
+def write_files(lines: DataFrame, folders: list[str], order: list[str], path: str, **options):
     """One text file per folder, its lines in the given order."""
     ordered = lines.repartition(*folders).sortWithinPartitions(*folders, *order)
-    ordered.select("value", *folders).write.partitionBy(*folders).options(**options).text(path)
+    chosen = ordered.select("value", *folders)
+    chosen.write.partitionBy(*folders).mode("append").options(**options).text(path)
 
 
 def gvcf_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -50,7 +57,7 @@ def gvcf_files(spark: SparkSession, sf: str) -> str:
     """Folders ``sample_id=*/shard=*`` with one gVCF text each."""
     return _once(
         spark, sf, "gvcf-text",
-        lambda path: _write_files(
+        lambda path: write_files(
             gvcf_lines(spark, sf), ["sample_id", "shard"], ["line", "chrom", "pos"], path
         ),
     )
@@ -59,11 +66,11 @@ def gvcf_files(spark: SparkSession, sf: str) -> str:
 def site_lines(spark: SparkSession, sf: str) -> DataFrame:
     rows = fixture(spark, sf, "sites_fx")
     body = rows.select(
-        "chrom", F.lit(99).alias("line"), "pos",
+        "chrom", _shard(), F.lit(99).alias("line"), "pos",
         F.concat_ws("\t", *[F.col(c).cast("string") for c in SITE_COLUMNS]).alias("value"),
     )
-    head = rows.select("chrom").distinct().select(
-        "chrom",
+    head = rows.select("chrom", _shard()).distinct().select(
+        "chrom", "shard",
         F.posexplode(
             F.array(
                 F.lit("##fileformat=VCFv4.2"),
@@ -73,16 +80,16 @@ def site_lines(spark: SparkSession, sf: str) -> DataFrame:
             )
         ).alias("line", "value"),
     )
-    return head.select("chrom", "line", F.lit(0).alias("pos"), "value").unionByName(body)
+    return head.select("chrom", "shard", "line", F.lit(0).alias("pos"), "value").unionByName(body)
 
 
 def site_files(spark: SparkSession, sf: str) -> str:
-    """Folders ``contig=*`` with one gzip-compressed sites-only VCF each."""
+    """Folders ``contig=*/shard=*`` with one gzip-compressed sites-only VCF each."""
     return _once(
         spark, sf, "sites-text",
-        lambda path: _write_files(
-            site_lines(spark, sf).withColumnRenamed("chrom", "contig"), ["contig"], ["line", "pos"],
-            path, compression="gzip",
+        lambda path: write_files(
+            site_lines(spark, sf).withColumnRenamed("chrom", "contig"), ["contig", "shard"],
+            ["line", "pos"], path, compression="gzip",
         ),
     )
 
@@ -111,14 +118,14 @@ def wide_lines(spark: SparkSession, sf: str) -> DataFrame:
         lambda s: F.coalesce(F.try_element_at(F.coalesce(F.col("calls"), empty), s), F.lit("./.")),
     )
     body = sites.select("*", layout).join(layouts, "layout").select(
-        "chrom", (F.col("pos") % SHARDS).alias("shard"), F.lit(99).alias("line"), "pos",
+        "chrom", _shard(), F.lit(99).alias("line"), "pos",
         F.concat_ws(
             "\t", *[F.col(c).cast("string") for c in SITE_COLUMNS], F.lit("GT"),
             F.concat_ws("\t", cells),
         ).alias("value"),
     )
     files = fixture(spark, sf, "sites_fx").select(
-        "chrom", (F.col("pos") % SHARDS).alias("shard"), layout
+        "chrom", _shard(), layout
     ).distinct()
     head = files.join(layouts, "layout").select(
         "chrom", "shard",
@@ -137,7 +144,7 @@ def wide_files(spark: SparkSession, sf: str) -> str:
     """Folders ``contig=*/shard=*`` with one multi-sample VCF text each."""
     return _once(
         spark, sf, "wide-text",
-        lambda path: _write_files(
+        lambda path: write_files(
             wide_lines(spark, sf).withColumnRenamed("chrom", "contig"), ["contig", "shard"],
             ["line", "pos"], path,
         ),
