@@ -29,9 +29,12 @@ class Extent:
     size: int
     contigs: tuple[tuple[str, int, int], ...] | None
 
-    def is_small(self, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-        return self.contigs is not None and self.rows <= max_rows and (
-            self.size <= BROADCAST_MAX_BYTES
+    def is_small(self, max_rows: int = BROADCAST_MAX_ROWS, copies: int = 1) -> bool:
+        """May be broadcast, with each row up to ``copies`` times."""
+        return (
+            self.contigs is not None
+            and self.rows * copies <= max_rows
+            and self.size * copies <= BROADCAST_MAX_BYTES
         )
 
     def near(self, df: DataFrame, chrom: str, start: str, end: str) -> DataFrame:

@@ -87,6 +87,13 @@ def _salted(left: DataFrame, right: DataFrame, hot_rows: int) -> tuple[DataFrame
     return spread, copied.drop(_PARTS)
 
 
+def fits_broadcast(
+    extent: Extent, lookup: str = "points", max_rows: int = BROADCAST_MAX_ROWS
+) -> bool:
+    """The looked-up side may be broadcast, counting the copies its bins make of each row."""
+    return extent.is_small(max_rows, len(LEVELS) if lookup == "points" else 2)
+
+
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select([F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
 
@@ -153,7 +160,7 @@ def _span_join(
     binned_spans = _with_span_bins(spans, s_chrom, s_start, s_end)
     binned_points = _with_point_bins(points, p_chrom, p_pos)
     keys = [_CHROM, _LEVEL, _BIN]
-    if extent.is_small(max_rows):
+    if fits_broadcast(extent, lookup, max_rows):
         if lookup == "points":
             joined = binned_spans.join(F.broadcast(binned_points), keys)
         else:

@@ -133,8 +133,8 @@ def normalize_contigs(
     sites: DataFrame, aliases: DataFrame, chrom: str = "chrom", alias: str = "genbank_id"
 ) -> DataFrame:
     """Translate contig accessions to chromosome names; the source name stays as
-    ``orig_chrom``. ``aliases`` is a fixed table of 24 rows."""
-    names = F.broadcast(aliases.select(F.col(alias).alias("__alias"), F.col("chrom").alias("__to")))
+    ``orig_chrom``."""
+    names = small(aliases.select(F.col(alias).alias("__alias"), F.col("chrom").alias("__to")))
     joined = sites.withColumnRenamed(chrom, "orig_chrom").join(
         names, F.col("orig_chrom") == F.col("__alias"), "left"
     )

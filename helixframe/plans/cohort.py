@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from helixframe.operators import predicates as P
 from helixframe.operators.extent import measure
-from helixframe.operators.intervals import bed_positions, point_in_span_join, span_in_span_join
+from helixframe.operators.intervals import (
+    bed_positions,
+    fits_broadcast,
+    point_in_span_join,
+    span_in_span_join,
+)
 from helixframe.operators.joins import counted
 from helixframe.operators.reshape import flatten_alts, pivot_samples
 from helixframe.plans.tables import decode_calls, rebase_calls
@@ -80,7 +85,7 @@ def genotype_counts_at_sites(
     """Calls per site and spelled-out genotype."""
     sites = _written_sites(spans, chrom, start, end)
     extent = measure(sites, "chrom", "pos", "pos")
-    calls = counted(spans, [*SPAN_KEYS, "alt", "gt"], extent.is_small())
+    calls = counted(spans, [*SPAN_KEYS, "alt", "gt"], fits_broadcast(extent))
     pairs = span_in_span_join(sites, calls, extent=extent)
     decoded = decode_calls(pairs, "p_ref", "s_alt", "s_gt").select(
         F.col("p_chrom").alias("chrom"),
@@ -265,7 +270,7 @@ def cohort_calls(spans: DataFrame, loci: DataFrame) -> DataFrame:
 def compute_variant_counts(spans: DataFrame, loci: DataFrame) -> DataFrame:
     """Calls at the cohort's loci over all contigs in one job."""
     extent = measure(loci, "chrom", "pos", "pos")
-    calls = counted(spans, [*SPAN_KEYS, "alt", "gt"], extent.is_small())
+    calls = counted(spans, [*SPAN_KEYS, "alt", "gt"], fits_broadcast(extent))
     at_loci = _span_calls(calls, loci, "n", extent=extent)
     return at_loci.groupBy(*CALL_KEYS).agg(F.sum("n").alias("cnt"))
 
@@ -307,7 +312,7 @@ def bed_cohort_frequencies(spans: DataFrame, bed: DataFrame) -> DataFrame:
     """
     positions = bed_positions(bed)
     extent = measure(positions, "chrom", "pos", "pos")
-    calls = counted(spans, [*SPAN_KEYS, "alt_string", "gt"], extent.is_small())
+    calls = counted(spans, [*SPAN_KEYS, "alt_string", "gt"], fits_broadcast(extent))
     pairs = point_in_span_join(positions, calls, extent=extent)
     return pairs.groupBy(
         F.col("p_chrom").alias("chrom"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
 _local_scratch: dict[str, str] = {}
 
@@ -61,10 +61,11 @@ def row_bytes(df: DataFrame):
     for field in df.schema.fields:
         if isinstance(field.dataType, T.NumericType | T.BooleanType):
             total = total + F.lit(8)
-        else:
-            total = total + F.coalesce(
-                F.octet_length(F.col(f"`{field.name}`").cast("string")), F.lit(0)
-            )
+            continue
+        column = F.col(f"`{field.name}`")
+        variant = isinstance(field.dataType, T.VariantType)
+        text = F.to_json(column) if variant else column.cast("string")
+        total = total + F.coalesce(F.octet_length(text), F.lit(0))
     return total
 
 

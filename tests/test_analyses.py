@@ -203,7 +203,7 @@ def test_counts_without_broadcast(spark, monkeypatch):
     near = sorted(map(tuple, C.compute_variant_counts(spans, loci).collect()))
     from helixframe.operators.extent import Extent
 
-    monkeypatch.setattr(Extent, "is_small", lambda self, max_rows=0: False)
+    monkeypatch.setattr(Extent, "is_small", lambda self, max_rows=0, copies=1: False)
     assert sorted(map(tuple, C.compute_variant_counts(spans, loci).collect())) == near
 
 

@@ -29,6 +29,18 @@ def duck():
     return connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def small_data_settings(spark):
+    """Compiling a stage takes longer than running it on tables this small."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "2"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 def _text(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(round(value, 9))
