@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from helixframe.registry import all_oracles, all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -15,7 +16,7 @@ TABLES = (
 duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 # Results the smallest tables leave empty.
 MAY_BE_EMPTY = {"panel_filter", "alleles_by_population", "rare_carrier_list_near_locus"}
