@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from helixframe.llm import mixing, quality
+from helixframe.llm import chat, decontaminate, langid, mixing, quality, token_output, toxicity
 from helixframe.llm.common import table
+from helixframe.session import new_scratch_path
+
+VOCABULARY = "byte_bpe_50k.json"
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,9 +27,43 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    types = {f.name: f.dataType for f in messages.schema.fields}
+    more = spark.sql(
+        f"select -1 as conv_id, turn, role, '{CONTROL_TEXT}' as text from values (0, 'user'), (1, 'assistant') as v(turn, role)"
+    ).select(*[F.col(n).cast(t).alias(n) for n, t in types.items()])
+    return chat.conversation_digest(chat.format_messages(messages.unionByName(more)))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(found)
+
+
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_scratch_path(spark, "tokens")
+    token_output.write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(VOCABULARY))
+    return token_output.read_tokens(spark, folder)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.drop("strength")
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.detect_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_quality": op3_quality,
+    "op4_chat": op4_chat,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_token_output": op6_token_output,
+    "op7_toxicity": op7_toxicity,
+    "op9_langid": op9_langid,
 }
 
 ORACLES = {
@@ -54,4 +94,29 @@ laid as (
 select doc_id, cast(size as bigint) as size, cast(source_size as bigint) as source_size, target,
   cast(size * ((case when middle < target then 1 else 0 end) + (case when source_size + middle < target then 1 else 0 end)) as bigint) as taken
 from laid""",
+    "op5_decontaminate": r"""
+with item_words as (
+  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark where text is not null),
+windows as (
+  select distinct item_id, 10 as n, array_to_string(w[i:i+9], ' ') as s
+  from (select item_id, w, unnest(range(1, len(w) - 8)) as i from item_words where len(w) >= 10)
+  union
+  select item_id, len(w), array_to_string(w, ' ') from item_words where len(w) between 1 and 9),
+doc_words as (
+  select row_number() over () as r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+  from documents),
+lengths as (select distinct n from windows),
+starts as (
+  select r, n, i, array_to_string(w[i:i+n-1], ' ') as s
+  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from doc_words, lengths where len(w) >= n)),
+found as (select distinct s.r, s.n, s.i, x.item_id from starts s join windows x on s.n = x.n and s.s = x.s),
+hit as (select r, count(distinct p) as n_hit from (select r, unnest(range(i, i + n)) as p from found) group by r),
+items as (
+  select r, count(*) as n_items, string_agg(name, ',' order by name) as names
+  from (select distinct r, cast(item_id as varchar) as name from found) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(names, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from doc_words d left join hit h on d.r = h.r left join items t on d.r = t.r""",
 }
