@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import chat, decontaminate, langid, mixing, quality, token_output, toxicity
+from helixframe.llm import chat, decontaminate, langid, mixing, pii, quality, token_output, toxicity
 from helixframe.llm.common import table
 from helixframe.session import new_scratch_path
 
@@ -52,6 +52,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("strength")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect_languages(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_token_output": op6_token_output,
     "op7_toxicity": op7_toxicity,
+    "op8_pii": op8_pii,
     "op9_langid": op9_langid,
 }
 

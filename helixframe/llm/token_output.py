@@ -24,7 +24,6 @@ ordered by text and each row is a document of its own; an empty table gives empt
 
 from __future__ import annotations
 
-import array
 import hashlib
 import os
 import re
@@ -43,6 +42,7 @@ from helixframe.llm.common import own_columns, text_or_empty
 END_ID = 0
 SEGMENT_IDS = 1 << 20
 CACHE_PIECES = 300_000
+TOGETHER = 64
 DICTIONARY_BYTES = 1 << 15
 DICTIONARY_DOCS = 400
 DICTIONARY_DOC_BYTES = 1 << 16
@@ -61,39 +61,69 @@ def pieces_of(text: str) -> list[str]:
     return [first, *pieces] if first else pieces
 
 
+# A piece that may stand between others of its kind: a blank, then visible at both ends.
+_JOINS = re.compile(r" \S(?:.*\S)?", re.S)
+
+
 class PieceEncoder:
-    """Tokenizer with a bounded cache of the serialized ids of pieces."""
+    """Tokenizer with a bounded cache of the serialized ids of pieces.
+
+    New pieces are encoded many at a time as one text, whose ids are parted again by the
+    bytes that each id stands for. The cache keeps two generations of at most
+    ``CACHE_PIECES`` pieces.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        size = self.tokenizer.get_vocab_size()
+        self.type = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        # In a byte-level vocabulary every byte is one character of the token's name.
+        self.bytes_of = np.zeros(size, np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.bytes_of[i] = len(special[i].encode()) if i in special else len(token)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @property
     def width(self) -> int:
-        return 2 if self.code == "H" else 4
-
-    def _learn(self, pieces: set[str]) -> None:
+        return self.type.itemsize
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
+
+    def _learn(self, pieces: list[str]) -> None:
+        joined = [p for p in pieces if _JOINS.fullmatch(p)]
+        for piece in pieces if not joined else set(pieces).difference(joined):
+            self.known[piece] = self._ids(piece).tobytes()
+        if not joined:
+            return
+        (encoded,) = self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)
+        ids = np.array(encoded.ids, self.type)
+        ends = np.cumsum([len(p.encode()) for p in joined])
+        cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, side="left") + 1
+        raw, width, start = ids.tobytes(), self.width, 0
+        for piece, stop in zip(joined, (cuts * width).tolist()):
+            self.known[piece] = raw[start:stop]
+            start = stop
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Serialized ids of each text."""
         if len(self.known) > CACHE_PIECES:
-            self.known = {}
-        missing = list(pieces)
-        for piece, encoded in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-            self.known[piece] = array.array(self.code, encoded.ids).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """Serialized ids of the text (host order is little endian on all supported machines)."""
-        pieces = pieces_of(text)
-        missing = set(pieces).difference(self.known)
+            self.known, self.older = {}, self.known
+        known = self.known
+        cut = [pieces_of(t) for t in texts]
+        missing = set().union(*cut).difference(known)
+        older = self.older
+        for piece in missing.intersection(older):
+            known[piece] = older[piece]
+        missing = sorted(missing.difference(known))
         if missing:
             self._learn(missing)
-            missing = set(pieces).difference(self.known)
-            if missing:  # the cache was emptied
-                self._learn(missing)
-        known = self.known
-        return b"".join([known[p] for p in pieces])
+        return [b"".join([known[p] for p in pieces]) for pieces in cut]
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -110,7 +140,7 @@ def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """Dictionary over the serialized ids of the sample; empty where there is too little to train on."""
     short = docs.where(F.octet_length("text") <= DICTIONARY_DOC_BYTES).select("doc_id", "text")
     rows = short.orderBy(F.md5(F.col("doc_id").cast("string")), "text").limit(DICTIONARY_DOCS).collect()
-    samples = [encoder(path).encode(r["text"]) for r in rows]
+    samples = encoder(path).encode_many([r["text"] for r in rows])
     samples = [s for s in samples if s]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
@@ -129,13 +159,19 @@ SEGMENT_SCHEMA = (
 
 def _writer(path: str, dictionary: bytes, dict_hash: str, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, width = encoder(path).encode, encoder(path).width
+        encode, width = encoder(path).encode_many, encoder(path).width
         end = END_ID.to_bytes(width, "little")
         shared = _dictionary(dictionary)
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared) if shared else zstandard.ZstdCompressor(level=LEVEL)
         shard, segment = TaskContext.get().partitionId(), 0
         ids, counts, offsets, frames, size, held = [], [], [], [], 0, 0
 
+        def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, TOGETHER):
+                    part = batch.slice(at, TOGETHER)
+                    yield from zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist()))
+
         def packed() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [
@@ -150,20 +186,19 @@ def _writer(path: str, dictionary: bytes, dict_hash: str, id_type: pa.DataType):
                 names=["shard", "segment", "dict_hash", "doc_ids", "counts", "offsets", "payload"],
             )
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                raw = encode(text.as_py()) + end
-                frame = compressor.compress(raw)
-                ids.append(doc_id)
-                counts.append(len(raw) // width)
-                offsets.append(size)
-                frames.append(frame)
-                size += len(frame)
-                held += counts[-1]
-                if held >= SEGMENT_IDS:
-                    yield packed()
-                    segment += 1
-                    ids, counts, offsets, frames, size, held = [], [], [], [], 0, 0
+        for doc_id, ids_of_doc in encoded(batches):
+            raw = ids_of_doc + end
+            frame = compressor.compress(raw)
+            ids.append(doc_id)
+            counts.append(len(raw) // width)
+            offsets.append(size)
+            frames.append(frame)
+            size += len(frame)
+            held += counts[-1]
+            if held >= SEGMENT_IDS:
+                yield packed()
+                segment += 1
+                ids, counts, offsets, frames, size, held = [], [], [], [], 0, 0
         if ids:
             yield packed()
 

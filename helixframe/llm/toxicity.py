@@ -32,7 +32,8 @@ from helixframe.llm.common import own_columns, written
 MAX_LABELLED = 20_000
 MAX_TERMS = 2_000
 MIN_CONTEXTS = 4
-MIN_WEIGHT = 1.5
+MIN_WEIGHT = 2.5
+CONFIDENCE = 1.64
 FOLDS = 5
 
 # Characters that stand for a Latin letter, and characters to drop.
@@ -118,10 +119,12 @@ def fit_lexicon(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
     if not totals["bad"] or not totals["other"]:
         return {}, []
     weight = F.log((F.col("bad") + 0.5) / (totals["bad"] + 1.0)) - F.log((F.col("other") + 0.5) / (totals["other"] + 1.0))
+    # Lower end of the weight's confidence interval: chance alone puts few terms above it.
+    surely = F.col("weight") - CONFIDENCE * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("other") + 0.5))
     chosen = (
-        counted.where(F.col("bad") >= MIN_CONTEXTS)
+        counted.where((F.col("bad") >= MIN_CONTEXTS) & (F.length("term") >= 3))
         .select("term", "bad", "other", weight.alias("weight"))
-        .where((F.col("weight") >= MIN_WEIGHT) & (F.col("bad") >= 2 * F.col("other")) & (F.length("term") >= 3))
+        .where((surely >= MIN_WEIGHT) & (F.col("bad") >= 2 * F.col("other")))
         .orderBy(F.col("weight").desc(), "term")
         .limit(MAX_TERMS)
         .collect()
