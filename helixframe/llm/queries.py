@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import chat, decontaminate, langid, mixing, pii, quality, token_output, toxicity
+from helixframe.llm import chat, decontaminate, langid, mixing, ngram_join, pii, quality, token_output, toxicity
 from helixframe.llm.common import table
 from helixframe.session import new_scratch_path
 
@@ -60,6 +60,10 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect_languages(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_quality": op3_quality,
@@ -69,6 +73,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
     "op9_langid": op9_langid,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLES = {
