@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import chat, decontaminate, langid, mixing, ngram_join, pii, quality, token_output, toxicity
+from helixframe.llm import chat, decontaminate, langid, mixing, ngram_join, pii, quality, suffix_dedup, token_output, toxicity
 from helixframe.llm.common import table
 from helixframe.session import new_scratch_path
 
@@ -14,6 +14,10 @@ VOCABULARY = "byte_bpe_50k.json"
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -65,6 +69,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
     "op3_quality": op3_quality,
     "op4_chat": op4_chat,
