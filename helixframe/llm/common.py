@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from helixframe.session import new_scratch_path
 
 # White space of the word rule [^\x20\x09-\x0D]+.
-SPACES = "\t\n\x0b\x0c\r"
+SPACE_RUN = r"[\x20\x09-\x0D]+"
+VISIBLE = r"[^\x20\x09-\x0D]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +34,7 @@ def text_or_empty(column: str = "text") -> Column:
 
 def word_array(text: Column) -> Column:
     """Maximal runs of characters other than blank and tab to carriage return."""
-    return F.array_remove(F.split(F.translate(text, SPACES, " " * len(SPACES)), " "), "")
+    return F.array_remove(F.split(text, SPACE_RUN, -1), "")
 
 
 def shifted(array: Column, by: int) -> Column:

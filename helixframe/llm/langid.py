@@ -125,8 +125,11 @@ def fit_profiles(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Pr
     known = own_columns(docs, "doc_id", "text", "lang").where(
         (F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_FOLD) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
+    # Ids are ranked without their texts; at most per_language ids a language are broadcast.
     by_hash = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")))
-    sample = known.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= per_language)
+    ids = known.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(by_hash))
+    chosen = ids.where(F.col("place") <= per_language).select("doc_id", "lang")
+    sample = known.join(F.broadcast(chosen), ["doc_id", "lang"])
     counts = (
         sample.select("lang", "text")
         .mapInArrow(_count_sample, "lang string, gram long, n long")

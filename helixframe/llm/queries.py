@@ -24,7 +24,8 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.quality_rules(docs, table(spark, sf_dir, "labels"))
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "score_millionths",
