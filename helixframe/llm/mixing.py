@@ -132,53 +132,44 @@ def assign_positions(
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
-    """Words per document: the one pass over the texts."""
+    """Words per document and its text's hash: the one pass over the texts."""
     return own_columns(docs, "doc_id", "source", "text").select(
-        "doc_id", "source", F.size(word_array(text_or_empty())).cast("long").alias("size")
+        "doc_id",
+        "source",
+        F.size(word_array(text_or_empty())).cast("long").alias("size"),
+        F.xxhash64(text_or_empty()).alias("text_key"),
     )
 
 
 def mix_plan(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``positions``, ``taken``."""
+    """``doc_id``, ``source``, ``size``, ``text_key``, ``source_size``, ``target``, ``positions``, ``taken``."""
     assigned = assign_positions(written(document_sizes(docs), "mix-sizes"), **options)
     return assigned.withColumn("taken", F.col("size") * F.size("positions"))
 
 
-def training_order(plan: DataFrame) -> DataFrame:
-    """One row per pass of the mix that takes a row, range-sorted by training position."""
-    passes = plan.select(
-        *[c for c in plan.columns if c != "positions"], F.posexplode("positions").alias("pass", "position")
-    )
-    return passes.repartitionByRange("position").sortWithinPartitions("position", "doc_id", "pass")
-
-
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents in training order: every column of ``docs``, once per pass taken.
 
-    Positions come from ids and sizes alone and then meet the texts on the id, the source
-    and the size; rows that agree in all three are interchangeable and are numbered.
+    Positions come from ids and sizes alone and then meet the texts. Rows that agree in id,
+    source and text are interchangeable: one of them stands for the passes of all.
     """
-    names = docs.columns
-    same = ["__id", "__source", "__size"]
-    number = Window.partitionBy(*same).orderBy("__text")
-    sized = docs.withColumns(
-        {
-            "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-            "__source": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")),
-            "__size": F.size(word_array(text_or_empty())).cast("long"),
-            "__text": F.xxhash64(text_or_empty()),
-        }
-    )
-    rows = sized.withColumn("__number", F.row_number().over(number))
-    plan = mix_plan(docs, **options).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__id"),
-        F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("__source"),
-        F.col("size").alias("__size"),
-        "positions",
-    )
-    plan = plan.withColumn("__number", F.row_number().over(Window.partitionBy(*same).orderBy(F.to_json("positions"))))
-    joined = rows.join(plan, [*same, "__number"]).select(
-        *[F.col(f"`{n}`") for n in names], F.posexplode("positions").alias("__pass", "__position")
-    )
-    ordered = joined.repartitionByRange("__position").sortWithinPartitions("__position", "doc_id", "__pass")
-    return ordered.select([F.col(f"`{n}`") for n in names])
+    names = [F.col(f"`{n}`") for n in docs.columns]
+    key = ["__id", "__source", "__text"]
+
+    def keyed(df: DataFrame, text_key: Column) -> DataFrame:
+        return df.withColumns(
+            {
+                "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
+                "__source": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")),
+                "__text": text_key,
+            }
+        )
+
+    plan = keyed(mix_plan(docs, **options), F.col("text_key")).groupBy(*key).agg(
+        F.flatten(F.collect_list("positions")).alias("__positions")
+    )
+    taken = keyed(docs, F.xxhash64(text_or_empty())).join(plan.where(F.size("__positions") > 0), key)
+    # The join's partitioning serves the window too.
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    passes = taken.withColumn("__number", number).where("__number = 1").select(*names, F.explode("__positions").alias("__position"))
+    return passes.repartitionByRange("__position").sortWithinPartitions("__position", "doc_id").select(*names)
