@@ -43,18 +43,19 @@ END_ID = 0
 SEGMENT_IDS = 1 << 20
 CACHE_PIECES = 300_000
 TOGETHER = 64
+MARKS = frozenset(".,;:!?")
 DICTIONARY_BYTES = 1 << 15
 DICTIONARY_DOCS = 400
 DICTIONARY_DOC_BYTES = 1 << 16
 LEVEL = 1
 
-# Between pieces; where blanks meet other white space the cut needs a visible character before it.
-_RUNS = re.compile(r"\s \s|  | \s|\s ")
+# Blanks beside other white space need the slow cut: only behind a visible character.
+_ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
 def pieces_of(text: str) -> list[str]:
-    if _RUNS.search(text):
+    if "  " in text or " \n" in text or "\n " in text or _ODD.search(text):
         return [p for p in _CUT.split(text) if p]
     first, *rest = text.split(" ")
     pieces = [" " + p for p in rest]
@@ -96,6 +97,18 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
 
     def _learn(self, pieces: list[str]) -> None:
+        # A word and the mark behind it are split by the tokenizer: their ids follow each other.
+        marked = [p for p in pieces if p[-1] in MARKS and p[1:-1].isalpha() and p[0] == " "]
+        if marked:
+            plain = {p[:-1] for p in marked} | {p[-1] for p in marked}
+            plain.update(set(pieces).difference(marked))
+            self._encode(sorted(plain.difference(self.known)))
+            for p in marked:
+                self.known[p] = self.known[p[:-1]] + self.known[p[-1]]
+        else:
+            self._encode(pieces)
+
+    def _encode(self, pieces: list[str]) -> None:
         joined = [p for p in pieces if _JOINS.fullmatch(p)]
         for piece in pieces if not joined else set(pieces).difference(joined):
             self.known[piece] = self._ids(piece).tobytes()
@@ -118,9 +131,10 @@ class PieceEncoder:
         cut = [pieces_of(t) for t in texts]
         missing = set().union(*cut).difference(known)
         older = self.older
-        for piece in missing.intersection(older):
+        found = [p for p in missing if p in older] if older else []
+        for piece in found:
             known[piece] = older[piece]
-        missing = sorted(missing.difference(known))
+        missing = sorted(missing.difference(found))
         if missing:
             self._learn(missing)
         return [b"".join([known[p] for p in pieces]) for pieces in cut]
