@@ -3,7 +3,7 @@
 Spark evaluates ``chrom = chrom AND pos BETWEEN start AND end`` as a join on the
 chromosome with the range as a residual: about 25 keys, quadratic within each. Here each
 span gets a bin width of its own magnitude (a power of 8), so it touches at most two bins,
-and each point probes one bin per width. Candidates per span stay proportional to the
+and each point probes one bin per width (of those that occur, where both sides shuffle). Candidates per span stay proportional to the
 points near it whatever the mix of single bases and long reference blocks, no span is
 copied more than twice, and no block length needs a cap. A point meets a span in exactly
 one bin, so the result needs no deduplication.
@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from helixframe.operators.extent import Extent, measure
 from helixframe.session import BROADCAST_MAX_ROWS, broadcast_if_small
+from helixframe.sinks.tables import written
 
 WIDTH_BITS = 3
 LEVELS = tuple(range(0, 31, WIDTH_BITS))
 HOT_BIN_ROWS = 2_000_000
+CHUNK = 1 << 16
 
-_LEVEL, _BIN, _SALT, _CHROM = "__level", "__bin", "__salt", "__chrom"
-_PARTS = "__parts"
+_LEVEL, _BIN, _CHROM = "__level", "__bin", "__chrom"
+_SALT_SPAN, _SALT_POINT = "__salt_span", "__salt_point"
 
 
 def span_level(start: Column, end: Column) -> Column:
@@ -50,41 +52,60 @@ def _with_span_bins(spans: DataFrame, chrom: str, start: str, end: str) -> DataF
     )
 
 
-def _with_point_bins(points: DataFrame, chrom: str, pos: str) -> DataFrame:
-    """One row per bin width."""
-    probed = points.withColumn(_LEVEL, F.explode(F.array(*[F.lit(x) for x in LEVELS])))
-    return probed.withColumn(_BIN, _bin(F.col(pos), F.col(_LEVEL))).withColumnRenamed(
-        chrom, _CHROM
-    )
+def _with_point_bins(points: DataFrame, chrom: str, pos: str, levels: DataFrame | None = None) -> DataFrame:
+    """One row per bin width; with ``levels``, only per width that the contig's spans have."""
+    if levels is None:
+        probed = points.withColumn(_LEVEL, F.explode(F.array(*[F.lit(x) for x in LEVELS])))
+        return probed.withColumn(_BIN, _bin(F.col(pos), F.col(_LEVEL))).withColumnRenamed(chrom, _CHROM)
+    named = points.withColumnRenamed(chrom, _CHROM)
+    probed = named.join(F.broadcast(levels), _CHROM).withColumn(_LEVEL, F.explode("__levels")).drop("__levels")
+    return probed.withColumn(_BIN, _bin(F.col(pos), F.col(_LEVEL)))
 
 
-def _hot_bins(binned: DataFrame, hot_rows: int) -> DataFrame:
-    """Bins with more than ``hot_rows`` rows and the number of parts to split each into.
+def _levels_of(span_counts: DataFrame) -> DataFrame:
+    """Widths that occur per contig: one row per contig, at most 11 entries each."""
+    return span_counts.groupBy(_CHROM).agg(F.sort_array(F.collect_set(_LEVEL)).alias("__levels"))
 
-    Counting reads only the key columns and combines before the shuffle.
-    """
+
+def _bin_counts(binned: DataFrame, name: str) -> DataFrame:
+    """Rows per bin, stored: the widths and the hot bins both come from this one count."""
     counts = binned.groupBy(_CHROM, _LEVEL, _BIN).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > hot_rows).select(
-        _CHROM, _LEVEL, _BIN, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias(_PARTS)
-    )
+    return written(counts, name)
+
+
+def _parts(counts: DataFrame, hot_rows: int, name: str) -> DataFrame:
+    """Bins with more than ``hot_rows`` rows and the number of parts to split each into."""
+    hot = counts.where(F.col("n") > hot_rows)
+    return hot.select(_CHROM, _LEVEL, _BIN, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias(name))
 
 
-def _salted(left: DataFrame, right: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Spread hot bins of ``left`` over parts and copy the matching ``right`` rows to each.
+def _dealt(side: DataFrame, hot: DataFrame, own: str, other: str, salt: str, copy: str) -> DataFrame:
+    """Rows of a hot bin dealt over its own parts and copied to the parts of the other side.
 
-    The part of a row follows from the input partition it is read from, so copies of one
-    row spread too and a retried task decides alike.
+    The part follows from the row's number within its input split, so rows of one bin spread
+    evenly however the input is clustered, copies of one row included.
     """
-    keys = [_CHROM, _LEVEL, _BIN]
-    hot, _ = broadcast_if_small(_hot_bins(left, hot_rows))
-    spread = left.withColumn("__source", F.spark_partition_id()).join(hot, keys, "left")
-    spread = spread.withColumn(
-        _SALT, F.coalesce(F.pmod(F.col("__source"), F.col(_PARTS)), F.lit(0))
-    ).drop("__source", _PARTS)
-    copied = right.join(hot, keys, "left").withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - F.lit(1)))
+    known = side.withColumn("__row", F.monotonically_increasing_id()).join(hot, [_CHROM, _LEVEL, _BIN], "left")
+    dealt = known.withColumn(salt, F.pmod(F.col("__row"), F.coalesce(F.col(own), F.lit(1))).cast("int"))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - F.lit(1))
+    return dealt.withColumn(copy, F.explode(copies)).drop("__row", own, other)
+
+
+def _salted(
+    spans: DataFrame, points: DataFrame, span_counts: DataFrame, point_counts: DataFrame, hot_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Split hot bins of either side; a bin with S and P parts becomes S x P join keys.
+
+    Both sides of a match meet in exactly one of them.
+    """
+    hot = _parts(span_counts, hot_rows, "__s").join(
+        _parts(point_counts, hot_rows, "__p"), [_CHROM, _LEVEL, _BIN], "full"
+    )
+    hot, _ = broadcast_if_small(hot)
+    return (
+        _dealt(spans, hot, "__s", "__p", _SALT_SPAN, _SALT_POINT),
+        _dealt(points, hot, "__p", "__s", _SALT_POINT, _SALT_SPAN),
     )
-    return spread, copied.drop(_PARTS)
 
 
 def fits_broadcast(
@@ -111,7 +132,9 @@ def point_in_span_join(
     Columns come back as ``p_*`` and ``s_*``. ``lookup`` names the side expected to be the
     smaller one (``"points"`` or ``"spans"``). It is measured: its extent narrows the other
     side's scan, and if it is small it is broadcast and nothing is shuffled. Otherwise both
-    sides are shuffled on their bins, and bins above ``hot_rows`` rows are split.
+    sides are shuffled on their bins: the bins are counted first, points probe only the widths
+    that their contig's spans have, and bins above ``hot_rows`` rows of either side are split.
+    Each side is read twice then; pass stored tables.
     """
     return _span_join(points, spans, point, None, span, **options)
 
@@ -158,16 +181,19 @@ def _span_join(
         points = extent.near(points, p_chrom, p_pos, p_pos)
 
     binned_spans = _with_span_bins(spans, s_chrom, s_start, s_end)
-    binned_points = _with_point_bins(points, p_chrom, p_pos)
     keys = [_CHROM, _LEVEL, _BIN]
     if fits_broadcast(extent, lookup, max_rows):
+        binned_points = _with_point_bins(points, p_chrom, p_pos)
         if lookup == "points":
             joined = binned_spans.join(F.broadcast(binned_points), keys)
         else:
             joined = binned_points.join(F.broadcast(binned_spans), keys)
     else:
-        salted_spans, salted_points = _salted(binned_spans, binned_points, hot_rows)
-        joined = salted_spans.join(salted_points, [*keys, _SALT])
+        span_counts = _bin_counts(binned_spans, "span_bins")
+        binned_points = _with_point_bins(points, p_chrom, p_pos, _levels_of(span_counts))
+        point_counts = _bin_counts(binned_points, "point_bins")
+        salted_spans, salted_points = _salted(binned_spans, binned_points, span_counts, point_counts, hot_rows)
+        joined = salted_spans.join(salted_points, [*keys, _SALT_SPAN, _SALT_POINT])
 
     exact = (F.col(p_pos) >= F.col(s_start)) & (F.col(p_pos) <= F.col(s_end))
     if point_end is not None:
@@ -203,7 +229,11 @@ def bed_positions(
 ) -> DataFrame:
     """Every position of half-open intervals [start, end); empty intervals give none."""
     usable = bed.where(F.col(end) > F.col(start))
-    return usable.select(
+    # First the starts of chunks, then the positions of a chunk: no array grows with an interval.
+    chunks = usable.select(
         F.col(chrom).alias("chrom"),
-        F.explode(F.sequence(F.col(start), F.col(end) - F.lit(1))).alias("pos"),
+        F.explode(F.sequence(F.col(start), F.col(end) - F.lit(1), F.lit(CHUNK))).alias("first"),
+        F.col(end).alias("end"),
     )
+    last = F.least(F.col("end") - F.lit(1), F.col("first") + F.lit(CHUNK - 1))
+    return chunks.select("chrom", F.explode(F.sequence("first", last)).alias("pos"))

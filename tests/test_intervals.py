@@ -62,21 +62,47 @@ def test_spans_in_spans(spark, lookup, max_rows, hot_rows):
     assert sorted(tuple(r) for r in got.collect()) == expected
 
 
-def test_hot_bin_is_spread(spark):
-    spans = spark.range(0, 3000, 1, 12).select(
+def _binned_pair(spans, points):
+    left = R._with_span_bins(spans, "s_chrom", "s_pos", "s_end_pos")
+    span_counts = R._bin_counts(left, "test_span_bins")
+    right = R._with_point_bins(points, "p_chrom", "p_pos", R._levels_of(span_counts))
+    return left, right, span_counts, R._bin_counts(right, "test_point_bins")
+
+
+@pytest.mark.parametrize("splits", [1, 12])
+def test_hot_bin_is_spread(spark, splits, tmp_path):
+    """Also in a table of one file, where all rows of a bin come from one split."""
+    spark.range(0, 3000, 1, splits).select(
         F.lit("1").alias("s_chrom"), F.lit(10).alias("s_pos"), F.lit(10).alias("s_end_pos")
-    )
+    ).coalesce(1 if splits == 1 else splits).write.parquet(str(tmp_path / "spans"))
+    spans = spark.read.parquet(str(tmp_path / "spans"))
     points = spark.createDataFrame([("1", 10)], "p_chrom string, p_pos int")
-    left, right = R._salted(
-        R._with_span_bins(spans, "s_chrom", "s_pos", "s_end_pos"),
-        R._with_point_bins(points, "p_chrom", "p_pos"), 500,
-    )
-    sizes = [r["count"] for r in left.groupBy("__salt").count().collect()]
-    assert len(sizes) == 6 and max(sizes) == 500
-    copies = right.where(F.col("__level") == 0).select("__salt").collect()
+    left, right = R._salted(*_binned_pair(spans, points), 500)
+    sizes = [r["count"] for r in left.groupBy("__salt_span").count().collect()]
+    assert len(sizes) == 6 and max(sizes) <= 600
+    copies = right.select("__salt_span").collect()
     assert sorted(r[0] for r in copies) == list(range(6))
 
 
+def test_points_probe_only_widths_that_occur(spark):
+    """No join key holds all points of a contig unless a span of that width exists."""
+    spans = spark.createDataFrame([("1", 5, 5), ("1", 100, 130), ("2", 1, 2**30)], "s_chrom string, s_pos int, s_end_pos int")
+    points = spark.range(1, 2001).select(F.lit("1").alias("p_chrom"), F.col("id").cast("int").alias("p_pos"))
+    _, right, _, _ = _binned_pair(spans, points)
+    assert {r["__level"] for r in right.select("__level").distinct().collect()} == {0, 6}
+    most = right.groupBy("__chrom", "__level", "__bin").count().agg(F.max("count")).first()[0]
+    assert most <= 64
+
+
+def test_hot_points_are_split(spark):
+    spans = spark.createDataFrame([("1", 1, 2**20)], "s_chrom string, s_pos int, s_end_pos int")
+    points = spark.range(1, 1001).select(F.lit("1").alias("p_chrom"), F.col("id").cast("int").alias("p_pos"))
+    left, right = R._salted(*_binned_pair(spans, points), 100)
+    sizes = [r["count"] for r in right.groupBy("__bin", "__salt_point").count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 150
+    assert left.where("__bin = 0").count() == 10
+
+
 def test_a_span_touches_two_bins_at_most(spark):
     rng = random.Random(5)
     spans = []
@@ -110,6 +136,13 @@ def test_bed_positions(spark, rows):
     assert rows(R.bed_positions(bed)) == [("1", 3), ("1", 4), ("1", 4), ("1", 5)]
 
 
+def test_bed_positions_of_long_intervals(spark):
+    bed = spark.createDataFrame([("1", 10, 10 + 3 * R.CHUNK + 7)], "chrom string, start_pos int, end_plus1 int")
+    found = R.bed_positions(bed).agg(F.count("pos"), F.min("pos"), F.max("pos"), F.count_distinct("pos")).first()
+    n = 3 * R.CHUNK + 7
+    assert tuple(found) == (n, 10, n + 9, n)
+
+
 @pytest.mark.parametrize("contigs", [1, 3, 10, 100])
 def test_extent_keeps_every_possible_match(spark, contigs):
     points = spark.createDataFrame([(f"c{n}", 100 * n + 5, n) for n in range(contigs)], POINT)
