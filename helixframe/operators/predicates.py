@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import genotype as G
-from helixframe.functions.text import strtok
 from helixframe.session import small
 
 # Symbolic calls without an alternate allele, and the gVCF block marker.
@@ -86,9 +85,9 @@ def is_called(df: DataFrame, gt: str = "gt") -> DataFrame:
 
 
 def carries_alt(df: DataFrame, gt: str = "gt") -> DataFrame:
-    """Phased calls with a strand other than the reference."""
+    """Calls, phased or not, with a strand other than the reference."""
     call = F.col(gt)
-    return df.where((strtok(call, "|", 1) != "0") | (strtok(call, "|", 2) != "0"))
+    return df.where((G.gt_token(call, 1) != "0") | (G.gt_token(call, 2) != "0"))
 
 
 def freq_filter(

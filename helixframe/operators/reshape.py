@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.session import small
@@ -52,3 +52,49 @@ def pivot_samples(
     Keys that only unlisted samples have keep their row, with NULL in every column.
     """
     return df.groupBy(*keys).pivot(sample, samples).agg(F.max(value))
+
+
+def sample_order(panel: DataFrame, sample: str = "sample_id") -> DataFrame:
+    """Distinct sample names with their 0-based place in name order.
+
+    Names alone are ordered together: one short row per sample, whatever the calls.
+    """
+    names = panel.select(F.col(sample).alias(sample)).where(F.col(sample).isNotNull()).distinct()
+    return names.withColumn("place", F.row_number().over(Window.orderBy(sample)) - F.lit(1))
+
+
+def sample_line(panel: DataFrame, sample: str = "sample_id") -> DataFrame:
+    """One row: the tab-joined names, in the order that ``pivot_text`` uses."""
+    names = panel.select(sample).where(F.col(sample).isNotNull()).distinct()
+    return names.agg(F.array_join(F.sort_array(F.collect_list(sample)), "\t").alias("samples"))
+
+
+def pivot_text(
+    df: DataFrame, keys: list[str], panel: DataFrame, value: Column, sample: str = "sample_id"
+) -> DataFrame:
+    """One row per key with every panel sample's greatest value as tab-joined text.
+
+    Samples come in name order, absent ones as ``.``; samples outside the panel are left out,
+    keys that only they have keep a row of dots. The plan has the same size for any number of
+    samples: present values are gathered with their places, and the gaps between places are
+    filled with dots.
+    """
+    order = sample_order(panel, sample)
+    total = order.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    placed = df.select(*keys, F.col(sample), value.alias("__value")).join(small(order), sample, "left")
+    single = placed.groupBy(*keys, "place").agg(F.max("__value").cast("string").alias("__value"))
+    known = F.when(F.col("place").isNotNull() & F.col("__value").isNotNull(), F.struct("place", "__value"))
+    sites = single.groupBy(*keys).agg(F.sort_array(F.collect_list(known)).alias("__cells"))
+    cells, size = F.col("__cells"), F.size("__cells")
+    following = F.concat(
+        F.transform(F.slice(cells, 2, F.greatest(size - 1, F.lit(0))), lambda c: c["place"]), F.array(F.lit(total))
+    )
+    spelled = F.zip_with(
+        cells,
+        following,
+        lambda c, after: F.concat(c["__value"], F.repeat(F.lit("\t."), (after - c["place"] - 1).cast("int"))),
+    )
+    lead = F.repeat(F.lit(".\t"), F.get(cells, F.lit(0))["place"].cast("int"))
+    dots = "\t".join(["."] * min(total, 1)) + "\t." * max(total - 1, 0)
+    text = F.when(size == 0, F.lit(dots)).otherwise(F.concat(lead, F.array_join(spelled, "\t")))
+    return sites.select(*keys, text.alias("values"))

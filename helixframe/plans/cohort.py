@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.operators import predicates as P
-from helixframe.operators.extent import measure
+from helixframe.operators.extent import Extent, measure
 from helixframe.operators.intervals import (
     bed_positions,
     fits_broadcast,
@@ -18,9 +18,10 @@ from helixframe.operators.intervals import (
     span_in_span_join,
 )
 from helixframe.operators.joins import counted
-from helixframe.operators.reshape import flatten_alts, pivot_samples
+from helixframe.operators.reshape import flatten_alts, pivot_text
 from helixframe.plans.tables import decode_calls, rebase_calls
-from helixframe.sinks.tables import written
+from helixframe.session import BROADCAST_MAX_ROWS
+from helixframe.sinks.tables import materialize, read_clustered, write_clustered, written
 
 SPAN_KEYS = ("chrom", "pos", "end_pos")
 
@@ -41,10 +42,13 @@ def nonref_sites(
 ) -> DataFrame:
     """Sites with passing non-reference calls and how many; the least REF text stands in
     where rows disagree."""
-    calls = _nonref_calls(spans, chrom, start, end)
-    return calls.groupBy(*SPAN_KEYS).agg(
+    return _site_counts(spans, chrom, start, end).orderBy("chrom", "pos", "end_pos")
+
+
+def _site_counts(spans: DataFrame, chrom, start, end) -> DataFrame:
+    return _nonref_calls(spans, chrom, start, end).groupBy(*SPAN_KEYS).agg(
         F.min("ref").alias("ref"), F.count("sample_id").alias("samples")
-    ).orderBy("chrom", "pos", "end_pos")
+    )
 
 
 def genotypes_at_nonref_sites(
@@ -73,10 +77,18 @@ def genotypes_at_nonref_sites(
     )
 
 
+def _counted_once(
+    spans: DataFrame, keys: list[str], extent: Extent, max_rows: int = BROADCAST_MAX_ROWS
+) -> DataFrame:
+    """Counted span calls; stored where the join shuffles them, since it reads them twice."""
+    in_place = fits_broadcast(extent, max_rows=max_rows)
+    calls = counted(spans, keys, in_place)
+    return calls if in_place else written(calls, "counted_calls")
+
+
 def _written_sites(spans: DataFrame, chrom, start, end) -> DataFrame:
     """The sites as a written table, since they are measured and joined."""
-    sites = nonref_sites(spans, chrom, start, end).select(*SPAN_KEYS, "ref")
-    return written(sites, "nonref_sites")
+    return written(_site_counts(spans, chrom, start, end).select(*SPAN_KEYS, "ref"), "nonref_sites")
 
 
 def genotype_counts_at_sites(
@@ -85,7 +97,7 @@ def genotype_counts_at_sites(
     """Calls per site and spelled-out genotype."""
     sites = _written_sites(spans, chrom, start, end)
     extent = measure(sites, "chrom", "pos", "pos")
-    calls = counted(spans, [*SPAN_KEYS, "alt", "gt"], fits_broadcast(extent))
+    calls = _counted_once(spans, [*SPAN_KEYS, "alt", "gt"], extent)
     pairs = span_in_span_join(sites, calls, extent=extent)
     decoded = decode_calls(pairs, "p_ref", "s_alt", "s_gt").select(
         F.col("p_chrom").alias("chrom"),
@@ -170,15 +182,17 @@ def vcf_records(
 
 def multisample_vcf(
     spans: DataFrame,
-    samples: list[str],
+    panel: DataFrame,
     chrom: str | None = None,
     start: int | None = None,
     end: int | None = None,
 ) -> DataFrame:
-    """Multi-sample VCF rows with one column per listed sample."""
+    """Multi-sample VCF rows: the fixed columns and all panel samples' values, tab-joined.
+
+    ``sample_line(panel)`` gives the names for the ``#CHROM`` line.
+    """
     records = vcf_records(spans, chrom, start, end)
-    wide = pivot_samples(records, list(RECORD_COLUMNS), samples, F.col("value"))
-    return wide.orderBy("chrom", "pos")
+    return pivot_text(records, list(RECORD_COLUMNS), panel, F.col("value")).orderBy("chrom", "pos")
 
 
 def cohort_variants(spans: DataFrame, with_id: bool = False) -> DataFrame:
@@ -244,11 +258,12 @@ LIST_PARTS = 32
 def sample_lists(calls: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Count and ordered, comma-joined sample list per key.
 
-    Samples are first listed in parts, by the partition a row comes from, so a frequent
-    call (the reference, mostly) is gathered by many tasks and only the part lists meet.
-    The list itself is the value of one result row and as long as that row's samples.
+    Samples are first listed in parts by a hash of the sample, so a frequent call (the
+    reference, mostly) is gathered by many tasks, also from a table clustered by locus, and
+    only the part lists meet. The list itself is the value of one result row and as long as
+    that row's samples.
     """
-    parted = calls.withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(LIST_PARTS)))
+    parted = calls.withColumn("__part", F.pmod(F.xxhash64("sample_id"), F.lit(LIST_PARTS)))
     parts = parted.groupBy(*keys, "__part").agg(
         F.collect_list("sample_id").alias("__samples"), F.count(F.lit(1)).alias("__n")
     )
@@ -258,23 +273,44 @@ def sample_lists(calls: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     )
 
 
-def cohort_calls(spans: DataFrame, loci: DataFrame) -> DataFrame:
+def cohort_calls(spans: DataFrame, loci: DataFrame, **options) -> DataFrame:
     """Calls at the cohort's loci: count and the ordered list of samples.
 
+    ``options`` are those of the range join.
+
     A table to be written, so it is left unsorted: ``write_clustered`` orders it.
     ``compute_variant_counts`` gives the counts alone.
     """
-    return sample_lists(_span_calls(spans, loci, "sample_id"), CALL_KEYS)
+    return sample_lists(_span_calls(spans, loci, "sample_id", **options), CALL_KEYS)
 
 
-def compute_variant_counts(spans: DataFrame, loci: DataFrame) -> DataFrame:
+def compute_variant_counts(
+    spans: DataFrame, loci: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, **options
+) -> DataFrame:
     """Calls at the cohort's loci over all contigs in one job."""
     extent = measure(loci, "chrom", "pos", "pos")
-    calls = counted(spans, [*SPAN_KEYS, "alt", "gt"], fits_broadcast(extent))
-    at_loci = _span_calls(calls, loci, "n", extent=extent)
+    calls = _counted_once(spans, [*SPAN_KEYS, "alt", "gt"], extent, max_rows)
+    at_loci = _span_calls(calls, loci, "n", extent=extent, max_rows=max_rows, **options)
     return at_loci.groupBy(*CALL_KEYS).agg(F.sum("n").alias("cnt"))
 
 
+def store_variant_counts(spans: DataFrame, loci: DataFrame, path: str, **options) -> DataFrame:
+    """``compute_variant_counts`` as a named table: clustered by locus below ``path``."""
+    counts = compute_variant_counts(spans, loci, **options)
+    write_clustered(counts, path, ("chrom", "pos", "ref"))
+    return read_clustered(spans.sparkSession, path, counts.schema)
+
+
+def range_cohort_calls(spans: DataFrame, name: str, chrom: str, start: int, end: int) -> DataFrame:
+    """The range workflow: base table, variants with the greatest id, loci by id, call list.
+
+    The base is materialized under ``name``; the other steps read only it.
+    """
+    base = materialize(P.locus_range(spans, chrom, start, end), name)
+    _, loci = cohort_tables(base, with_id=True)
+    return cohort_calls(base, loci)
+
+
 def samples_by_genotype(calls: DataFrame) -> DataFrame:
     """Ordered sample list per site and call."""
     return sample_lists(calls, ("chrom", "pos", "ref", "gt"))
@@ -312,7 +348,7 @@ def bed_cohort_frequencies(spans: DataFrame, bed: DataFrame) -> DataFrame:
     """
     positions = bed_positions(bed)
     extent = measure(positions, "chrom", "pos", "pos")
-    calls = counted(spans, [*SPAN_KEYS, "alt_string", "gt"], fits_broadcast(extent))
+    calls = _counted_once(spans, [*SPAN_KEYS, "alt_string", "gt"], extent)
     pairs = point_in_span_join(positions, calls, extent=extent)
     return pairs.groupBy(
         F.col("p_chrom").alias("chrom"),

@@ -48,7 +48,12 @@ def _carrier_counts(annotation, genotypes, panel, match_ref, thresholds, extra)
     targets, is_small = broadcast_if_small(_targets(annotation, **thresholds))
     keys = ["chrom", "pos", "ref", "allele1", "allele2"]
     if panel is not None:
-        genotypes = join_panel(genotypes.select(*keys, "sample_id"), panel.select("sample_id", *extra))
+        genotypes = genotypes.select(*keys, "sample_id")
+        if is_small:
+            # The targets leave few rows; only those meet the panel.
+            places = F.broadcast(targets.select("chrom", "pos").distinct())
+            genotypes = genotypes.join(places, ["chrom", "pos"], "left_semi")
+        genotypes = join_panel(genotypes, panel.select("sample_id", *extra))
     calls = counted(genotypes, [*keys, *extra], is_small)
     condition = (
         (F.col("g.chrom") == F.col("t.chrom"))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from helixframe.operators.reshape import pivot_text, sample_line
 from helixframe.plans import cohort as C
 from helixframe.registry import inputs as src
 from helixframe.registry.inputs import TOKEN1, TOKEN2, allele_sql, check, flat
+from helixframe.session import new_scratch_path
 
-FAR = 2_000_000_000
-# The pivot's explicit column list.
-SAMPLES = tuple(f"S{n:05d}" for n in range(100))
+# A range that holds some positions of every scale factor and leaves others out.
+FROM, TO = 3000, 6000
 
 
 def _spans(plan, *args):
@@ -23,13 +24,16 @@ def genotypes_at_position(spark, sf):
 
 
 def multisample_vcf(spark, sf):
-    return C.multisample_vcf(src.spans(spark, sf), list(SAMPLES))
+    return C.multisample_vcf(src.spans(spark, sf), src.panel(spark, sf))
+
+
+def multisample_header(spark, sf):
+    return sample_line(src.panel(spark, sf))
 
 
 def pivot_samples(spark, sf):
-    """Depth per site and sample as columns."""
-    rows = src.spans(spark, sf)
-    return C.pivot_samples(rows, ["chrom", "pos", "ref"], list(SAMPLES), F.col("dp"))
+    """Depth per site, all panel samples in one text."""
+    return pivot_text(src.spans(spark, sf), ["chrom", "pos", "ref"], src.panel(spark, sf), F.col("dp"))
 
 
 def cohort_loci(spark, sf):
@@ -55,6 +59,30 @@ def compute_variant_counts(spark, sf):
     return C.compute_variant_counts(spans, loci)
 
 
+def cohort_calls_shuffled(spark, sf):
+    """The same beyond the broadcast bound, with hot bins split."""
+    spans = src.spans(spark, sf)
+    _, loci = C.cohort_tables(spans)
+    return C.cohort_calls(spans, loci, max_rows=0, hot_rows=200)
+
+
+def compute_variant_counts_shuffled(spark, sf):
+    spans = src.spans(spark, sf)
+    _, loci = C.cohort_tables(spans)
+    return C.compute_variant_counts(spans, loci, max_rows=0, hot_rows=200)
+
+
+def store_variant_counts(spark, sf):
+    spans = src.spans(spark, sf)
+    _, loci = C.cohort_tables(spans)
+    return C.store_variant_counts(spans, loci, new_scratch_path(spark, "variant_counts"))
+
+
+def range_cohort_calls(spark, sf):
+    spans = src.spans(spark, sf).withColumn("id", F.concat(F.lit("v"), F.col("pos").cast("string")))
+    return C.range_cohort_calls(spans, "range_base", "11", FROM, TO)
+
+
 def bed_cohort_frequencies(spark, sf):
     return C.bed_cohort_frequencies(src.spans(spark, sf), src.bed(spark, sf))
 
@@ -80,20 +108,25 @@ def vcf_record(spark, sf):
 QUERIES = {
     "genotypes_at_position": genotypes_at_position,
     "nonref_sites": _spans(C.nonref_sites),
-    "nonref_sites_in_range": _spans(C.nonref_sites, "11", 1000, FAR),
+    "nonref_sites_in_range": _spans(C.nonref_sites, "11", FROM, TO),
     "genotypes_at_nonref_sites": _spans(C.genotypes_at_nonref_sites),
-    "genotypes_at_nonref_sites_in_range": _spans(C.genotypes_at_nonref_sites, "11", 1000, FAR),
+    "genotypes_at_nonref_sites_in_range": _spans(C.genotypes_at_nonref_sites, "11", FROM, TO),
     "genotype_counts_at_sites": _spans(C.genotype_counts_at_sites),
     "alts_per_position": _spans(C.alts_per_position),
     "alt_union": _spans(C.alt_union),
     "vcf_record": vcf_record,
     "multisample_vcf": multisample_vcf,
+    "multisample_header": multisample_header,
     "pivot_samples": pivot_samples,
     "cohort_variants": _spans(C.cohort_variants),
     "cohort_loci": cohort_loci,
     "cohort_loci_with_id": cohort_loci_with_id,
     "cohort_calls": cohort_calls,
+    "cohort_calls_shuffled": cohort_calls_shuffled,
+    "range_cohort_calls": range_cohort_calls,
     "compute_variant_counts": compute_variant_counts,
+    "compute_variant_counts_shuffled": compute_variant_counts_shuffled,
+    "store_variant_counts": store_variant_counts,
     "alt_variations": _spans(C.alt_variations),
     "alt_refs": alt_refs,
     "variant_calls": _spans(C.variant_calls),
@@ -146,7 +179,19 @@ _RECORDS = (
     "coalesce(g.filter,'.') as value from unions n join spans g on g.chrom=n.chrom and "
     "n.pos>=g.pos and n.end_pos<=g.end_pos"
 )
-_PIVOT = ", ".join(f"max(case when sample_id='{s}' then {{0}} end) as \"{s}\"" for s in SAMPLES)
+
+
+def _pivoted(keys: str, rows: str, value: str) -> str:
+    """Every panel sample's greatest value per site, as tab-joined text in name order."""
+    same = " and ".join(f"s.{k} is not distinct from v.{k}" for k in keys.split(", "))
+    return (
+        f"with found as (select {keys}, sample_id, cast(max({value}) as varchar) as value from {rows} group by all), "
+        f"sites as (select distinct {keys} from {rows}) "
+        f"select {', '.join('s.' + k for k in keys.split(', '))}, "
+        "string_agg(coalesce(v.value, '.'), chr(9) order by p.sample_id) as values "
+        f"from sites s cross join panel_fx p left join found v on v.sample_id=p.sample_id and {same} group by all"
+    )
+
 
 _SITE_CTES = {"nonref_rows": _NONREF, "sites": _SITES}
 _ALT_CTES = {"nonref_rows": _NONREF, "alts": _ALTS, "unions": _UNION}
@@ -167,10 +212,16 @@ _PGX = (
     "on g.chrom=a.chrom and a.pos>=g.pos and a.pos<=g.end_pos"
 )
 _ONE_RANGE = {
-    "nonref_rows": _NONREF + f" and chrom='11' and pos between 1000 and {FAR}",
+    "nonref_rows": _NONREF + f" and chrom='11' and pos between {FROM} and {TO}",
     "sites": _SITES,
 }
 
+_COUNTS = "select chrom, pos, ref, alt_string, gt, count(*) as cnt from calls group by all"
+_LISTS = (
+    "select chrom, pos, ref, alt_string, gt, count(*) as cnt, "
+    "string_agg(sample_id, ',' order by sample_id) as samples from calls group by all"
+)
+
 ORACLES = {
     "genotypes_at_position": check(
         "select chrom, pos, end_pos, ref, alt_string as alt, sample_id, gt, dp from spans "
@@ -189,13 +240,15 @@ ORACLES = {
     "alt_union": check("select * from unions", **_ALT_CTES),
     "vcf_record": check(_RECORDS, **_ALT_CTES),
     "multisample_vcf": check(
-        f"select chrom, pos, id, ref, alt, qual, filter, info, format, {_PIVOT.format('value')} "
-        "from records group by chrom, pos, id, ref, alt, qual, filter, info, format",
+        f"select * from ({_pivoted('chrom, pos, id, ref, alt, qual, filter, info, format', 'records', 'value')}) x",
         **_ALT_CTES,
         records=_RECORDS,
     ),
+    "multisample_header": check(
+        "select string_agg(sample_id, chr(9) order by sample_id) as samples from (select distinct sample_id from panel_fx) p"
+    ),
     "pivot_samples": check(
-        f"select chrom, pos, ref, {_PIVOT.format('dp')} from spans group by chrom, pos, ref"
+        f"select * from ({_pivoted('chrom, pos, ref', 'spans', 'dp')}) x"
     ),
     "cohort_variants": check(
         "select chrom, pos, ref, alt_string as alt, gt, count(*) as cnt from spans "
@@ -208,17 +261,17 @@ ORACLES = {
         "unnest(string_split(alt_string,',')) as allele from gvcf_fx "
         "where alt_string<>'<NON_REF>') e group by chrom, pos, ref"
     ),
-    "cohort_calls": check(
-        "select chrom, pos, ref, alt_string, gt, count(*) as cnt, "
-        "string_agg(sample_id, ',' order by sample_id) as samples from calls group by all",
-        loci=_LOCI,
-        calls=_CALLS,
-    ),
-    "compute_variant_counts": check(
-        "select chrom, pos, ref, alt_string, gt, count(*) as cnt from calls group by all",
-        loci=_LOCI,
-        calls=_CALLS,
+    "cohort_calls": check(_LISTS, loci=_LOCI, calls=_CALLS),
+    "cohort_calls_shuffled": check(_LISTS, loci=_LOCI, calls=_CALLS),
+    "range_cohort_calls": check(
+        _LISTS,
+        base=f"select * from spans where chrom='11' and pos between {FROM} and {TO}",
+        loci=_LOCI.replace("from gvcf_fx", "from base"),
+        calls=_CALLS.replace("from spans g", "from base g"),
     ),
+    "compute_variant_counts": check(_COUNTS, loci=_LOCI, calls=_CALLS),
+    "compute_variant_counts_shuffled": check(_COUNTS, loci=_LOCI, calls=_CALLS),
+    "store_variant_counts": check(_COUNTS, loci=_LOCI, calls=_CALLS),
     "alt_variations": check(
         "select chrom, pos, ref, count(distinct alt_string) as varcnt from nonref_rows "
         "where pos=end_pos group by chrom, pos, ref having count(distinct alt_string)>1",

@@ -17,7 +17,8 @@ from helixframe.registry import inputs as src
 from helixframe.registry.inputs import TOKEN1, TOKEN2, CONDITION, GENE, check, flat
 from helixframe.sources.dims import contig_alias_dim, contig_aliases
 
-FAR = 2_000_000_000
+# A range that holds some positions of every scale factor and leaves others out.
+FROM, TO = 3000, 6000
 
 
 def _calls(df):
@@ -28,12 +29,12 @@ _CALLS = "select chrom, pos, ref, alt_string as alt, sample_id, gt from geno"
 
 
 def locus_range(spark, sf):
-    return _calls(P.locus_range(src.genotypes(spark, sf), "10", 1000, FAR))
+    return _calls(P.locus_range(src.genotypes(spark, sf), "10", FROM, TO))
 
 
 def locus_below(spark, sf):
     """Positions below a bound only, as used for a base table of a range workflow."""
-    rows = P.locus_range(src.spans(spark, sf), "1", end=FAR)
+    rows = P.locus_range(src.spans(spark, sf), "1", end=TO)
     return rows.select("chrom", "pos", "end_pos", "sample_id", "gt")
 
 
@@ -265,9 +266,9 @@ QUERIES = {
 }
 
 ORACLES = {
-    "locus_range": check(_CALLS + f" where chrom='10' and pos between 1000 and {FAR}"),
+    "locus_range": check(_CALLS + f" where chrom='10' and pos between {FROM} and {TO}"),
     "locus_below": check(
-        f"select chrom, pos, end_pos, sample_id, gt from spans where chrom='1' and pos<={FAR}"
+        f"select chrom, pos, end_pos, sample_id, gt from spans where chrom='1' and pos<={TO}"
     ),
     "non_ref": check(
         "select chrom, pos, sample_id, gt from spans where gt not in ('0/0','./.','0','.')"

@@ -10,7 +10,8 @@ from helixframe.registry import inputs as src
 from helixframe.registry.inputs import CONDITION, GENE, TOKEN1, TOKEN2, check, flat
 
 RARE, INFREQUENT, COMMON = 0.001, 0.01, 0.6
-FAR = 2_000_000_000
+# A range that holds some positions of every scale factor and leaves others out.
+FROM, TO = 3000, 6000
 POP, GENDER = "NATION_15", "female"
 SAMPLE = "S00003"
 WINDOW = (20_000, 28_000)
@@ -27,7 +28,7 @@ def _rare(plan, *bounds):
 def alleles_by_population(spark, sf):
     return flat(
         Q.alleles_by_population(
-            src.genotypes(spark, sf), src.panel(spark, sf), "10", 1000, FAR, POP, GENDER
+            src.genotypes(spark, sf), src.panel(spark, sf), "10", FROM, TO, POP, GENDER
         )
     )
 
@@ -94,11 +95,11 @@ QUERIES = {
     "common_alleles": common_alleles_inline,
     "common_alleles_view": common_alleles_view,
     "top_alleles": lambda s, sf: flat(Q.common_alleles(src.alleles(s, sf), "9", COMMON, TOP)),
-    "rare_carriers": _rare(Q.rare_carriers, "11", 1000, FAR),
-    "rare_carrier_count": _rare(Q.rare_carrier_count, "11", 1000, FAR),
+    "rare_carriers": _rare(Q.rare_carriers, "11", FROM, TO),
+    "rare_carrier_count": _rare(Q.rare_carrier_count, "11", FROM, TO),
     "carriers_distinct": _rare(Q.rare_carrier_count),
     "variants_per_sample": _rare(Q.variants_per_sample),
-    "variants_per_sample_in_range": _rare(Q.variants_per_sample, "11", 1000, FAR),
+    "variants_per_sample_in_range": _rare(Q.variants_per_sample, "11", FROM, TO),
     "rare_carriers_near_locus": _rare(Q.rare_carrier_count, "11", *WINDOW),
     "rare_carrier_list_near_locus": _rare(Q.rare_carriers, "11", *WINDOW),
     "rare_homozygous_sites": rare_homozygous_sites,
@@ -114,7 +115,7 @@ _CARRIERS = (
     "from flat v join geno g on " + _SITE_JOIN + " and v.alt_allele in (g.allele1, g.allele2) "
     f"where v.af<{RARE}"
 )
-_RANGE = f" and v.chrom='11' and v.pos between 1000 and {FAR}"
+_RANGE = f" and v.chrom='11' and v.pos between {FROM} and {TO}"
 _NEAR = f" and v.chrom='11' and v.pos between {WINDOW[0]} and {WINDOW[1]}"
 _CARRIER_COLUMNS = (
     "select v.chrom, v.pos, v.ref, v.alt_string as alt, v.alt_allele_id, v.alt_allele, "
@@ -159,7 +160,7 @@ def _gene(where: str) -> str:
 ORACLES = {
     "alleles_by_population": check(
         "select sample_id, chrom, pos, ref, alt_string as alt, gt, allele1, allele2 from geno "
-        f"join panel_fx using (sample_id) where chrom='10' and pos between 1000 and {FAR} "
+        f"join panel_fx using (sample_id) where chrom='10' and pos between {FROM} and {TO} "
         f"and gt<>'0|0' and pop='{POP}' and gender='{GENDER}'"
     ),
     "condition_genotypes": check(_CONDITION.format("")),

@@ -93,7 +93,9 @@ def sql_functions(spark, sf):
         "select chrom, pos, ref, sample_id, gt, allele1(ref, alt, gt) as a1, "
         "allele2(ref, alt, gt) as a2, allele_position(gt, 1) as p1, is_homozygous(gt) as hom, "
         "allele_count(gt) as n, matching_allele_count(alt[0], ref, alt, gt) as m, "
-        "allele_matches(ref, alt, gt, alt[0]) as hit, genokey(chrom, pos) as k from genotype_calls"
+        "allele_matches(ref, alt, gt, alt[0]) as hit, genokey(chrom, pos) as k, "
+        "allele_contained_in(ref, alt, gt, array(alt[0])) as held, at_location(pos, pos + 9, 3005) as here, "
+        "rebase_gt(alt, sort_array(alt), gt) as new_gt from genotype_calls"
     )
 
 
@@ -298,6 +300,9 @@ ORACLES = {
     "sql_functions": _genotype_check(
         a1="allele1", a2="allele2", p1=_POSITION.format(TOKEN1), hom=_HOM,
         n=f"cast({_COUNT} as int)", m=f"cast({_MATCHES} as int)", hit=_HIT, k=_GENOKEY,
+        held=_HIT, here="3005 between pos and pos+9",
+        new_gt=f"{_recode(TOKEN1)}||case when contains(gt,'|') then '|'||{_recode(TOKEN2)} "
+        f"when contains(gt,'/') then '/'||{_recode(TOKEN2)} else '' end",
     ),
     "norm_chrom": check(
         "select chrom, 'chr'||chrom as raw, count(*) as n from gvcf_lines_fx group by chrom"

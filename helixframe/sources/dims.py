@@ -6,11 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from helixframe.session import literal_table
 
-# RefSeq accession versions of chromosomes 1-22, X, Y in both builds, in order.
-CHROMOSOMES = (*(str(n) for n in range(1, 23)), "X", "Y")
-GRCH37_VERSIONS = (10, 11, 11, 11, 9, 11, 13, 10, 11, 10, 9, 11, 10, 8, 9, 9, 10, 9, 9, 10, 8, 10, 10, 9)
-GRCH38_VERSIONS = (11, 12, 12, 12, 10, 12, 14, 11, 12, 11, 10, 12, 11, 9, 10, 10, 11, 10, 10, 11, 9, 11, 11, 10)
-BUILDS = {"GRCh37": GRCH37_VERSIONS, "GRCh38": GRCH38_VERSIONS}
+# RefSeq accessions of chromosomes 1-22, X, Y in both builds.
+GRCH37_CONTIGS = {
+    "NC_000001.10": "1", "NC_000002.11": "2", "NC_000003.11": "3", "NC_000004.11": "4",
+    "NC_000005.9": "5", "NC_000006.11": "6", "NC_000007.13": "7", "NC_000008.10": "8",
+    "NC_000009.11": "9", "NC_000010.10": "10", "NC_000011.9": "11", "NC_000012.11": "12",
+    "NC_000013.10": "13", "NC_000014.8": "14", "NC_000015.9": "15", "NC_000016.9": "16",
+    "NC_000017.10": "17", "NC_000018.9": "18", "NC_000019.9": "19", "NC_000020.10": "20",
+    "NC_000021.8": "21", "NC_000022.10": "22", "NC_000023.10": "X", "NC_000024.9": "Y",
+}
+GRCH38_CONTIGS = {
+    "NC_000001.11": "1", "NC_000002.12": "2", "NC_000003.12": "3", "NC_000004.12": "4",
+    "NC_000005.10": "5", "NC_000006.12": "6", "NC_000007.14": "7", "NC_000008.11": "8",
+    "NC_000009.12": "9", "NC_000010.11": "10", "NC_000011.10": "11", "NC_000012.12": "12",
+    "NC_000013.11": "13", "NC_000014.9": "14", "NC_000015.10": "15", "NC_000016.10": "16",
+    "NC_000017.11": "17", "NC_000018.10": "18", "NC_000019.10": "19", "NC_000020.11": "20",
+    "NC_000021.9": "21", "NC_000022.11": "22", "NC_000023.11": "X", "NC_000024.10": "Y",
+}
+BUILDS = {"GRCh37": GRCH37_CONTIGS, "GRCh38": GRCH38_CONTIGS}
 
 # CYP2C19 star-allele loci of the CPIC clopidogrel guideline, GRCh38.
 CYP2C19_CHROM = "10"
@@ -40,23 +53,19 @@ CYP2C19_RSIDS = (
 )
 
 # Gene regions of the interval query, GRCh37:
-# gene, chromosome, gene start, gene end; the region reaches 100 kb beyond both ends.
-REGION_FLANK = 100_000
+# gene, chromosome, gene start, gene end, region start, region end.
 GENE_REGIONS = (
-    ("PRCC", "1", 156736274, 156771607),
-    ("NTRK1", "1", 156785541, 156852640),
-    ("PAX8", "2", 113972574, 114037496),
-    ("FHIT", "3", 59734036, 61238131),
-    ("PPARG", "3", 12328349, 12476853),
+    ("PRCC", "1", 156736274, 156771607, 156636274, 156871607),
+    ("NTRK1", "1", 156785541, 156852640, 156685541, 156952640),
+    ("PAX8", "2", 113972574, 114037496, 113872574, 114137496),
+    ("FHIT", "3", 59734036, 61238131, 59634036, 61338131),
+    ("PPARG", "3", 12328349, 12476853, 12228349, 12576853),
 )
 
 
 def contig_aliases(build: str = "GRCh38") -> dict[str, str]:
     """Accession to chromosome name; X and Y take the numbers 23 and 24."""
-    return {
-        f"NC_{number:06d}.{version}": name
-        for number, (name, version) in enumerate(zip(CHROMOSOMES, BUILDS[build]), start=1)
-    }
+    return dict(BUILDS[build])
 
 
 def contig_alias_dim(spark: SparkSession, build: str = "GRCh38") -> DataFrame:
@@ -76,10 +85,7 @@ def cyp2c19_dim(spark: SparkSession) -> DataFrame:
 def gene_regions_dim(spark: SparkSession) -> DataFrame:
     return literal_table(
         spark,
-        [
-            (gene, chrom, start, end, start - REGION_FLANK, end + REGION_FLANK)
-            for gene, chrom, start, end in GENE_REGIONS
-        ],
+        list(GENE_REGIONS),
         "gene string, chrom string, gene_start int, gene_end int, "
         "region_start int, region_end int",
     )
