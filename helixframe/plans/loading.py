@@ -1,9 +1,11 @@
 """Text to clustered tables: population VCF, annotation VCF, gVCF and single-sample VCF.
 
-Each load reads its text once per output table and writes parquet that is range-partitioned
-and sorted, ready for locus or sample ranges. Header dictionaries come from the files being
-loaded unless given; where headers sit in files of their own, pass those as ``header_path``
-so that bodies are not scanned for them.
+Each load of possibly bad files reads its text once, into ``<out>/staging_<table>`` with a flag
+for bad lines; bad files, the header dictionary, sample names and the sampling of the range
+sort start from there. Files with a bad line are left out whole and their bad lines are kept
+in ``<out>/quarantine_<table>``. Both folders are overwritten by the next load into ``out``. The
+tables are parquet, range-partitioned and sorted, ready for locus or sample ranges. Header
+dictionaries come from the files being loaded unless given or read from ``header_path``.
 """
 
 from __future__ import annotations
@@ -30,6 +32,22 @@ def _dictionary(
     return info_dictionary(lines)
 
 
+def _staged(lines: DataFrame, out: str, table: str, columns: int) -> DataFrame:
+    """The one pass over the text, as a stored table of checked lines."""
+    return K.written(S.checked_lines(lines, columns), "staging", f"{out}/staging_{table}")
+
+
+def _without_bad_files(checked: DataFrame, out: str, table: str) -> DataFrame:
+    good, bad = S.split_bad_files(checked)
+    K.written(bad, "quarantine", f"{out}/quarantine_{table}")
+    return good
+
+
+def quarantine(spark: SparkSession, out: str, table: str) -> DataFrame:
+    """The bad lines of the last load of ``table``: ``filename``, ``text``."""
+    return spark.read.schema("filename string, text string").parquet(f"{out}/quarantine_{table}")
+
+
 def load_headers(
     spark: SparkSession, path: Path, out: str, name: Column | None = None
 ) -> DataFrame:
@@ -57,9 +75,8 @@ def load_sites(
     ``aliases`` translates accession contigs; ``flat`` keeps ALT as text and INFO per single
     ALT. Works for sites-only and multi-sample text alike.
     """
-    lines = S.read_lines(spark, path, pattern, partitions).select("filename", "text")
-    good, _ = S.skip_bad_files(lines)
-    raw = S.parse_sites(good).drop("filename")
+    checked = _staged(S.read_lines(spark, path, pattern, partitions), out, "sites", 8)
+    raw = S.parse_sites(_without_bad_files(checked, out, "sites")).drop("filename")
     if flat:
         typed = raw.withColumn("qual", V.qual_number(F.col("qual"))).withColumnRenamed(
             "alt", "alt_allele"
@@ -68,7 +85,12 @@ def load_sites(
         typed = S.typed_sites(raw)
     if aliases is not None:
         typed = normalize_contigs(typed, aliases)
-    keys = dictionary if dictionary is not None else _dictionary(spark, path, header_path)
+    if dictionary is not None:
+        keys = dictionary
+    elif header_path is not None:
+        keys = _dictionary(spark, path, header_path)
+    else:
+        keys = info_dictionary(S.header_lines(checked))
     sites = parse_info(typed, keys, flat=flat)
     target = f"{out}/sites"
     K.write_clustered(sites, target, ("chrom", "pos", "ref", "alt_allele" if flat else "alt"))
@@ -84,9 +106,13 @@ def load_genotypes(
     pattern: str | None = None,
     partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Long decoded genotypes of multi-sample text, by locus and by sample."""
-    lines = S.read_lines(spark, path, pattern, partitions)
-    names = samples if samples is not None else S.sample_columns(lines)
+    """Long decoded genotypes of multi-sample text, by locus and by sample.
+
+    Files with a bad row, or a row with more or fewer cells than samples, are left out whole.
+    """
+    checked = _staged(S.read_lines(spark, path, pattern, partitions), out, "genotypes", 10)
+    names = samples if samples is not None else S.sample_columns(checked)
+    lines = _without_bad_files(S.mark_wrong_cells(checked, names), out, "genotypes")
     long = unpivot_samples(S.parse_wide(lines), names, ["chrom", "pos", "id", "ref", "alt"])
     genotypes = with_alleles(
         long.select(
@@ -117,9 +143,8 @@ def load_gvcf(
     partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """gVCF spans as loaded, and by position with their FORMAT keys as columns."""
-    lines = S.read_lines(spark, path, pattern, partitions).select("filename", "text")
-    good, _ = S.skip_bad_files(lines)
-    raw = S.parse_gvcf(good, sample)
+    checked = _staged(S.read_lines(spark, path, pattern, partitions), out, "gvcf", 10)
+    raw = S.parse_gvcf(_without_bad_files(checked, out, "gvcf"), sample)
     by_sample, by_position = f"{out}/genotypes_raw", f"{out}/genotypes_by_position"
     K.write_clustered(raw, by_sample, K.SAMPLE_ORDER, partition_by=None)
     stored = K.read_clustered(spark, by_sample, raw.schema)

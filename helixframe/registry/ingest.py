@@ -256,6 +256,32 @@ def load_genotypes(spark, sf):
     return flat(by_sample)
 
 
+def _spoilt_wide(spark, sf):
+    """The multi-sample text, where one file's rows lack their last cell and another has a bad POS."""
+    lines = texts.wide_lines(spark, sf).withColumnRenamed("chrom", "contig")
+    body = F.col("line") == 99
+    short = F.regexp_replace("value", r"\t[^\t]*$", "")
+    spoilt = F.when(body & (F.col("contig") == "2"), short).when(
+        body & (F.col("contig") == "5"), F.regexp_replace("value", r"^([^\t]*\t)", "$1x")
+    ).otherwise(F.col("value"))
+    path = new_scratch_path(spark, "spoilt-text")
+    texts.write_files(lines.withColumn("value", spoilt), ["contig", "shard"], ["line", "pos"], path)
+    return path
+
+
+def load_genotypes_skip_bad(spark, sf):
+    _, by_sample = L.load_genotypes(spark, _spoilt_wide(spark, sf), _loaded("spoilt-load")(spark))
+    return flat(by_sample)
+
+
+def quarantine(spark, sf):
+    """Bad lines that such a load leaves behind, by contig."""
+    out = _loaded("spoilt-load")(spark)
+    L.load_genotypes(spark, _spoilt_wide(spark, sf), out)
+    chrom = F.split_part("text", F.lit("\t"), F.lit(1))
+    return L.quarantine(spark, out, "genotypes").groupBy(chrom.alias("chrom")).agg(F.count("*").alias("n"))
+
+
 def load_gvcf(spark, sf):
     _, by_position = L.load_gvcf(
         spark, texts.gvcf_files(spark, sf), _loaded("gvcf-load")(spark), sample=_sample()
@@ -310,6 +336,8 @@ QUERIES = {
     "genotypes_from_text": genotypes_from_text,
     "load_sites": load_sites,
     "load_genotypes": load_genotypes,
+    "load_genotypes_skip_bad": load_genotypes_skip_bad,
+    "quarantine": quarantine,
     "load_gvcf": load_gvcf,
     "load_single_sample": load_single_sample,
     "load_headers": load_headers,
@@ -339,6 +367,12 @@ _RISKY = (
     "split_part(line_text,chr(9),5) as alt from risky_lines_fx"
 )
 
+_LOADED = (
+    "select chrom, pos, replace(id,';',',') as id, ref, alt, sample_id, gt, "
+    + src.allele_sql(1, "ref", "alt") + " as allele1, " + src.allele_sql(2, "ref", "alt")
+    + " as allele2 from wide"
+)
+
 ORACLES = {
     "scan_vcf_lines": check(
         f"select {_FILE} as file, row_number() over (partition by sample_id, shard "
@@ -437,12 +471,9 @@ ORACLES = {
         "cast(split_part(af_string,',',1) as double) as af0, cast(regexp_extract(info,'AN=([0-9]+)',1)"
         " as bigint) as an, contains(info,';DB;') as db from sites_fx"
     ),
-    "load_genotypes": check(
-        "select chrom, pos, replace(id,';',',') as id, ref, alt, sample_id, gt, "
-        + src.allele_sql(1, "ref", "alt") + " as allele1, " + src.allele_sql(2, "ref", "alt")
-        + " as allele2 from wide",
-        wide=_WIDE,
-    ),
+    "load_genotypes": check(_LOADED, wide=_WIDE),
+    "load_genotypes_skip_bad": check(f"{_LOADED} where chrom not in ('2', '5')", wide=_WIDE),
+    "quarantine": check("select chrom, count(*) as n from sites_fx where chrom in ('2', '5') group by chrom"),
     "load_gvcf": check(
         "select chrom, pos, end_pos, ref, alt_string as alt, sample_id, gt, dp, gq, min_dp from spans"
     ),

@@ -238,19 +238,52 @@ def parse_vcf_body(lines: DataFrame, drop_single_key_info: bool = True) -> DataF
     )
 
 
-def bad_site_line() -> Column:
-    """A body line that does not fit the VCF columns: too short, or POS or QUAL not a number."""
+def bad_site_line(columns: int = 8) -> Column:
+    """A body line that does not fit the VCF columns: fewer than ``columns`` (8 for sites, 10
+    where samples follow), or POS or QUAL not a number."""
     qual = V.norm_missing(_at(5))
     return (
-        (F.size(F.col("__part")) < 8)
+        (F.size(F.col("__part")) < columns)
         | _at(1).try_cast("int").isNull()
         | (qual.isNotNull() & qual.try_cast("double").isNull())
     )
 
 
-def skip_bad_files(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def checked_lines(lines: DataFrame, columns: int = 8) -> DataFrame:
+    """``filename``, ``text``, ``cells`` (columns of the line) and ``bad``; header lines are never bad.
+
+    What a load stores from its one pass over the text: bad files, dictionary and sample
+    names all follow from it.
+    """
+    header = F.startswith(F.col("text"), F.lit(HEADER))
+    return _parts(lines.select("filename", "text")).select(
+        "filename", "text", F.size("__part").alias("cells"),
+        (~header & F.coalesce(bad_site_line(columns), F.lit(True))).alias("bad"),
+    )
+
+
+def mark_wrong_cells(checked: DataFrame, samples: DataFrame) -> DataFrame:
+    """Marks body lines bad whose cells differ in number from their file's ``#CHROM`` line."""
+    sizes = samples.groupBy("filename").agg(F.max(F.size("samples")).alias("__samples"))
+    body = ~F.startswith(F.col("text"), F.lit(HEADER))
+    wrong = F.col("__samples").isNull() | (F.col("cells") != F.col("__samples") + FIXED_COLUMNS)
+    return (
+        checked.join(small(sizes), "filename", "left")
+        .withColumn("bad", F.col("bad") | (body & wrong))
+        .drop("__samples")
+    )
+
+
+def split_bad_files(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lines of clean files, and the bad body lines that made their whole file drop out."""
-    bad = _parts(body_lines(lines)).where(bad_site_line()).drop("__part")
+    bad = checked.where("bad").select("filename", "text")
+    bad_files = small(bad.select("filename").distinct())
+    return checked.select("filename", "text").join(bad_files, "filename", "left_anti"), bad
+
+
+def skip_bad_files(lines: DataFrame, columns: int = 8) -> tuple[DataFrame, DataFrame]:
+    """``split_bad_files`` of lines as they are read; the lines are read twice."""
+    bad = _parts(body_lines(lines)).where(bad_site_line(columns)).drop("__part")
     bad_files = small(bad.select("filename").distinct())
     return lines.join(bad_files, "filename", "left_anti"), bad
 

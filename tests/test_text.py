@@ -179,6 +179,33 @@ def test_population_load(spark, multi, tmp_path, rows):
     assert sites.schema["chrom"].dataType.simpleString() == "string"
 
 
+def test_wide_load_leaves_bad_files_out(spark, tmp_path, rows):
+    columns = "#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT A B"
+    _write(tmp_path / "w" / "good.vcf", columns, "1 5 . A C . PASS . GT 0|1 1|1")
+    _write(tmp_path / "w" / "short.vcf", columns, "1 6 . A C . PASS . GT 0|1 1|1", "1 7 . A C . PASS . GT 0|1")
+    _write(tmp_path / "w" / "long.vcf", columns, "1 8 . A C . PASS . GT 0|1 1|1 0|0")
+    _write(tmp_path / "w" / "pos.vcf", columns, "1 x9 . A C . PASS . GT 0|1 1|1")
+    out = str(tmp_path / "out")
+    by_locus, by_sample = L.load_genotypes(spark, str(tmp_path / "w"), out)
+    assert rows(by_locus, "pos", "sample_id", "gt") == [(5, "A", "0|1"), (5, "B", "1|1")]
+    assert rows(by_sample) == rows(by_locus)
+    bad = [r["text"].split("\t")[1] for r in L.quarantine(spark, out, "genotypes").collect()]
+    assert sorted(bad) == ["7", "8", "x9"]
+
+
+def test_loads_start_from_the_staged_text(spark, multi, tmp_path, monkeypatch):
+    """One scan of the text per load: only the staging reads it."""
+    reads = []
+    plain = S.read_lines
+    monkeypatch.setattr(S, "read_lines", lambda *a, **k: reads.append(1) or plain(*a, **k))
+    kept = []
+    written = L.K.written
+    monkeypatch.setattr(L.K, "written", lambda df, name, path=None: kept.append(name) or written(df, name, path))
+    L.load_sites(spark, multi, str(tmp_path / "s"))
+    L.load_genotypes(spark, multi, str(tmp_path / "g"))
+    assert len(reads) == 2 and kept == ["staging", "quarantine"] * 2
+
+
 def test_annotation_load_flat(spark, tmp_path):
     path = _write(
         tmp_path / "a.vcf",
