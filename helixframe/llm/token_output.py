@@ -152,8 +152,11 @@ def encoder(path: str) -> PieceEncoder:
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """Dictionary over the serialized ids of the sample; empty where there is too little to train on."""
-    short = docs.where(F.octet_length("text") <= DICTIONARY_DOC_BYTES).select("doc_id", "text")
-    rows = short.orderBy(F.md5(F.col("doc_id").cast("string")), "text").limit(DICTIONARY_DOCS).collect()
+    short = docs.where((F.octet_length("text") <= DICTIONARY_DOC_BYTES) & F.col("doc_id").isNotNull())
+    # Ids first: a task offers as many candidates as there are places, and texts are long.
+    ids = short.select("doc_id").orderBy(F.md5(F.col("doc_id").cast("string"))).limit(DICTIONARY_DOCS).collect()
+    chosen = short.where(F.col("doc_id").isin(sorted({r["doc_id"] for r in ids}))) if ids else short.limit(0)
+    rows = chosen.select("doc_id", "text").distinct().orderBy("doc_id", "text").limit(DICTIONARY_DOCS).collect()
     samples = encoder(path).encode_many([r["text"] for r in rows])
     samples = [s for s in samples if s]
     try:
