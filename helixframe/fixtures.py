@@ -9,6 +9,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from helixframe.sinks.tables import LOCUS_ORDER, read_clustered, write_clustered
 
 BASE_TABLES = ("region", "nation", "supplier", "part", "lineitem")
 
@@ -141,8 +144,29 @@ def with_fixtures(sql: str, **extra: str) -> str:
     return f"with {', '.join(ctes)} {sql}" if ctes else sql
 
 
+# Fixtures kept as clustered tables, by table folder and name.
+_stored: dict[tuple[str, str], tuple[str, T.StructType]] = {}
+
+
+def store_clustered(spark: SparkSession, sf_dir: str, names: tuple[str, ...], folder: str) -> None:
+    """Write fixtures as the clustered tables that a load leaves; ``fixture`` then reads those."""
+    for name in names:
+        rows = fixture(spark, sf_dir, name)
+        path = f"{folder}/{name}"
+        write_clustered(rows, path, LOCUS_ORDER)
+        _stored[(sf_dir, name)] = (path, rows.schema)
+
+
+def forget_stored() -> None:
+    """Derive all fixtures from the base tables again."""
+    _stored.clear()
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived table as a DataFrame over the parquet tables below ``sf_dir``."""
+    if (sf_dir, name) in _stored:
+        path, schema = _stored[(sf_dir, name)]
+        return read_clustered(spark, path, schema)
     sql = with_fixtures(f"select * from {name}")
     for table in BASE_TABLES:
         if re.search(rf"\b(?:from|join) {table}\b", sql):
