@@ -45,3 +45,13 @@ def shifted(array: Column, by: int) -> Column:
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra input columns clash with nothing."""
     return df.select([F.col(f"`{n}`") for n in names])
+
+
+def map_all_columns(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` over all columns, whatever their names (it cannot resolve a dot)."""
+    names = df.columns
+
+    def renamed(batches):
+        return function(batch.rename_columns(names) for batch in batches)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, schema)

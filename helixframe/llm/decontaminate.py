@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import own_columns, written
+from helixframe.llm.common import map_all_columns, own_columns, written
 
 WINDOW = 10
 SHARD_WORDS = 2_000_000
@@ -324,7 +324,7 @@ def decontaminate(
     cleaned = docs
     for shard in _shards(spark, benchmark, shard_words):
         automaton = spark.sparkContext.broadcast(ItemAutomaton(shard, window))
-        cleaned = cleaned.mapInArrow(_cleaner(automaton, max_coverage), cleaned.schema)
+        cleaned = map_all_columns(cleaned, _cleaner(automaton, max_coverage), cleaned.schema)
     return cleaned
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import own_columns
+from helixframe.llm.common import map_all_columns, own_columns
 
 FOLDS, HELD_FOLD = 4, 2
 SAMPLE_PER_LANGUAGE = 400
@@ -168,7 +168,7 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     rows = docs.drop("lang_pred", "score")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
-    return rows.mapInArrow(_labeller(shared), f"{fields}, lang_pred string, score double")
+    return map_all_columns(rows, _labeller(shared), f"{fields}, lang_pred string, score double")
 
 
 def detect_languages(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:

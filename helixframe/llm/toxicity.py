@@ -65,7 +65,7 @@ _IMITATIONS = {
 _INVISIBLE = "­​‌‍⁠﻿"
 _FOLDED = {ord(c): letter for letter, chars in _IMITATIONS.items() for c in chars} | dict.fromkeys(map(ord, _INVISIBLE))
 # Symbols that imitate a letter count as one only inside a word.
-_EDGE = re.compile(r"(?<![^\W_])[!|$+@]+|[!|$+@]+(?![^\W_])")
+_EDGE = re.compile(r"(?<![^\W_])(?<![!|$+@])[!|$+@]+|[!|$+@]+(?![^\W_]|[!|$+@])")
 _SYMBOL = re.compile(r"[!|$+@]")
 _TERM = re.compile(r"[^\W_]+")
 

@@ -119,15 +119,3 @@ def edge_dir(write_tables):
 @pytest.fixture(scope="session")
 def empty_dir(write_tables):
     return write_tables({})
-
-
-@pytest.fixture(scope="session")
-def clash_dir(write_tables):
-    extra = (
-        "'x' as score", "1 as n_words", "'y' as position", "'z' as kept", "2 as size", "3 as found", "4 as spans",
-        "5 as doc", "6 as `key`", "7 as `text_key`", "8 as trigger", "9 as n", "'q' as lang_pred", "10 as target",
-        "11 as component_id", "12 as `odd.name`", "13 as candidates", "14 as toxic", "15 as quality", "16 as good",
-    )
-    tables = edge_tables()
-    folder = write_tables(tables)
-    return folder, extra
