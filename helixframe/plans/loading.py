@@ -129,8 +129,8 @@ def load_genotypes(
     K.write_clustered(genotypes, by_locus, K.LOCUS_ORDER)
     stored = K.read_clustered(spark, by_locus, genotypes.schema)
     # The second copy starts from the first, so text is unpivoted and decoded once.
-    K.write_clustered(stored, by_sample, K.SAMPLE_ORDER, partition_by=None)
-    return stored, K.read_clustered(spark, by_sample, genotypes.schema)
+    K.write_by_sample(stored, by_sample)
+    return stored, K.read_by_sample(spark, by_sample, genotypes.schema)
 
 
 def load_gvcf(

@@ -165,15 +165,18 @@ def genotypes_by_sample(spark, sf):
 
 
 def refresh_by_sample(spark, sf):
-    """The second copy kept up by runs after each append to the first."""
+    """The second copy kept up after a load of contigs with numeric names, then merged."""
     rows = src.genotypes(spark, sf).drop("id")
-    table, copy, log = (new_scratch_path(spark, n) for n in ("growing", "by-sample", "refresh-log"))
-    rows.where(F.col("gt") == "./.").write.parquet(table)
-    X.refresh_by_sample(spark, table, copy, log)
-    rows.where(F.col("gt") != "./.").write.mode("append").parquet(table)
-    X.refresh_by_sample(spark, table, copy, log)
-    X.refresh_by_sample(spark, table, copy, log)
-    return flat(X.read_by_sample(spark, copy))
+    table, copy, merged, log = (
+        new_scratch_path(spark, n) for n in ("growing", "by-sample", "by-sample-merged", "refresh-log")
+    )
+    loaded = (F.col("gt") == "./.") & ~F.col("chrom").isin("X", "Y")
+    K.write_genotypes(rows.where(loaded), table, copy)
+    X.mark_loaded(spark, table, rows.schema, log)
+    K.write_clustered(rows.where(~loaded), table, K.LOCUS_ORDER, mode="append")
+    X.refresh_by_sample(spark, table, copy, log, rows.schema)
+    X.refresh_by_sample(spark, table, copy, log, rows.schema)
+    return flat(X.merge_batches(spark, copy, merged, rows.schema))
 
 
 def genotypes_by_position(spark, sf):

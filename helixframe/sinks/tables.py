@@ -6,12 +6,15 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helixframe.session import new_scratch_path
 
 LOCUS_ORDER = ("chrom", "pos", "ref", "gt")
 SAMPLE_ORDER = ("sample_id", "chrom", "pos", "ref")
 SITE_ORDER = ("chrom", "pos", "ref")
+# Folders of the by-sample copy: one of the load, one per refresh.
+BATCH_COLUMN, LOAD_BATCH = "batch", "load"
 
 
 def write_clustered(
@@ -54,10 +57,23 @@ def read_clustered(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def write_by_sample(genotypes: DataFrame, target: str, **options) -> None:
+    """The second copy of a genotype table, by sample; replaces what ``target`` holds."""
+    rows = genotypes.withColumn(BATCH_COLUMN, F.lit(LOAD_BATCH))
+    write_clustered(rows, target, SAMPLE_ORDER, partition_by=BATCH_COLUMN, **options)
+
+
+def read_by_sample(spark: SparkSession, target: str, schema) -> DataFrame:
+    """The by-sample copy with all its batches, in the columns and types of ``schema``."""
+    fields = [f for f in schema.fields if f.name != BATCH_COLUMN]
+    whole = T.StructType([*fields, T.StructField(BATCH_COLUMN, T.StringType())])
+    return spark.read.schema(whole).parquet(target).select(*[f"`{f.name}`" for f in fields])
+
+
 def write_genotypes(genotypes: DataFrame, by_locus: str, by_sample: str, **options) -> None:
     """Both copies of a genotype table: by locus and by sample."""
     write_clustered(genotypes, by_locus, LOCUS_ORDER, **options)
-    write_clustered(genotypes, by_sample, SAMPLE_ORDER, partition_by=None, **options)
+    write_by_sample(genotypes, by_sample, **options)
 
 
 def append_all(sources: list[DataFrame]) -> DataFrame:
