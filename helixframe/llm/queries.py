@@ -135,4 +135,41 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
   cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(names, '')) as items_sha256,
   coalesce(n_hit, 0) > 0 as contaminated
 from doc_words d left join hit h on d.r = h.r left join items t on d.r = t.r""",
+    "op4_chat": r"""
+with messages as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+sized as (
+  select *, role || chr(10) || text || chr(10) as said, case when role = 'assistant' then text end as masked,
+    len('<|im_start|>') + len('<|im_end|>') + 2 + 2 * len(role) - len(translate(role, '|\' || chr(10), ''))
+      + 2 * len(text) - len(translate(text, '|\', '')) as chars
+  from messages)
+select conv_id, count(*) as n_turns, sha256(string_agg(said, '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(len(masked)), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(masked, '' order by turn nulls first, role, text), '')) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id""",
+    "op10_ngram_join": r"""
+with recursive worded as (
+  select row_number() over () as r, doc_id,
+    coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) as w
+  from documents),
+shingled as (
+  select distinct r, doc_id, array_to_string(w[i:i+3], ' ') as s
+  from (select r, doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) as i from worded where len(w) > 0)),
+sizes as (select r, count(*) as n from shingled group by r),
+named as (select distinct doc_id, s from shingled where doc_id is not null),
+named_sizes as (select doc_id, count(*) as n from named group by doc_id),
+links as (
+  select a.doc_id as x, b.doc_id as y
+  from named a join named b on a.s = b.s and a.doc_id < b.doc_id
+    join named_sizes m on m.doc_id = a.doc_id join named_sizes n on n.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, m.n, n.n
+  having 100 * count(*) >= 85 * (m.n + n.n - count(*))),
+ways as (select x, y from links union all select y, x from links),
+reach as (select x, y from ways union select r.x, w.y from reach r join ways w on r.y = w.x),
+least_of as (select x, min(y) as least_id from reach group by x)
+select d.doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, least(d.doc_id, coalesce(least_id, d.doc_id)) as component_id
+from worded d left join sizes s on d.r = s.r left join least_of l on d.doc_id = l.x""",
 }
