@@ -29,6 +29,7 @@ from helixframe.llm.common import map_all_columns, own_columns
 
 FOLDS, HELD_FOLD = 4, 2
 SAMPLE_PER_LANGUAGE = 400
+MARGIN = 4
 PROFILE = 400
 PIECE_CHARS = 1 << 20
 UNKNOWN = "und"
@@ -123,12 +124,18 @@ def _count_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fit_profiles(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Profiles:
     """Profiles from the labelled sample outside the held-out fold."""
     known = own_columns(docs, "doc_id", "text", "lang").where(
-        (F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_FOLD) & F.col("lang").isNotNull() & F.col("text").isNotNull()
+        (F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_FOLD) & F.col("lang").isNotNull()
     )
-    # Ids are ranked without their texts; at most per_language ids a language are broadcast.
+    # Ids are ranked without their texts. Only those whose hash lies in a share of the hash
+    # space that holds about MARGIN times the sample are ranked, so a language of any size
+    # sends a bounded number of rows to its ranking.
+    sizes = known.groupBy("lang").count()  # one row per language
+    place = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("double")
+    share = F.lit(float(MARGIN * per_language)) / F.col("count")
+    ids = known.join(F.broadcast(sizes), "lang").where(place < share * float(1 << 32)).select("doc_id", "lang").distinct()
     by_hash = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")))
-    ids = known.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(by_hash))
-    chosen = ids.where(F.col("place") <= per_language).select("doc_id", "lang")
+    first = ids.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= per_language)
+    chosen = first.select("doc_id", "lang")
     sample = known.join(F.broadcast(chosen), ["doc_id", "lang"])
     counts = (
         sample.select("lang", "text")
