@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -72,7 +72,7 @@ def _set_of(words: np.ndarray) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
     """The distinct shingle hashes of each text, ascending; empty where it has no word.
 
     A text of fewer than four words has one shingle, its whole sequence.
