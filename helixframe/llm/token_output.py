@@ -62,8 +62,9 @@ def pieces_of(text: str) -> list[str]:
     return [first, *pieces] if first else pieces
 
 
-# A piece that may stand between others of its kind: a blank, then visible at both ends.
-_JOINS = re.compile(r" \S(?:.*\S)?", re.S)
+def _joins(piece: str) -> bool:
+    """May stand between others of its kind: a blank, then visible at both ends."""
+    return len(piece) > 1 and piece[0] == " " and not piece[1].isspace() and not piece[-1].isspace()
 
 
 class PieceEncoder:
@@ -102,14 +103,14 @@ class PieceEncoder:
         if marked:
             plain = {p[:-1] for p in marked} | {p[-1] for p in marked}
             plain.update(set(pieces).difference(marked))
-            self._encode(sorted(plain.difference(self.known)))
+            self._encode(list(plain.difference(self.known)))
             for p in marked:
                 self.known[p] = self.known[p[:-1]] + self.known[p[-1]]
         else:
             self._encode(pieces)
 
     def _encode(self, pieces: list[str]) -> None:
-        joined = [p for p in pieces if _JOINS.fullmatch(p)]
+        joined = [p for p in pieces if _joins(p)]
         for piece in pieces if not joined else set(pieces).difference(joined):
             self.known[piece] = self._ids(piece).tobytes()
         if not joined:
@@ -134,7 +135,7 @@ class PieceEncoder:
         found = [p for p in missing if p in older] if older else []
         for piece in found:
             known[piece] = older[piece]
-        missing = sorted(missing.difference(found))
+        missing = list(missing.difference(found))
         if missing:
             self._learn(missing)
         return [b"".join([known[p] for p in pieces]) for pieces in cut]
