@@ -298,7 +298,9 @@ def repeated_windows(docs: DataFrame, group_phrases: int = GROUP_PHRASES) -> Dat
             F.struct("trigger", "start", "windows", (F.col("count") > group_phrases).alias("frequent"))
         ).alias("phrases")
     )
-    spelled = rows.join(marked, ["doc", "key"]).mapInArrow(_spelled, _SUFFIXES)
+    # Repeated rows are one document: spelled twice, each of its windows would repeat itself.
+    single = rows.dropDuplicates(["doc", "key"])
+    spelled = single.join(marked, ["doc", "key"]).mapInArrow(_spelled, _SUFFIXES)
     suffixes = spelled.repartition("trigger").sortWithinPartitions("trigger", "other", "doc", "place")
     resolved = suffixes.mapInArrow(_suffix_order, _SETTLED)
     settled = scanned.where("trigger is null")

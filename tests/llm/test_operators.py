@@ -178,6 +178,23 @@ def test_suffix_dedup_paths_agree(spark):
         assert sorted(map(tuple, suffix_dedup.remove_repeats(df, group_phrases=most).collect())) == expected
 
 
+@pytest.mark.parametrize("most", [1, 4096])
+def test_suffix_dedup_of_repeated_rows(spark, most):
+    """A repeated row that holds a passage first keeps it; the passage's edges differ elsewhere."""
+    rng = random.Random(6)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [some(220) for _ in range(6)]
+    docs = {n: some(90) + p + some(90) for n, p in enumerate(passages)}
+    docs |= {100 + n: some(70) + passages[n % 6] + some(80) for n in range(18)}
+    rows = [r for i, t in docs.items() for r in [(i, t)] * (3 if i < 6 or i == 100 else 1)]
+    expected = brute.repeats(docs)
+    assert not any(expected[n][1] for n in range(6))
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = suffix_dedup.remove_repeats(df, group_phrases=most).collect()
+        assert sorted(map(tuple, got)) == sorted((i, *expected[i]) for i, _ in rows)
+
+
 def test_phrases_are_cut_alike(monkeypatch):
     """Pieces of a long text give the same windows as the whole."""
     rng = random.Random(2)
