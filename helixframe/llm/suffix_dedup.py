@@ -5,7 +5,7 @@ The text is parsed into prefix-free phrases at rolling-hash triggers (``phrases`
 dictionary's suffixes is needed only within a trigger and only up to 100 bytes, and the parse
 orders equal suffixes by where they stand in the corpus:
 
-1. Parse. Each phrase is a row (trigger, content, document, start); rows of one content are
+1. Parse. Each phrase is a row (trigger, content, document, start, text key); rows of one content are
    combined per batch before they are shuffled, so a passage that stands in a third of all
    documents arrives once per batch.
 2. Dictionary. Rows sorted by (trigger, content, document, start) are streamed: every phrase
@@ -19,8 +19,9 @@ orders equal suffixes by where they stand in the corpus:
 Strings are compared by two 64-bit hashes (trigger and content, or two rolling hashes).
 
 Null text is an empty text. A null id comes last in the corpus; repeated rows (equal id and
-text) are one document and each row gets that document's result; rows that share an id but
-not the text are ordered by start. An empty table gives no rows.
+text) are one document and each row gets that document's result; rows that share an id (or
+have none) but not the text are told apart by a 64-bit hash of the text and are ordered by
+start, then by that hash. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,31 +39,26 @@ from helixframe.llm.phrases import WIDTH, phrases_of, window_hashes
 
 GROUP_PHRASES = 4096
 LAST_ID = (1 << 63) - 1
-# A place packs start, windows, text key and a flag into one ascending long.
-_WINDOW_BITS, _KEY_BITS = 16, 15
+# A place packs start, windows and a flag into one ascending long.
+_WINDOW_BITS = 16
 _MOST_WINDOWS = (1 << _WINDOW_BITS) - 1
 
 
-def _packed(start: np.ndarray, windows: np.ndarray, key: int | np.ndarray, repeat: int | np.ndarray) -> np.ndarray:
-    return ((start.astype(np.int64) << (_WINDOW_BITS + _KEY_BITS + 1)) | (windows << (_KEY_BITS + 1)) | (np.int64(1) * key << 1) | repeat)
+def _packed(start: np.ndarray, windows: np.ndarray, repeat: int | np.ndarray) -> np.ndarray:
+    return (start.astype(np.int64) << (_WINDOW_BITS + 1)) | (windows << 1) | repeat
 
 
-def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return (
-        place >> (_WINDOW_BITS + _KEY_BITS + 1),
-        (place >> (_KEY_BITS + 1)) & _MOST_WINDOWS,
-        (place >> 1) & ((1 << _KEY_BITS) - 1),
-        place & 1,
-    )
+def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return place >> (_WINDOW_BITS + 1), (place >> 1) & _MOST_WINDOWS, place & 1
 
 
 def _batch(names: str, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names.split())
 
 
-def _repeats_first(keys: tuple, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by keys, document and place, and which rows of that order repeat the keys before."""
-    order = np.lexsort((place, doc, *reversed(keys)))
+def _repeats_first(keys: tuple, doc: np.ndarray, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by keys, document, place and text key, and which rows of that order repeat the keys before."""
+    order = np.lexsort((key, place, doc, *reversed(keys)))
     repeat = np.zeros(len(order), bool)
     if len(order):
         repeat[1:] = np.logical_and.reduce([k[order][1:] == k[order][:-1] for k in keys])
@@ -81,42 +77,46 @@ def _runs(doc: np.ndarray, key: np.ndarray, start: np.ndarray, windows: np.ndarr
     return doc[first], key[first], start[first], end[last] - start[first]
 
 
+_PHRASE_NAMES = "trigger content doc place key"
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phrases of each text; within a batch only the first of a content goes on as a phrase."""
     for batch in batches:
-        triggers, contents, docs, places = [], [], [], []
+        triggers, contents, docs, places, text_keys = [], [], [], [], []
         for doc, key, text in zip(batch.column("doc").to_pylist(), batch.column("key").to_pylist(), batch.column("text")):
             for found in phrases_of(text.as_py()):
                 triggers.append(found.trigger)
                 contents.append(found.content)
                 docs.append(np.full(len(found.start), doc, np.int64))
-                places.append(_packed(found.start, found.windows, key, 0))
+                places.append(_packed(found.start, found.windows, 0))
+                text_keys.append(np.full(len(found.start), key, np.int64))
         if not triggers:
             continue
         trigger, content = np.concatenate(triggers).view(np.int64), np.concatenate(contents).view(np.int64)
-        doc, place = np.concatenate(docs), np.concatenate(places)
-        order, repeat = _repeats_first((trigger, content), doc, place)
+        doc, place, key = np.concatenate(docs), np.concatenate(places), np.concatenate(text_keys)
+        order, repeat = _repeats_first((trigger, content), doc, place, key)
         # Repeated rows of the input give equal places; they are the same phrase, no repeat.
-        d, p = doc[order], place[order]
+        d, p, k = doc[order], place[order], key[order]
         same = np.zeros(len(order), bool)
-        same[1:] = repeat[1:] & (d[1:] == d[:-1]) & (p[1:] == p[:-1])
+        same[1:] = repeat[1:] & (d[1:] == d[:-1]) & (p[1:] == p[:-1]) & (k[1:] == k[:-1])
         first, again = order[~repeat], order[repeat & ~same]
-        yield _batch("trigger content doc place", trigger[first], content[first], doc[first], place[first])
+        yield _batch(_PHRASE_NAMES, trigger[first], content[first], doc[first], place[first], key[first])
         if len(again):
-            start, windows, key, _ = _unpacked(place[again])
-            d, k, s, w = _runs(doc[again], key, start, windows)
+            start, windows, _ = _unpacked(place[again])
+            d, k, s, w = _runs(doc[again], key[again], start, windows)
             # Settled rows travel along, spread by their document.
-            yield _batch("trigger content doc place", d * np.int64(0x9E3779B97F4A7C1) + s, np.zeros(len(d), np.int64), d, _packed(s, w, k, 1))
+            yield _batch(_PHRASE_NAMES, d * np.int64(0x9E3779B97F4A7C1) + s, np.zeros(len(d), np.int64), d, _packed(s, w, 1), k)
 
 
-_SETTLED = "doc long, key int, start int, windows int, trigger long"
+_SETTLED = "doc long, key long, start int, windows int, trigger long"
 
 
 def _settled(doc, key, start, windows, trigger=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(doc),
-            pa.array(key.astype(np.int32)),
+            pa.array(key),
             pa.array(start.astype(np.int32)),
             pa.array(windows.astype(np.int32)),
             pa.nulls(len(doc), pa.int64()) if trigger is None else pa.array(trigger),
@@ -126,15 +126,15 @@ def _settled(doc, key, start, windows, trigger=None) -> pa.RecordBatch:
 
 
 def _dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams phrases ordered by (trigger, content, doc, place).
+    """Streams phrases ordered by (trigger, content, doc, place, key).
 
     Gives repeats (no trigger) and the first phrases of ambiguous contents (with trigger).
     """
-    last = (None, None, None, None)  # trigger, content, document and place of the row before
+    last = (None, None, None, None, None)  # trigger, content, document, place and text key of the row before
     held, held_known = None, False  # last first phrase, and whether it is known as ambiguous
     for batch in batches:
-        trigger, content, doc, place = (batch.column(c).to_numpy() for c in ("trigger", "content", "doc", "place"))
-        start, windows, key, settled = _unpacked(place)
+        trigger, content, doc, place, key = (batch.column(c).to_numpy() for c in _PHRASE_NAMES.split())
+        start, windows, settled = _unpacked(place)
         done = settled == 1
         if done.any():
             yield _settled(doc[done], key[done], start[done], windows[done])
@@ -147,9 +147,9 @@ def _dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeat[1:] = (trigger[1:] == trigger[:-1]) & (content[1:] == content[:-1])
         repeat[0] = (trigger[0], content[0]) == last[:2]
         same = np.zeros(len(trigger), bool)
-        same[1:] = repeat[1:] & (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])
-        same[0] = repeat[0] and (doc[0], place[0]) == last[2:]
-        last = (trigger[-1], content[-1], doc[-1], place[-1])
+        same[1:] = repeat[1:] & (doc[1:] == doc[:-1]) & (place[1:] == place[:-1]) & (key[1:] == key[:-1])
+        same[0] = repeat[0] and (doc[0], place[0], key[0]) == last[2:]
+        last = (trigger[-1], content[-1], doc[-1], place[-1], key[-1])
         again = repeat & ~same
         if again.any():
             yield _settled(doc[again], key[again], start[again], windows[again])
@@ -174,21 +174,21 @@ def _dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _settled(d, k, s, w, t)
 
 
-_SUFFIXES = "trigger long, other long, doc long, place long, content binary"
+_SUFFIXES = "trigger long, other long, doc long, place long, key long, content binary"
 
 
 def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ambiguous phrases with their bytes, or their single windows where the trigger is frequent."""
 
-    def rows(trigger, other, doc, place, content=None) -> pa.RecordBatch:
+    def rows(trigger, other, doc, place, key, content=None) -> pa.RecordBatch:
         filled = pa.nulls(len(doc), pa.binary()) if content is None else pa.array(content, pa.binary())
         return pa.RecordBatch.from_arrays(
-            [pa.array(trigger, pa.int64()), pa.array(other, pa.int64()), pa.array(doc, pa.int64()), pa.array(place, pa.int64()), filled],
-            names=["trigger", "other", "doc", "place", "content"],
+            [*[pa.array(c, pa.int64()) for c in (trigger, other, doc, place, key)], filled],
+            names=["trigger", "other", "doc", "place", "key", "content"],
         )
 
     for batch in batches:
-        short: tuple[list, list, list, list] = ([], [], [], [])
+        short: tuple[list, list, list, list, list] = ([], [], [], [], [])
         long: list[tuple] = []
         docs, keys = batch.column("doc").to_pylist(), batch.column("key").to_pylist()
         for doc, key, text, phrases in zip(docs, keys, batch.column("text"), batch.column("phrases").to_pylist()):
@@ -198,30 +198,31 @@ def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if p["frequent"]:
                     one, two = window_hashes(raw, start, windows)
                     at = np.arange(start, start + windows, dtype=np.int64)
-                    long.append((one.view(np.int64), two.view(np.int64), np.full(windows, doc, np.int64), _packed(at, np.ones(windows, np.int64), key, 0)))
+                    long.append((one.view(np.int64), two.view(np.int64), np.full(windows, doc, np.int64), _packed(at, np.ones(windows, np.int64), 0), np.full(windows, key, np.int64)))
                 else:
                     short[0].append(p["trigger"])
                     short[1].append(doc)
-                    short[2].append(int(_packed(np.array([start]), np.array([windows]), key, 0)[0]))
-                    short[3].append(raw[start : start + windows + WIDTH - 1])
+                    short[2].append(int(_packed(np.array([start]), np.array([windows]), 0)[0]))
+                    short[3].append(key)
+                    short[4].append(raw[start : start + windows + WIDTH - 1])
         if short[0]:
-            yield rows(short[0], [0] * len(short[0]), short[1], short[2], short[3])
+            yield rows(short[0], [0] * len(short[0]), *short[1:])
         if long:
-            one, two, doc, place = (np.concatenate(c) for c in zip(*long))
-            order, repeat = _repeats_first((one, two), doc, place)
+            one, two, doc, place, key = (np.concatenate(c) for c in zip(*long))
+            order, repeat = _repeats_first((one, two), doc, place, key)
             first, again = order[~repeat], order[repeat]
-            yield rows(one[first], two[first], doc[first], place[first])
+            yield rows(one[first], two[first], doc[first], place[first], key[first])
             if len(again):
-                start, windows, key, _ = _unpacked(place[again])
-                d, k, s, w = _runs(doc[again], key, start, windows)
-                yield rows(d * np.int64(0x9E3779B97F4A7C1) + s, np.zeros(len(d), np.int64), d, _packed(s, w, k, 1))
+                start, windows, _ = _unpacked(place[again])
+                d, k, s, w = _runs(doc[again], key[again], start, windows)
+                yield rows(d * np.int64(0x9E3779B97F4A7C1) + s, np.zeros(len(d), np.int64), d, _packed(s, w, 1), k)
 
 
 def _sorted_suffixes(rows: list[tuple]) -> pa.RecordBatch | None:
-    """Repeated windows of whole groups of spelled phrases (doc, place, content)."""
+    """Repeated windows of whole groups of spelled phrases (doc, place, key, content)."""
     ones, twos, docs, starts, keys = [], [], [], [], []
-    for doc, place, content in rows:
-        start, windows, key, _ = (int(x) for x in _unpacked(np.int64(place)))
+    for doc, place, key, content in rows:
+        start, windows, _ = (int(x) for x in _unpacked(np.int64(place)))
         one, two = window_hashes(content, 0, windows)
         ones.append(one)
         twos.append(two)
@@ -229,7 +230,7 @@ def _sorted_suffixes(rows: list[tuple]) -> pa.RecordBatch | None:
         starts.append(np.arange(start, start + windows, dtype=np.int64))
         keys.append(np.full(windows, key, np.int64))
     one, two, doc, start, key = (np.concatenate(c) for c in (ones, twos, docs, starts, keys))
-    order, repeat = _repeats_first((one, two), doc, start)
+    order, repeat = _repeats_first((one, two), doc, start, key)
     again = order[repeat]
     if not len(again):
         return None
@@ -237,13 +238,13 @@ def _sorted_suffixes(rows: list[tuple]) -> pa.RecordBatch | None:
 
 
 def _suffix_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams ``_SUFFIXES`` rows ordered by (trigger, other, doc, place): the repeated windows."""
+    """Streams ``_SUFFIXES`` rows ordered by (trigger, other, doc, place, key): the repeated windows."""
     group, ready, trigger_now = [], [], None
     last = (None, None)
     for batch in batches:
         spelled = batch.column("content").is_valid().to_numpy(zero_copy_only=False)
-        trigger, other, doc, place = (batch.column(c).to_numpy() for c in ("trigger", "other", "doc", "place"))
-        start, windows, key, settled = _unpacked(place)
+        trigger, other, doc, place, key = (batch.column(c).to_numpy() for c in ("trigger", "other", "doc", "place", "key"))
+        start, windows, settled = _unpacked(place)
         done = ~spelled & (settled == 1)
         if done.any():
             yield _settled(doc[done], key[done], start[done], windows[done])
@@ -266,7 +267,7 @@ def _suffix_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     ready = []
                     if found is not None:
                         yield found
-            group.append((doc[i], place[i], contents[int(i)].as_py()))
+            group.append((doc[i], place[i], key[i], contents[int(i)].as_py()))
     ready += group
     if ready:
         found = _sorted_suffixes(ready)
@@ -275,12 +276,12 @@ def _suffix_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(``doc_id``, ``doc``, ``key``, ``text`` as bytes): the id that orders, a short key of the text."""
+    """(``doc_id``, ``doc``, ``key``, ``text`` as bytes): the id that orders, a 64-bit hash of the text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return own_columns(docs, "doc_id", "text").select(
         "doc_id",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"),
-        F.pmod(F.xxhash64(text), F.lit(1 << _KEY_BITS)).cast("int").alias("key"),
+        F.xxhash64(text).alias("key"),
         text.cast("binary").alias("text"),
     )
 
@@ -288,8 +289,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame, group_phrases: int = GROUP_PHRASES) -> DataFrame:
     """(``doc``, ``key``, ``start``, ``windows``): stretches of windows that stand earlier too."""
     rows = _keyed(docs).where(F.length("text") >= WIDTH).drop("doc_id")
-    parsed = rows.mapInArrow(_parse, "trigger long, content long, doc long, place long")
-    ordered = parsed.repartition("trigger").sortWithinPartitions("trigger", "content", "doc", "place")
+    parsed = rows.mapInArrow(_parse, "trigger long, content long, doc long, place long, key long")
+    ordered = parsed.repartition("trigger").sortWithinPartitions("trigger", "content", "doc", "place", "key")
     scanned = written(ordered.mapInArrow(_dictionary, _SETTLED), "suffix-dictionary")
     ambiguous = scanned.where("trigger is not null")
     sizes = ambiguous.groupBy("trigger").count()
@@ -301,7 +302,7 @@ def repeated_windows(docs: DataFrame, group_phrases: int = GROUP_PHRASES) -> Dat
     # Repeated rows are one document: spelled twice, each of its windows would repeat itself.
     single = rows.dropDuplicates(["doc", "key"])
     spelled = single.join(marked, ["doc", "key"]).mapInArrow(_spelled, _SUFFIXES)
-    suffixes = spelled.repartition("trigger").sortWithinPartitions("trigger", "other", "doc", "place")
+    suffixes = spelled.repartition("trigger").sortWithinPartitions("trigger", "other", "doc", "place", "key")
     resolved = suffixes.mapInArrow(_suffix_order, _SETTLED)
     settled = scanned.where("trigger is null")
     return settled.unionByName(resolved).drop("trigger")

@@ -195,6 +195,30 @@ def test_suffix_dedup_of_repeated_rows(spark, most):
         assert sorted(map(tuple, got)) == sorted((i, *expected[i]) for i, _ in rows)
 
 
+@pytest.mark.parametrize("most", [1, 4096])
+def test_suffix_dedup_tells_texts_of_one_id_apart(spark, most):
+    """Texts without an id, and texts of one id, whose hashes agree in their low 15 bits."""
+    rng = random.Random(7)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    texts = [some(400 if n % 2 else 180) for n in range(1500)]
+    keys = spark.createDataFrame([(t,) for t in texts], "text string").select("text", F.expr("pmod(xxhash64(text), 32768)")).collect()
+    alike = {}
+    for text, key in keys:
+        alike.setdefault(key, []).append(text)
+    pairs = [sorted(p, key=len, reverse=True)[:2] for p in alike.values() if len({len(t) for t in p}) > 1][:6]
+    assert len(pairs) == 6
+    rows, expected = [], []
+    for n, (copied, clean) in enumerate(pairs):
+        late = None if n % 2 else 1000
+        first = some(50) + copied[:390] + some(50)
+        for i, text, removed in ((n, first, 0), (late, copied, 390), (late, clean, 0)):
+            rows.append((i, text))
+            expected.append((i, text[removed:]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffix_dedup.remove_repeats(df, with_text=True, group_phrases=most).collect()
+    assert sorted(repr((r["doc_id"], r["kept"])) for r in got) == sorted(map(repr, expected))
+
+
 def test_phrases_are_cut_alike(monkeypatch):
     """Pieces of a long text give the same windows as the whole."""
     rng = random.Random(2)
