@@ -246,23 +246,12 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
 
     ``text_key`` is the text's hash; with the id it names a row (repeated rows agree).
     """
-    spark = docs.sparkSession
     rows = own_columns(docs, "doc_id", "text").withColumn("text_key", F.xxhash64("text"))
-    parts = []
-    for shard in _shards(spark, benchmark, shard_words):
-        automaton = spark.sparkContext.broadcast(ItemAutomaton(shard, window))
-        parts.append(_scanned(rows, automaton))
-    if len(parts) <= 1:
-        return parts[0] if parts else _scanned(rows, None)
+    automata = _automata(docs.sparkSession, benchmark, window, shard_words)
+    if len(automata) <= 1:
+        return _scanned(rows, automata[0] if automata else None)
     # Several shards: the few rows with hits are merged per document, then meet the first scan.
-    hits = [written(p.where(F.size("spans") > 0), "decontaminate-hits") for p in parts]
-    every = hits[0]
-    for more in hits[1:]:
-        every = every.unionByName(more)
-    merged = every.groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
+    merged = _merged_hits(rows, automata)
     bare = _scanned(rows, None).drop("spans", "items").alias("d")
     same = F.expr("d.doc_id <=> m.doc_id and d.text_key <=> m.text_key")
     return bare.join(merged.alias("m"), same, "left").select(
@@ -272,6 +261,23 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
     )
 
 
+def _automata(spark, benchmark: DataFrame, window: int, shard_words: int) -> list:
+    """One broadcast automaton per shard; the driver builds them one at a time."""
+    return [spark.sparkContext.broadcast(ItemAutomaton(s, window)) for s in _shards(spark, benchmark, shard_words)]
+
+
+def _merged_hits(rows: DataFrame, automata: list) -> DataFrame:
+    """Spans and items of all shards per (``doc_id``, ``text_key``) with hits; each shard is a job of its own."""
+    hits = [written(_scanned(rows, a).where(F.size("spans") > 0), "decontaminate-hits") for a in automata]
+    every = hits[0]
+    for more in hits[1:]:
+        every = every.unionByName(more)
+    return every.groupBy("doc_id", "text_key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+
+
 def _scanned(rows: DataFrame, automaton) -> DataFrame:
     return rows.mapInArrow(
         _scanner(automaton, ["doc_id", "text_key"]), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_key long, {SPAN_SCHEMA}"
@@ -318,32 +324,58 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` with hit spans cut out of ``text``; rows with more hit than ``max_coverage`` go.
 
-    Rows without hits come back untouched. With one shard nothing is shuffled.
+    Rows without hits come back untouched. With one shard nothing is shuffled. With several,
+    the spans of all shards in the unshortened text are merged, judged and cut together.
     """
-    spark = docs.sparkSession
-    cleaned = docs
-    for shard in _shards(spark, benchmark, shard_words):
-        automaton = spark.sparkContext.broadcast(ItemAutomaton(shard, window))
-        cleaned = map_all_columns(cleaned, _cleaner(automaton, max_coverage), cleaned.schema)
-    return cleaned
-
+    automata = _automata(docs.sparkSession, benchmark, window, shard_words)
+    if not automata:
+        return docs
+    if len(automata) == 1:
+        return map_all_columns(docs, _scan_cleaner(automata[0], max_coverage), docs.schema)
+    rows = own_columns(docs, "doc_id", "text").withColumn("text_key", F.xxhash64("text"))
+    merged = _merged_hits(rows, automata).select("doc_id", "text_key", "spans")
+    at, names = docs.columns.index("text"), [f"c{i}" for i in range(len(docs.columns))]
+    doc, text = F.col(f"c{docs.columns.index('doc_id')}"), F.col(f"c{at}")
+    same = doc.eqNullSafe(F.col("doc_id")) & F.xxhash64(text).eqNullSafe(F.col("text_key"))
+    met = docs.toDF(*names).join(merged, same, "left").select(*names, "spans")
+    return met.mapInArrow(_span_cleaner(at, docs.columns, max_coverage), docs.schema)
+
+
+def _cleaned(batch: pa.RecordBatch, at: int, spans_of, max_coverage: float) -> pa.RecordBatch:
+    """The batch with ``spans_of(row, words)`` cut out of column ``at``, without rows hit too much."""
+    texts, keep = batch.column(at).to_pylist(), []
+    changed = False
+    for i, text in enumerate(texts):
+        words = words_of(text)
+        spans = spans_of(i, words)
+        keep.append(sum(b - a for a, b in spans) <= max_coverage * len(words))
+        if spans:
+            texts[i] = without_spans(text, spans)
+            changed = True
+    if changed:
+        batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+    return batch.filter(pa.array(keep, pa.bool_()))
+
+
+def _scan_cleaner(automaton, max_coverage: float):
+    """Cuts what the one automaton finds."""
 
-def _cleaner(automaton, max_coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            texts, keep = batch.column(at).to_pylist(), []
-            changed = False
-            for i, text in enumerate(texts):
-                words = words_of(text)
-                spans, _ = automaton.value.scan(words)
-                keep.append(sum(b - a for a, b in spans) <= max_coverage * len(words))
-                if spans:
-                    texts[i] = without_spans(text, spans)
-                    changed = True
-            if changed:
-                batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            yield _cleaned(batch, at, lambda _, words: automaton.value.scan(words)[0], max_coverage)
+
+    return run
+
+
+def _span_cleaner(at: int, names: list[str], max_coverage: float):
+    """Cuts the spans of the last column; the columns before it get their names back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(len(names)).to_pylist()
+            own = pa.RecordBatch.from_arrays(batch.columns[:-1], names=names)
+            yield _cleaned(own, at, lambda i, _, found=found: _merged(found[i]), max_coverage)
 
     return run
 

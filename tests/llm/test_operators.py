@@ -153,6 +153,30 @@ def test_decontaminate_in_shards(spark, plain, tables):
     assert _rows(whole) == _rows(parts)
 
 
+def test_decontaminate_cuts_alike_in_shards(spark, plain, wide, tables):
+    """Coverage, overlapping spans and words joined by a cut are judged on all shards at once."""
+    word = lambda a, b: " ".join(f"w{n}" for n in range(a, b))
+    clean = lambda n: " ".join(f"c{n}x{k}" for k in range(40))
+    items = [(1, word(0, 20)), (2, word(100, 120)), (3, word(10, 30)), (4, word(200, 205) + " " + word(205, 210))]
+    docs = [
+        (1, word(0, 12) + " " + word(100, 112) + " " + " ".join(clean(1).split()[:16])),  # 30% hits in each of two shards
+        (2, clean(2) + " " + word(0, 30) + " " + clean(3)),  # spans of two shards overlap
+        (3, clean(4) + " " + word(200, 205) + " " + word(0, 20) + " " + word(205, 210) + " " + clean(5)),  # joined by a cut
+        (None, clean(6) + " " + word(100, 120) + " tail"),
+        (None, clean(7)),
+    ]
+    df = spark.createDataFrame(docs + docs[1:2], "doc_id long, text string")
+    bench = spark.createDataFrame(items, SCHEMAS["benchmark"])
+    whole = decontaminate.decontaminate(df, bench)
+    kept = [r["text"] for r in whole.where("doc_id is not null").orderBy("doc_id").collect()]
+    assert kept == [clean(2) + "  " + clean(3)] * 2 + [docs[2][1].replace(word(0, 20), "")]
+    assert _rows(decontaminate.decontaminate(df, bench, shard_words=5)) == _rows(whole)
+    for some in (plain, wide):
+        parts = decontaminate.decontaminate(some, tables["benchmark"], shard_words=5)
+        assert parts.columns == some.columns
+        assert _rows(parts) == _rows(decontaminate.decontaminate(some, tables["benchmark"]))
+
+
 def test_automaton_against_brute_force():
     rng = random.Random(11)
     letters = [c.encode() for c in "abc"]
