@@ -14,7 +14,8 @@ than one shard. Documents are read once per shard; one shard covers 2 million wo
 benchmark, which is more than all public benchmarks a corpus is usually held against.
 
 Null texts have no words; an item without words marks nothing; two items with equal words
-are both reported; repeated document rows are judged alike; an empty benchmark hits nothing
+are both reported; items without an id mark like others, count together as one item and have
+no name in ``items_sha256``; repeated document rows are judged alike; an empty benchmark hits nothing
 and an empty document table gives no rows.
 """
 
@@ -54,7 +55,7 @@ class ItemAutomaton:
     of window length; ``short_items[state]`` lists short items that end there.
     """
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW) -> None:
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW) -> None:
         self.window = window
         self.next: list[dict[bytes, int]] = [{}]
         self.link = [-1]
@@ -64,8 +65,8 @@ class ItemAutomaton:
             for word in words:
                 last = self._extend(last, word)
         self.at_window = self._first_of_length(window)
-        self.window_items: dict[int, set[str]] = {}
-        self.short_items: dict[int, list[tuple[int, str]]] = {}
+        self.window_items: dict[int, set[str | None]] = {}
+        self.short_items: dict[int, list[tuple[int, str | None]]] = {}
         for name, words in items:
             self._mark(name, words)
         self._inherit_short_items()
@@ -112,7 +113,7 @@ class ItemAutomaton:
                 found[state] = found[above] if self.length[above] >= length else state
         return found
 
-    def _mark(self, name: str, words: list[bytes]) -> None:
+    def _mark(self, name: str | None, words: list[bytes]) -> None:
         state = 0
         for word in words:
             state = self.next[state][word]
@@ -127,17 +128,17 @@ class ItemAutomaton:
         own = self.short_items
         if not own:
             return
-        full: dict[int, list[tuple[int, str]]] = {}
+        full: dict[int, list[tuple[int, str | None]]] = {}
         for state in sorted(range(len(self.next)), key=self.length.__getitem__):
             above = full.get(self.link[state], []) if state else []
             if above or state in own:
                 full[state] = own.get(state, []) + above
         self.short_items = full
 
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str | None]]:
         """Hit spans (word positions, end exclusive, merged) and the items that were met."""
         spans: list[tuple[int, int]] = []
-        met: set[str] = set()
+        met: set[str | None] = set()
         transitions, link, lengths = self.next, self.link, self.length
         window, at_window, short = self.window, self.at_window, self.short_items
         root = transitions[0]
@@ -194,10 +195,10 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*kept, raw[at:]]).decode()
 
 
-def _shards(spark, benchmark: DataFrame, shard_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+def _shards(spark, benchmark: DataFrame, shard_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """Bounded lists of (item, words), taken by id in the order of a streamed scan."""
-    rows = own_columns(benchmark, "item_id", "text").where("item_id is not null and text is not null")
-    shard: list[tuple[str, list[bytes]]] = []
+    rows = own_columns(benchmark, "item_id", "text").where("text is not null")
+    shard: list[tuple[str | None, list[bytes]]] = []
     total = 0
     for row in rows.toLocalIterator():
         words = words_of(row["text"])
@@ -205,7 +206,8 @@ def _shards(spark, benchmark: DataFrame, shard_words: int) -> Iterator[list[tupl
             yield shard
             shard, total = [], 0
         if words:
-            shard.append((str(row["item_id"]), words))
+            name = row["item_id"]
+            shard.append((None if name is None else str(name), words))
             total += len(words)
     if shard:
         yield shard
@@ -226,7 +228,7 @@ def _scanner(automaton, names: list[str]):
                 found, met = machine.scan(words) if machine else ([], set())
                 counts.append(len(words))
                 spans.append([{"start": a, "end": b} for a, b in found])
-                items.append(sorted(met))
+                items.append(sorted(met, key=lambda name: (name is None, name or "")))
             span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [

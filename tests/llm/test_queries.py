@@ -8,7 +8,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from helixframe.llm import queries
+from helixframe.llm import decontaminate, queries
 
 duckdb = pytest.importorskip("duckdb")
 DIRS = ("sf_dir", "edge_dir")
@@ -101,6 +101,24 @@ def test_decontaminate(spark, folder, documents):
     assert Counter(got) == Counter((i, *expected[(i, t)]) for i, t in documents)
 
 
+def test_decontaminate_items_without_an_id(spark, write_tables):
+    """Null ids mark, count as one item and have no name, as the check statement says."""
+    long, short = " ".join(f"w{n}" for n in range(14)), "three short words"
+    documents = [(n, t, "en", "a", 1) for n, t in enumerate(["x " + long + " y", short, "x " + short + " named item", "clean", None])]
+    benchmark = [(None, long), (None, short), (None, None), (4, "named item"), (5, long + " more")]
+    folder = write_tables({"documents": documents, "benchmark": benchmark})
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        connection.execute(f"create view {table} as select * from '{folder}/{table}.parquet/*.parquet'")
+    expected = Counter(connection.execute(queries.ORACLES["op5_decontaminate"]).fetchall())
+    _, got = _run(spark, "op5_decontaminate", folder)
+    assert Counter(got) == expected and sum(r[5] for r in got) == 3
+    docs, bench = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "benchmark"))
+    parts = decontaminate.digest(decontaminate.find_spans(docs, bench, shard_words=5))
+    assert Counter(map(tuple, parts.collect())) == expected
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()) == [3, 4]
+
+
 def test_token_output(spark, folder, documents):
     from tokenizers import Tokenizer
 
