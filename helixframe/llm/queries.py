@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import chat, decontaminate, langid, mixing, ngram_join, pii, quality, suffix_dedup, token_output, toxicity
+from helixframe.llm import (
+    chat, decontaminate, fim, langid, merkle, mixing, ngram_join, partition_search, pii, quality, suffix_dedup,
+    token_output, toxicity,
+)
 from helixframe.llm.common import table
 from helixframe.session import new_scratch_path
 
@@ -69,6 +72,29 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of the stored manifest; every second document is checked against a changed text."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    changed = merkle.leaf_digest(text=F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    found = merkle.manifest_proofs(table(spark, sf_dir, "documents"), {"claimed": F.when(tampered, changed)})
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.path_text(), 256).alias("proof_sha256"),
+        merkle.folded(F.coalesce("claimed", "leaf")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_partition_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partition_search.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
@@ -80,6 +106,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_langid": op9_langid,
     "op10_ngram_join": op10_ngram_join,
+    "op11_merkle": op11_merkle,
+    "op12_partition_search": op12_partition_search,
+    "op13_fim": op13_fim,
 }
 
 ORACLES = {
@@ -172,4 +201,77 @@ reach as (select x, y from ways union select r.x, w.y from reach r join ways w o
 least_of as (select x, min(y) as least_id from reach group by x)
 select d.doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, least(d.doc_id, coalesce(least_id, d.doc_id)) as component_id
 from worded d left join sizes s on d.r = s.r left join least_of l on d.doc_id = l.x""",
+    # The parity of a CRC-32 comes from its register, run over the bytes of the decimal id.
+    "op11_merkle": r"""
+with recursive named as (
+  select doc_id, text, case when source is null then '' else '=' || source end as grp,
+    concat(coalesce(octet_length(encode(cast(doc_id as varchar))) || ':' || doc_id, '-'),
+      coalesce(octet_length(encode(source)) || ':' || source, '-'),
+      coalesce(octet_length(encode(lang)) || ':' || lang, '-'),
+      coalesce(octet_length(encode(cast(n_chars as varchar))) || ':' || n_chars, '-')) as head,
+    replace(text, chr(10), '') as changed
+  from documents),
+hashed as (
+  select doc_id, grp, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) as leaf,
+    sha256(head || coalesce(octet_length(encode(changed)) || ':' || changed, '-')) as changed_leaf,
+    list_reduce(list_concat([4294967295::bigint], list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::bigint)),
+      lambda r, b: list_reduce([xor(r, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, z: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)) as register
+  from named),
+leaves as (
+  select doc_id, grp, leaf, case when xor(register, 4294967295) % 2 = 0 then changed_leaf else leaf end as claimed,
+    row_number() over (partition by grp order by doc_id nulls first, leaf) - 1 as pos
+  from hashed),
+trees as (
+  select grp, 0 as lev, list(leaf order by pos) as nodes from leaves group by grp
+  union all
+  select grp, lev + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i+1:i+3], '')))
+  from trees where len(nodes) > 1),
+subroots as (select grp, nodes[1] as subroot, row_number() over (order by grp) - 1 as pos from trees where len(nodes) = 1),
+tops as (
+  select 0 as lev, list(subroot order by pos) as nodes from subroots having count(*) > 0
+  union all
+  select lev + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i+1:i+3], '')))
+  from tops where len(nodes) > 1),
+inner_folds as (
+  select row_number() over () as r, doc_id, grp, leaf, pos, 0 as lev, claimed as node, '' as proof from leaves
+  union all
+  select r, doc_id, f.grp, leaf, pos // 3, f.lev + 1,
+    sha256(array_to_string(nodes[pos // 3 * 3 + 1:pos], '') || node || array_to_string(nodes[pos + 2:pos // 3 * 3 + 3], '')),
+    proof || array_to_string(nodes[pos // 3 * 3 + 1:pos], '') || array_to_string(nodes[pos + 2:pos // 3 * 3 + 3], '')
+  from inner_folds f join trees t on t.grp = f.grp and t.lev = f.lev and len(nodes) > 1),
+reached as (
+  select f.*, s.subroot, s.pos as place
+  from inner_folds f join trees t on t.grp = f.grp and t.lev = f.lev and len(t.nodes) = 1 join subroots s on s.grp = f.grp),
+outer_folds as (
+  select r, doc_id, leaf, subroot, place as pos, 0 as lev, node, proof from reached
+  union all
+  select r, doc_id, leaf, subroot, pos // 3, f.lev + 1,
+    sha256(array_to_string(nodes[pos // 3 * 3 + 1:pos], '') || node || array_to_string(nodes[pos + 2:pos // 3 * 3 + 3], '')),
+    proof || array_to_string(nodes[pos // 3 * 3 + 1:pos], '') || array_to_string(nodes[pos + 2:pos // 3 * 3 + 3], '')
+  from outer_folds f join tops t on t.lev = f.lev and len(nodes) > 1)
+select doc_id, leaf, subroot, t.nodes[1] as root, sha256(proof) as proof_sha256, node as folded_root, node = t.nodes[1] as verified
+from outer_folds f join tops t on t.lev = f.lev and len(t.nodes) = 1""",
+    "op13_fim": r"""
+with drawn as (
+  select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as sha,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as w
+  from documents),
+numbered as (
+  select *, len(w) as n, ('0x' || sha[1:8])::bigint as h1, ('0x' || sha[9:16])::bigint as h2,
+    ('0x' || sha[17:24])::bigint as h3, ('0x' || sha[25:32])::bigint as h4
+  from drawn),
+formed as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain'
+      when h4 % 100 < 80 then 'spm' else 'psm' end as form
+  from numbered),
+parted as (
+  select *, array_to_string(w[1:a], '') as p, array_to_string(w[a+1:b], '') as m, array_to_string(w[b+1:], '') as s
+  from formed)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then len(p) end as prefix_chars,
+  case when form <> 'plain' then len(m) end as middle_chars,
+  sha256(case form when 'psm' then concat('<P>', p, '<S>', s, '<M>', m) when 'spm' then concat('<S>', s, '<P>', p, '<M>', m) else text end) as output_sha256,
+  sha256(text) as restored_sha256
+from parted""",
 }

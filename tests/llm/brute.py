@@ -137,3 +137,56 @@ def near_copies(docs: dict, percent: int = 85) -> dict:
                     x, y = root(a), root(b)
                     parent[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def nearest(rows: list, top: int = 20, every: int = 20) -> list:
+    """Per query row its id and the exact (score, vec_id) list; rows are (vec_id, vector)."""
+    sizes = collections.Counter()
+    sound = []
+    for i, v in rows:
+        if v and all(x is not None and x - x == 0 for x in v) and any(v):
+            sound.append((i, v))
+            sizes[len(v)] += 1
+    if not sound:
+        return []
+    size = max(sizes, key=lambda n: (sizes[n], n))
+    sound = [(i, v) for i, v in sound if len(v) == size]
+    out = []
+    for at, (i, v) in enumerate(sound):
+        if i is None or i % every:
+            continue
+        scored = []
+        for other, (j, w) in enumerate(sound):
+            if other != at:
+                score = 0.0
+                for x, y in zip(v, w):
+                    score += x * y
+                scored.append((score, j))
+        scored.sort(key=lambda s: (-s[0], s[1] is None, s[1] or 0))
+        out.append((i, scored[:top]))
+    return out
+
+
+def merkle_root(nodes: list) -> str:
+    while len(nodes) > 1:
+        nodes = [_sha("".join(nodes[i : i + 3])) for i in range(0, len(nodes), 3)]
+    return nodes[0]
+
+
+TOKEN = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def fill_in_middle(i, text: str | None) -> tuple:
+    """(n, form, prefix_chars, middle_chars, output)."""
+    text = text or ""
+    sha = _sha("42:" + ("" if i is None else str(i)))
+    h1, h2, h3, h4 = (int(sha[8 * k : 8 * k + 8], 16) for k in range(4))
+    w = TOKEN.findall(text)
+    n = len(w)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 50:
+        return n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(w[:a]), "".join(w[a:b]), "".join(w[b:])
+    if h4 % 100 < 80:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"

@@ -60,6 +60,7 @@ def edge_documents() -> list:
         (16, "shared line that stands in several documents\n" * 3 + prose(5, 30), "en", "a", 9),
         (17, "shared line that stands in several documents\n" * 2 + prose(6, 30), "en", "a", 9),
         (None, prose(7, 40), "en", "a", 9),
+        (20, "\n".join(prose(s, 9) for s in range(8)) + "\n\n  ", "en", "a", None),
     ]
 
 
@@ -68,9 +69,21 @@ SCHEMAS = {
     "benchmark": "item_id long, text string",
     "labels": "doc_id long, quality int, toxic int",
     "conversations": "conv_id long, turn long, role string, text string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
 }
 
 
+def edge_vectors() -> list:
+    """(vec_id, embedding, label): groups of copies, ties, repeated rows, and rows that take no part."""
+    vectors = [(i, [float(i % 7), float(i % 5) - 2, 1.0, float(i % 3)], 0) for i in range(61)]
+    copies = [(i, [2.0, 2.0, 2.0, 2.0], 1) for i in range(100, 180)]
+    odd = [None, [], [0.0] * 4, [1.0, None, 0.0, 0.0], [float("nan"), 1.0, 1.0, 1.0], [float("inf"), 0.0, 0.0, 1.0], [1.0, 2.0]]
+    return [
+        *vectors, *copies, *[(200 + 20 * k, v, 2) for k, v in enumerate(odd)],
+        (40, vectors[40][1], 0), (40, [5.0, 1.0, -1.0, 0.5], 0), (None, [3.0, 3.0, 3.0, 3.0], None), (-20, [-1.0, 0.0, 0.0, -0.0], 3),
+    ]
+
+
 def edge_tables() -> dict:
     quoted = prose(1, 120).split()
     return {
@@ -92,6 +105,7 @@ def edge_tables() -> dict:
             (2, 3, "assistant", ""),
             (None, 0, "user\nassistant", "odd"),
         ],
+        "embeddings": edge_vectors(),
     }
 
 

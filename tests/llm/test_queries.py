@@ -32,7 +32,7 @@ def _run(spark, name, folder):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_against_sql(spark, folder, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark", "labels", "conversations"):
+    for table in ("documents", "benchmark", "labels", "conversations", "embeddings"):
         path = f"{folder}/{table}.parquet"
         files = path if os.path.isfile(path) else f"{path}/*.parquet"
         connection.execute(f"create view {table} as select * from '{files}'")
@@ -185,6 +185,35 @@ def test_ngram_join(spark, folder, documents):
     assert Counter(got) == Counter((i, *expected[i]) if i is not None else (None, alone[t], None) for i, t in documents)
 
 
+def test_partition_search(spark, folder):
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    _, got = _run(spark, "op12_partition_search", folder)
+    expected = brute.nearest(rows)
+    assert Counter(r[0] for r in got) == Counter(i for i, found in expected for _ in found)
+    every = {}
+    for i, found in brute.nearest(rows, top=len(rows)):
+        for score, j in found:
+            every.setdefault((i, j), set()).add(score)
+    assert all(score in every[(i, j)] for i, _, j, score in got)
+    wanted = Counter((i, j) for i, found in expected for _, j in found)
+    assert sum((wanted & Counter((r[0], r[2]) for r in got)).values()) >= 0.9 * len(got)
+    by_query = {}
+    for query, rank, other, score in got:
+        by_query.setdefault((query, rank), []).append((-score, other is None, other or 0))
+    for (query, rank), found in by_query.items():
+        if len(found) == 1 and (query, rank - 1) in by_query:
+            assert by_query[(query, rank - 1)][0] <= found[0]
+
+
+def test_fill_in_middle(spark, folder, documents):
+    _, got = _run(spark, "op13_fim", folder)
+    expected = Counter()
+    for i, text in documents:
+        n, form, p, m, output = brute.fill_in_middle(i, text)
+        expected[(i, n, form, p, m, brute._sha(output), brute._sha(text or ""))] += 1
+    assert Counter(got) == expected and len({r[2] for r in got}) > 1
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_empty_tables(spark, empty_dir, name):
     _, got = _run(spark, name, empty_dir)
