@@ -10,9 +10,10 @@ from helixframe.registry import (
     population,
     quality,
     scalars,
+    streams,
 )
 
-MODULES = (scalars, filters, population, quality, frequency, cohort, ingest)
+MODULES = (scalars, filters, population, quality, frequency, cohort, ingest, streams)
 
 
 def all_queries() -> dict:

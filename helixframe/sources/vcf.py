@@ -249,15 +249,16 @@ def bad_site_line(columns: int = 8) -> Column:
     )
 
 
-def checked_lines(lines: DataFrame, columns: int = 8) -> DataFrame:
-    """``filename``, ``text``, ``cells`` (columns of the line) and ``bad``; header lines are never bad.
+def checked_lines(lines: DataFrame, columns: int = 8, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``filename``, ``text``, ``cells`` (columns of the line), ``bad`` and columns to keep; header
+    lines are never bad.
 
     What a load stores from its one pass over the text: bad files, dictionary and sample
     names all follow from it.
     """
     header = F.startswith(F.col("text"), F.lit(HEADER))
-    return _parts(lines.select("filename", "text")).select(
-        "filename", "text", F.size("__part").alias("cells"),
+    return _parts(lines.select("filename", "text", *keep)).select(
+        "filename", "text", *keep, F.size("__part").alias("cells"),
         (~header & F.coalesce(bad_site_line(columns), F.lit(True))).alias("bad"),
     )
 
