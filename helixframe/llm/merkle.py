@@ -173,7 +173,7 @@ def proofs(tree: Tree, root_paths: DataFrame) -> DataFrame:
     paths = None
     for k in reversed(range(len(tree.levels))):
         ended = tops.where(F.col("height") == k + 1).select("grp", F.lit(0).cast("long").alias("at"), "path")
-        above = ended if paths is None else ended.unionByName(paths)
+        above = ended if paths is None else ended.unionByName(paths.select("grp", "at", "path"))
         nodes = _regenerated(tree.levels[k]).join(above.withColumnRenamed("path", "above"), ["grp", "at"])
         each = nodes.select(
             "grp", "above", "steps", *[f"level{j}" for j in range(STORED_EVERY)], F.explode("nodes").alias("node")
