@@ -9,7 +9,8 @@
 5. It routes each query to its most probable partitions, so many that held-out vectors find
    ``TARGET_RECALL`` of their neighbours in the sample, and on until enough rows are met.
    What lies in those partitions is scored exactly, in double precision, terms added in order
-   of the components, and the nearest are kept.
+   of the components, and the nearest are kept: first in the most probable partition, whose
+   last kept score then bounds what a row of the others must reach to be handed on at all.
 
 Copies of one vector: the index holds the ``top + 1`` least ids of each distinct vector, since
 no answer can name more, and equal queries are answered once. Partitions of any size are met
@@ -285,7 +286,8 @@ def _scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 
 
 def _ranked_block(dimension: int, top: int):
-    """The ``top`` nearest rows of a block of candidates for each query of a block of queries."""
+    """The ``top`` nearest rows of a block of candidates for each query of a block of queries,
+    as far as they reach the query's ``least`` score."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[pa.Table] = []
@@ -294,21 +296,23 @@ def _ranked_block(dimension: int, top: int):
             left = left.sort_by([("vec_id", "ascending")])  # nulls come last
             rows = _matrix(left.column("v").combine_chunks(), dimension)
             queries = _matrix(right.column("v").combine_chunks(), dimension)
+            least = right.column("least").to_numpy()[:, None]
             reach = np.abs(rows).sum(axis=1).max()
             qids, ids = right.column("qid").combine_chunks(), left.column("vec_id").combine_chunks()
             for at in range(0, len(queries), SCORED_AT_ONCE):
-                some = queries[at : at + SCORED_AT_ONCE]
+                some, bound = queries[at : at + SCORED_AT_ONCE], least[at : at + SCORED_AT_ONCE]
                 rough = some @ rows.T
-                least = np.full((len(some), 1), -np.inf)
+                wanted = bound
                 if len(rows) > top:
-                    least = -np.partition(-rough, top - 1, axis=1)[:, top - 1 : top]
+                    wanted = np.maximum(bound, -np.partition(-rough, top - 1, axis=1)[:, top - 1 : top])
+                # The matrix product rounds otherwise than the ordered sums, by less than this.
                 slack = 1e-12 * reach * np.abs(some).max(axis=1, keepdims=True)
-                q, c = np.nonzero(rough >= least - slack)
+                q, c = np.nonzero(rough >= wanted - slack)
                 exact = _scores(some[q], rows[c])
                 order = np.lexsort((c, -exact, q))
                 q, c, exact = q[order], c[order], exact[order]
                 rank = np.arange(len(q)) - np.searchsorted(q, q)
-                best = rank < top
+                best = (rank < top) & (exact >= bound[q, 0])
                 q, c, exact = q[best], c[best], exact[best]
                 same = (some[q] == rows[c]).all(axis=1)
                 found.append(pa.table([qids.take(pa.array(q + at)), ids.take(pa.array(c)), pa.array(exact), pa.array(same)], names=names))
@@ -335,27 +339,37 @@ def _part_counts(rows: DataFrame) -> dict[int, int]:
     return {r["part"]: r["n"] for r in rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+def _scored(index: DataFrame, sizes: dict[int, int], probing: DataFrame, parts: int, dimension: int, top: int) -> DataFrame:
+    """(``qid``, ``vec_id``, ``score``, ``same``) of the nearest rows per query, partition and block."""
+    row_blocks = _by_part(sizes, CANDIDATE_ROWS, parts)
+    query_blocks = _by_part(_part_counts(probing), QUERY_ROWS, parts)
+    left = _blocked(index.drop("h"), "row_block", "query_block", row_blocks, query_blocks, F.struct("vec_id", "v"))
+    right = _blocked(probing, "query_block", "row_block", query_blocks, row_blocks, F.col("qid"))
+    keys = ["part", "row_block", "query_block"]
+    kind = index.schema["vec_id"].dataType.simpleString()
+    schema = f"qid long, vec_id {kind}, score double, same boolean"
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_ranked_block(dimension, top), schema)
+
+
 def search(index: DataFrame, queries: DataFrame, model, dimension: int, top: int = TOP) -> DataFrame:
     """(``qid``, ``found``): per query (``qid``, ``v``) its ``top`` nearest index rows in order."""
     sizes = _part_counts(index)
     parts = model.value.parts
     rows_in = np.array([sizes.get(p, 0) for p in range(parts)])
-    routed = queries.select("qid", "v").mapInArrow(
-        _routed(model, rows_in, dimension, top), T.StructType([T.StructField("qid", T.LongType()), queries.schema["v"], T.StructField("parts", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([T.StructField("qid", T.LongType()), queries.schema["v"], T.StructField("parts", T.ArrayType(T.IntegerType()))])
+    routed = written(queries.select("qid", "v").mapInArrow(_routed(model, rows_in, dimension, top), schema), "search-routed")
+    home = routed.select("qid", "v", F.get("parts", F.lit(0)).alias("part"), F.lit(float("-inf")).alias("least"))
+    near = written(_scored(index, sizes, home, parts, dimension, top), "search-home")
+    reached = near.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.array_min(F.slice(F.sort_array(F.collect_list("score"), False), 1, top)).alias("last"))
+    bounds = reached.where(F.col("n") >= top).select("qid", "last")
+    others = routed.join(bounds, "qid", "left").select(
+        "qid", "v", F.explode(F.slice("parts", 2, parts)).alias("part"),
+        F.coalesce("last", F.lit(float("-inf"))).alias("least"),
     )
-    probing = written(routed, "search-routed").select("qid", "v", F.explode("parts").alias("part"))
-    row_blocks = _by_part(sizes, CANDIDATE_ROWS, parts)
-    query_blocks = _by_part(_part_counts(probing), QUERY_ROWS, parts)
-    left = _blocked(index.drop("h"), "row_block", "query_block", row_blocks, query_blocks, F.struct("vec_id", "v"))
-    right = _blocked(probing, "query_block", "row_block", query_blocks, row_blocks, F.col("qid"))
-    keys = ["part", "row_block", "query_block"]
-    kind = index.schema["vec_id"].dataType
-    schema = T.StructType([T.StructField("qid", T.LongType()), T.StructField("vec_id", kind), T.StructField("score", T.DoubleType()), T.StructField("same", T.BooleanType())])
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_ranked_block(dimension, top), schema)
+    further = _scored(index, sizes, written(others, "search-others"), parts, dimension, top)
     best = Window.partitionBy("qid").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
-    kept = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top)
-    listed = kept.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score", "same"))).alias("found"))
-    return listed
+    kept = near.unionByName(further).withColumn("place", F.row_number().over(best)).where(F.col("place") <= top)
+    return kept.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score", "same"))).alias("found"))
 
 
 def nearest_neighbours(
