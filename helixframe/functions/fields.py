@@ -58,10 +58,15 @@ def norm_single_info(info: Column, drop_single_key: bool = True) -> Column:
     return norm_missing(info)
 
 
+def split_field(keys: Column, values: Column, key: str) -> Column:
+    """Text of the FORMAT key ``key`` among split keys and values; NULL where the row lacks it."""
+    at = F.array_position(keys, F.lit(key)).cast("int") - F.lit(1)
+    return F.nullif(F.get(values, at), F.lit(""))
+
+
 def format_field(fmt: Column, values: Column, key: str) -> Column:
     """Text of the FORMAT key ``key`` in a sample column; NULL where the row lacks it."""
-    at = F.array_position(F.split(fmt, ":"), F.lit(key)).cast("int") - F.lit(1)
-    return F.nullif(F.get(F.split(values, ":"), at), F.lit(""))
+    return split_field(F.split(fmt, ":"), F.split(values, ":"), key)
 
 
 def gt_only(sample_column: Column) -> Column:

@@ -1,4 +1,4 @@
-"""The genotype functions under their SQL names.
+"""The genotype functions and the cohort's table functions under their SQL names.
 
 They are SQL functions, so Catalyst inlines their bodies into the calling plan; no call
 leaves the JVM. Bodies are plain SQL because a Column cannot be turned into SQL text.
@@ -6,7 +6,9 @@ leaves the JVM. Bodies are plain SQL because a Column cannot be turned into SQL
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from helixframe.operators.extent import LEVELS
 
 SQL_FUNCTIONS = {
     "gt_token": (
@@ -72,9 +74,56 @@ SQL_FUNCTIONS = {
     ),
 }
 
+# Table functions over the view ``cohort_spans`` (the gVCF view); a NULL contig means all.
+SPANS_VIEW = "cohort_spans"
+_OF_CONTIG = "(contig IS NULL OR chrom = contig)"
+_LEVEL = (
+    "CASE "
+    + " ".join(f"WHEN end_pos - pos < {1 << level} THEN {level}" for level in LEVELS[:-1])
+    + f" ELSE {LEVELS[-1]} END"
+)
+
+TABLE_FUNCTIONS = {
+    "spans_at": (
+        "(contig STRING, loc INT) RETURNS TABLE (chrom STRING, pos INT, end_pos INT, ref STRING, "
+        "alt ARRAY<STRING>, sample_id STRING, gt STRING)",
+        f"SELECT chrom, pos, end_pos, ref, alt, sample_id, gt FROM {SPANS_VIEW} "
+        "WHERE chrom = contig AND pos <= loc AND end_pos >= loc",
+    ),
+    "cohort_loci": (
+        "(contig STRING) RETURNS TABLE (chrom STRING, pos INT, ref STRING, alt ARRAY<STRING>)",
+        "SELECT chrom, pos, ref, array_sort(collect_list(allele)) FROM (SELECT DISTINCT chrom, pos, ref, allele "
+        f"FROM {SPANS_VIEW} LATERAL VIEW explode(alt) AS allele "
+        f"WHERE alt_string <> '<NON_REF>' AND {_OF_CONTIG}) GROUP BY chrom, pos, ref",
+    ),
+    # A locus meets the spans that cover it in bins as wide as the spans, as in the range join.
+    "cohort_counts": (
+        "(contig STRING) RETURNS TABLE (chrom STRING, pos INT, ref STRING, alt_string STRING, gt STRING, cnt BIGINT)",
+        "WITH calls AS (SELECT chrom, pos, end_pos, alt, gt, count(*) AS n "
+        f"FROM {SPANS_VIEW} WHERE end_pos >= pos AND {_OF_CONTIG} GROUP BY chrom, pos, end_pos, alt, gt), "
+        f"levelled AS (SELECT *, {_LEVEL} AS width FROM calls), "
+        "binned AS (SELECT *, explode(sequence(shiftright(pos, width), shiftright(end_pos, width))) AS bin FROM levelled), "
+        f"widened AS (SELECT *, explode(array{LEVELS}) AS width FROM cohort_loci(contig)), "
+        "probes AS (SELECT *, shiftright(pos, width) AS bin FROM widened), "
+        "met AS (SELECT p.chrom, p.pos, p.ref, array_join(p.alt, ',') AS alt_string, rebase_gt(b.alt, p.alt, b.gt) AS gt, b.n "
+        "FROM probes p JOIN binned b ON p.chrom = b.chrom AND p.width = b.width AND p.bin = b.bin "
+        "AND b.pos <= p.pos AND b.end_pos >= p.pos) "
+        "SELECT chrom, pos, ref, alt_string, gt, sum(n) FROM met GROUP BY chrom, pos, ref, alt_string, gt",
+    ),
+}
+
 
 def register_functions(spark: SparkSession) -> list[str]:
     """Create the functions for this session and return their names."""
     for name, (signature, body) in SQL_FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{signature} RETURN {body}")
     return list(SQL_FUNCTIONS)
+
+
+def register_table_functions(spark: SparkSession, spans: DataFrame) -> list[str]:
+    """Create the table functions over ``spans``, with the scalar ones they call."""
+    register_functions(spark)
+    spans.createOrReplaceTempView(SPANS_VIEW)
+    for name, (signature, body) in TABLE_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{signature} RETURN {body}")
+    return list(TABLE_FUNCTIONS)

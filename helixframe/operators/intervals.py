@@ -3,10 +3,10 @@
 Spark evaluates ``chrom = chrom AND pos BETWEEN start AND end`` as a join on the
 chromosome with the range as a residual: about 25 keys, quadratic within each. Here each
 span gets a bin width of its own magnitude (a power of 8), so it touches at most two bins,
-and each point probes one bin per width (of those that occur, where both sides shuffle). Candidates per span stay proportional to the
-points near it whatever the mix of single bases and long reference blocks, no span is
-copied more than twice, and no block length needs a cap. A point meets a span in exactly
-one bin, so the result needs no deduplication.
+and each point probes one bin per width that occurs. Candidates per span stay proportional to
+the points near it whatever the mix of single bases and long reference blocks, no span is
+copied more than twice, and no block length needs a cap. A point meets a span in exactly one
+bin, so the result needs no deduplication.
 """
 
 from __future__ import annotations
@@ -14,12 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.operators.extent import Extent, measure
+from helixframe.operators.extent import LEVELS, Extent, measure, span_level
 from helixframe.session import BROADCAST_MAX_ROWS, broadcast_if_small
 from helixframe.sinks.tables import written
 
-WIDTH_BITS = 3
-LEVELS = tuple(range(0, 31, WIDTH_BITS))
 HOT_BIN_ROWS = 2_000_000
 CHUNK = 1 << 16
 
@@ -27,15 +25,6 @@ _LEVEL, _BIN, _CHROM = "__level", "__bin", "__chrom"
 _SALT_SPAN, _SALT_POINT = "__salt_span", "__salt_point"
 
 
-def span_level(start: Column, end: Column) -> Column:
-    """Exponent of the smallest bin width that is at least the span's length."""
-    length = end.cast("long") - start.cast("long") + F.lit(1)
-    level = F.lit(LEVELS[-1])
-    for exponent in reversed(LEVELS[:-1]):
-        level = F.when(length <= F.lit(1 << exponent), F.lit(exponent)).otherwise(level)
-    return level
-
-
 def _bin(position: Column, level: Column) -> Column:
     return F.call_function("shiftright", position, level)
 
@@ -52,13 +41,15 @@ def _with_span_bins(spans: DataFrame, chrom: str, start: str, end: str) -> DataF
     )
 
 
-def _with_point_bins(points: DataFrame, chrom: str, pos: str, levels: DataFrame | None = None) -> DataFrame:
-    """One row per bin width; with ``levels``, only per width that the contig's spans have."""
-    if levels is None:
-        probed = points.withColumn(_LEVEL, F.explode(F.array(*[F.lit(x) for x in LEVELS])))
-        return probed.withColumn(_BIN, _bin(F.col(pos), F.col(_LEVEL))).withColumnRenamed(chrom, _CHROM)
+def _with_point_bins(points: DataFrame, chrom: str, pos: str, levels: tuple[int, ...] | DataFrame = LEVELS) -> DataFrame:
+    """One row per bin width; ``levels`` are widths for all contigs, or a table of each contig's."""
     named = points.withColumnRenamed(chrom, _CHROM)
-    probed = named.join(F.broadcast(levels), _CHROM).withColumn(_LEVEL, F.explode("__levels")).drop("__levels")
+    if isinstance(levels, DataFrame):
+        probed = named.join(F.broadcast(levels), _CHROM).withColumn(_LEVEL, F.explode("__levels")).drop("__levels")
+    elif len(levels) == 1:
+        probed = named.withColumn(_LEVEL, F.lit(levels[0]))
+    else:
+        probed = named.withColumn(_LEVEL, F.explode(F.array(*[F.lit(x) for x in levels])))
     return probed.withColumn(_BIN, _bin(F.col(pos), F.col(_LEVEL)))
 
 
@@ -183,11 +174,13 @@ def _span_join(
     binned_spans = _with_span_bins(spans, s_chrom, s_start, s_end)
     keys = [_CHROM, _LEVEL, _BIN]
     if fits_broadcast(extent, lookup, max_rows):
-        binned_points = _with_point_bins(points, p_chrom, p_pos)
         if lookup == "points":
-            joined = binned_spans.join(F.broadcast(binned_points), keys)
+            joined = binned_spans.join(F.broadcast(_with_point_bins(points, p_chrom, p_pos)), keys)
         else:
-            joined = binned_points.join(F.broadcast(binned_spans), keys)
+            # The spans' widths were measured: a point becomes one row per width, mostly one in all.
+            joined = _with_point_bins(points, p_chrom, p_pos, extent.levels or LEVELS[:1]).join(
+                F.broadcast(binned_spans), keys
+            )
     else:
         span_counts = _bin_counts(binned_spans, "span_bins")
         binned_points = _with_point_bins(points, p_chrom, p_pos, _levels_of(span_counts))

@@ -126,7 +126,10 @@ def load_genotypes(
         )
     )
     by_locus, by_sample = f"{out}/genotypes", f"{out}/genotypes_by_sample"
-    K.write_clustered(genotypes, by_locus, K.LOCUS_ORDER)
+    # Loci come from the lines, so no call is unpivoted to find the bounds of the files.
+    loci = S.parse_wide(lines).select("chrom", "pos", "ref")
+    widest = names.agg(F.max(F.size("samples"))).first()[0] or 1
+    K.write_clustered(genotypes, by_locus, K.LOCUS_ORDER, keys_from=loci, rows_per_key=widest)
     stored = K.read_clustered(spark, by_locus, genotypes.schema)
     # The second copy starts from the first, so text is unpivoted and decoded once.
     K.write_by_sample(stored, by_sample)
@@ -146,10 +149,10 @@ def load_gvcf(
     checked = _staged(S.read_lines(spark, path, pattern, partitions), out, "gvcf", 10)
     raw = S.parse_gvcf(_without_bad_files(checked, out, "gvcf"), sample)
     by_sample, by_position = f"{out}/genotypes_raw", f"{out}/genotypes_by_position"
-    K.write_clustered(raw, by_sample, K.SAMPLE_ORDER, partition_by=None)
+    K.write_clustered(raw, by_sample, K.SAMPLE_ORDER, partition_by=None, bloom=("id",))
     stored = K.read_clustered(spark, by_sample, raw.schema)
     view = gvcf_view(stored)
-    K.write_clustered(view, by_position, ("chrom", "pos"))
+    K.write_clustered(view, by_position, ("chrom", "pos"), bloom=("id", "sample_id"))
     return stored, K.read_clustered(spark, by_position, view.schema)
 
 
@@ -162,10 +165,18 @@ def load_single_sample(
     header_path: Path | None = None,
     drop_single_key_info: bool = True,
 ) -> DataFrame:
-    """One-sample-per-file text with INFO per single ALT, as ``<out>/genotypes``."""
-    lines = S.read_lines(spark, path).select("filename", "text")
-    keys = dictionary if dictionary is not None else _dictionary(spark, path, header_path)
-    rows = S.parse_vcf_body(lines, drop_single_key_info)
+    """One-sample-per-file text with INFO per single ALT, as ``<out>/genotypes``.
+
+    Files with a bad row are left out whole.
+    """
+    checked = _staged(S.read_lines(spark, path), out, "single", 10)
+    if dictionary is not None:
+        keys = dictionary
+    elif header_path is not None:
+        keys = _dictionary(spark, path, header_path)
+    else:
+        keys = info_dictionary(S.header_lines(checked))
+    rows = S.parse_vcf_body(_without_bad_files(checked, out, "single"), drop_single_key_info)
     rows = rows.withColumn("qual", V.rounded_int(F.col("qual"), "bigint"))
     genotypes = parse_info(rows, keys, flat=True)
     target = f"{out}/genotypes"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions import fields as V
@@ -78,16 +78,19 @@ def variants_flattened(variants: DataFrame, info: str = "info") -> DataFrame:
 def gvcf_view(raw: DataFrame) -> DataFrame:
     """gVCF spans with the ALT array and the FORMAT keys as columns.
 
-    Each key is an expression of its own, so a query that reads two of them parses two.
+    FORMAT and values are split once per row, as columns that all keys are looked up in; the
+    optimizer keeps that projection apart because the columns are used repeatedly, and drops
+    the keys, or both, that a query does not read.
     """
-    fmt, vals = F.col("format"), F.col("vals")
+    split = raw.withColumns({"__keys": F.split("format", ":"), "__values": F.split("vals", ":")})
+
+    def field(key: str) -> Column:
+        return V.split_field(F.col("__keys"), F.col("__values"), key)
+
     columns = {"alt": split_alts(F.col("alt_string"))}
-    for key in FORMAT_INTEGERS:
-        columns[key.lower()] = V.rounded_int(V.format_field(fmt, vals, key))
-    for key in FORMAT_TEXTS:
-        columns[key.lower()] = V.format_field(fmt, vals, key)
-    for key in FORMAT_DOUBLES:
-        columns[key.lower()] = V.format_field(fmt, vals, key).try_cast("double")
+    columns |= {key.lower(): V.rounded_int(field(key)) for key in FORMAT_INTEGERS}
+    columns |= {key.lower(): field(key) for key in FORMAT_TEXTS}
+    columns |= {key.lower(): field(key).try_cast("double") for key in FORMAT_DOUBLES}
     if "gt" not in raw.columns:
-        columns["gt"] = V.format_field(fmt, vals, "GT")
-    return raw.withColumns(columns)
+        columns["gt"] = field("GT")
+    return split.withColumns(columns).drop("__keys", "__values")

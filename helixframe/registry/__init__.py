@@ -7,13 +7,14 @@ from helixframe.registry import (
     filters,
     frequency,
     ingest,
+    layouts,
     population,
     quality,
     scalars,
     streams,
 )
 
-MODULES = (scalars, filters, population, quality, frequency, cohort, ingest, streams)
+MODULES = (scalars, filters, population, quality, frequency, cohort, ingest, streams, layouts)
 
 
 def all_queries() -> dict:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,33 +17,106 @@ SITE_ORDER = ("chrom", "pos", "ref")
 # Folders of the by-sample copy: one of the load, one per refresh.
 BATCH_COLUMN, LOAD_BATCH = "batch", "load"
 
+# Size of a file before encoding, the least work that is worth a task, and keys drawn per bound.
+FILE_BYTES = 512 * 1024 * 1024
+ROWS_PER_TASK = 20_000
+SAMPLE_PER_FILE, SAMPLE_SEED = 60, 17
+# Distinct values per row group that a Bloom filter is sized for.
+BLOOM_VALUES = 100_000
+
+
+def _width(kind: T.DataType) -> int:
+    """Bytes that a value of a type takes, as a rule of thumb."""
+    if isinstance(kind, T.StructType):
+        return sum(_width(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return 2 * _width(kind.elementType)
+    return 8 if isinstance(kind, T.NumericType | T.BooleanType | T.DateType | T.TimestampType) else 20
+
+
+def file_count(df: DataFrame, rows: int, file_bytes: int = FILE_BYTES) -> int:
+    """Files for ``rows`` rows like those of ``df``: by size, and enough to keep all cores busy."""
+    by_size = -(-rows * _width(df.schema) // file_bytes)
+    by_cores = min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+    return max(1, by_size, by_cores)
+
+
+def key_bounds(keys: DataFrame, rows: int, files: int) -> str:
+    """``files - 1`` key structs, as JSON, that cut a sample of the keys evenly.
+
+    The sample has ``SAMPLE_PER_FILE`` rows per file; the driver receives only the bounds.
+    """
+    share = min(1.0, SAMPLE_PER_FILE * files / max(rows, 1))
+    sample = keys if share == 1.0 else keys.sample(share, seed=SAMPLE_SEED)
+    ordered = F.sort_array(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in keys.columns])))
+    cut = F.transform(
+        F.sequence(F.lit(1), F.lit(files - 1)),
+        lambda i: F.get(F.col("k"), F.floor(i * F.size("k") / F.lit(files)).cast("int")),
+    )
+    bounds = F.filter(cut, lambda x: x.isNotNull())
+    options = {"ignoreNullFields": "false"}
+    return sample.agg(ordered.alias("k")).select(F.to_json(bounds, options).alias("b")).first()["b"]
+
+
+def _place(bounds: str, schema: T.StructType, keys: list[str]) -> Column:
+    """How many of the sorted bounds are at most the row's key, by halving steps."""
+    count = len(json.loads(bounds))
+    if not count:
+        return F.lit(0)
+    table = F.from_json(F.lit(bounds), T.ArrayType(schema))
+    own = F.struct(*[F.col(f"`{c}`").cast(schema[c].dataType).alias(c) for c in keys])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(count.bit_length()))])
+
+    def step(place: Column, size: Column) -> Column:
+        above = place + size
+        return F.when((above <= count) & (F.get(table, above - 1) <= own), above).otherwise(place)
+
+    return F.aggregate(steps, F.lit(0), step)
+
 
 def write_clustered(
     df: DataFrame,
     path: str,
     order: tuple[str, ...] = SITE_ORDER,
     *,
-    partition_by: str | None = "chrom",
+    partition_by: str | tuple[str, ...] | None = "chrom",
     partitions: int | None = None,
     mode: str = "overwrite",
+    keys_from: DataFrame | None = None,
+    rows_per_key: int = 1,
+    bloom: tuple[str, ...] = (),
 ) -> None:
     """Write parquet range-partitioned and sorted by ``order``.
 
     Row groups then carry narrow min/max ranges, so a locus or sample range reads only its
-    own. Rows that agree in all order columns may still be many, so the source partition is
-    the last range key: equal keys can spread over several files.
+    own. Bounds come from the key columns alone, so ``df`` is computed in full only once;
+    ``keys_from`` is a smaller table with the same distribution of (some of) the keys, each of
+    its rows standing for ``rows_per_key`` rows. The number of files follows from row count and
+    width. Rows that agree in all order columns may still be many, so the source partition is
+    the last range key: equal keys can spread over several files. ``bloom`` names columns that
+    get a Bloom filter per row group, for point lookups that no order serves.
     """
     keys = [c for c in order if c in df.columns]
     tagged = df.withColumn("__source", F.spark_partition_id())
-    ranges = [F.col(c) for c in (*keys, "__source")]
-    ranged = (
-        tagged.repartitionByRange(partitions, *ranges)
-        if partitions
-        else tagged.repartitionByRange(*ranges)
-    )
-    writer = ranged.sortWithinPartitions(*keys).drop("__source").write.mode(mode)
+    source = df if keys_from is None else keys_from
+    have = [c for c in keys if c in source.columns]
+    if keys_from is None:
+        have, source = [*have, "__source"], tagged
+    known = source.select(*[F.col(f"`{c}`") for c in have])
+    count = known.count()
+    files = partitions or file_count(df, count * rows_per_key)
+    ranged = tagged
+    if files > 1:
+        bounds = key_bounds(known, count, files)
+        ranged = tagged.withColumn("__file", _place(bounds, known.schema, have)).repartitionById(files, "__file")
+    else:
+        ranged = tagged.repartition(1)
+    writer = ranged.sortWithinPartitions(*keys).drop("__source", "__file").write.mode(mode)
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", str(BLOOM_VALUES))
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(*((partition_by,) if isinstance(partition_by, str) else partition_by))
     writer.parquet(path)
 
 
@@ -57,6 +131,19 @@ def read_clustered(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def find(
+    spark: SparkSession, path: str, schema: T.StructType, column: str, values: list[str], max_values: int = 1000
+) -> DataFrame:
+    """Rows of a stored table with one of a few listed values in ``column``.
+
+    The list is part of the filter that the scan gets, so row groups are skipped by their
+    range, dictionary or Bloom filter; longer lists belong in a join.
+    """
+    if len(values) > max_values:
+        raise ValueError(f"{len(values)} values: join a table of them instead")
+    return read_clustered(spark, path, schema).where(F.col(f"`{column}`").isin(*values))
+
+
 def write_by_sample(genotypes: DataFrame, target: str, **options) -> None:
     """The second copy of a genotype table, by sample; replaces what ``target`` holds."""
     rows = genotypes.withColumn(BATCH_COLUMN, F.lit(LOAD_BATCH))
