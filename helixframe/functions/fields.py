@@ -26,13 +26,16 @@ def norm_missing_alts(alt: Column) -> Column:
 
 
 def rounded_int(value: Column, type_name: str = "int") -> Column:
-    """Numeric text as an integer, fractions rounded half away from zero; else NULL."""
-    return F.round(value.try_cast("double")).try_cast(type_name)
+    """Numeric text as an integer, fractions rounded half away from zero; else NULL.
+
+    The missing marker is taken out first: as a number it would be a failed parse per row.
+    """
+    return F.round(norm_missing(value).try_cast("double")).try_cast(type_name)
 
 
 def qual_number(qual: Column) -> Column:
     """QUAL as a whole number; the missing marker is NULL."""
-    return rounded_int(norm_missing(qual), "bigint")
+    return rounded_int(qual, "bigint")
 
 
 def gvcf_end(info: Column, pos: Column) -> Column:
