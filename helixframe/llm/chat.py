@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -224,13 +224,24 @@ def _rows(done: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), types)], names=list(_DIGEST))
 
 
+def _unescaped(text: Column) -> Column:
+    """``unescape`` as a column: between escaped backslashes no escape can begin elsewhere."""
+    pieces = F.split(text, r"\\\\", -1)
+    return F.array_join(F.transform(pieces, lambda x: F.replace(F.replace(x, F.lit(r"\p"), F.lit("|")), F.lit(r"\n"), F.lit("\n"))), "\\")
+
+
 def conversation_digest(segments: DataFrame) -> DataFrame:
     """Turns, hashes and lengths per conversation, read back from formatted segments.
 
     A hash over turns in order is sequential within a conversation, so a conversation is
-    read by one task, but as a sorted stream: no group is held in memory.
+    read by one task, but as a sorted stream: no group is held in memory. Equal turns are put
+    in order by what the segment says, not by its escapes or its end mark.
     """
-    ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "segment")
+    segment, head = F.col("segment"), F.col("loss_start").cast("int")
+    role = F.substr(segment, F.lit(len(START) + 1), head - F.lit(len(START) + 1))
+    body = F.substr(segment, head + 1, F.length(segment) - head - F.lit(len(END) + 1))
+    keyed = segments.repartition("conv_id").withColumns({"role_key": _unescaped(role), "body_key": _unescaped(body)})
+    ordered = keyed.sortWithinPartitions("conv_id", "turn", "role_key", "body_key")
     conv = segments.schema["conv_id"].dataType.simpleString()
     return ordered.select("conv_id", "segment", "loss_start", "loss_length").mapInArrow(
         _read,

@@ -104,6 +104,10 @@ def edge_tables() -> dict:
             (2, None, None, None),
             (2, 3, "assistant", ""),
             (None, 0, "user\nassistant", "odd"),
+            *[(3, 0, "user", t) for t in ("x y", "x")],
+            *[(4, 0, "user", t) for t in ("aa", "a|", "a\\\\p", "a\\|", "a\n")],
+            *[(5, 0, "user", t) for t in ("1", None)],
+            *[(6, 0, r, "t") for r in ("b", "b\n", "b|", "b\\n", "bb")],
         ],
         "embeddings": edge_vectors(),
     }
