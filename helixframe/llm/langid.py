@@ -7,9 +7,9 @@ where the profile lacks it. The nearest profile wins; the score is one minus the
 relative to the largest possible one.
 
 Profiles are learnt from a bounded sample: at most ``SAMPLE_PER_LANGUAGE`` documents per
-language (smallest md5 of the id first) outside the held-out fold. Every document's n-grams
-are counted over its whole text, in pieces of ``PIECE_CHARS`` characters, so memory does not
-depend on the length of a text.
+language (smallest md5 of the id first) outside the held-out fold, each id once with the least
+of its texts. Every document's n-grams are counted over its whole text, in pieces of
+``PIECE_CHARS`` starts that give the same counts as one, so arrays do not grow with a text.
 
 Null texts and texts without letters are ``und`` with score 0, and so is everything when
 nothing was learnt; ties go to the language that comes first by name; repeated rows agree; an
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.llm.common import map_all_columns, own_columns
+from helixframe.session import small
 
 FOLDS, HELD_FOLD = 4, 2
 SAMPLE_PER_LANGUAGE = 400
@@ -44,34 +45,35 @@ def _is_letter() -> np.ndarray:
     return _letters[0]
 
 
-def _grams(text: str) -> np.ndarray:
-    """Codes of all n-grams of a text that begins and ends at a word edge or a cut."""
+def _grams(text: str, starts: int) -> np.ndarray:
+    """Codes of the n-grams that begin in the first ``starts`` characters; blanks stand for what is no letter."""
     points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     letter = _is_letter()[points]
     chars = np.where(letter, points, 32).astype(np.uint64)
-    first, second, third = chars[:-2], chars[1:-1], chars[2:]
-    inner = letter[1:-1]
-    pairs = letter[:-1] | letter[1:]
+    pairs, triples = (max(0, min(starts, len(chars) - k)) for k in (1, 2))
+    two = (chars[:pairs] << _BITS) | chars[1 : pairs + 1]
+    three = (two[:triples] << _BITS) | chars[2 : triples + 2]
     return np.concatenate(
         [
-            chars[letter],
-            ((chars[:-1] << _BITS) | chars[1:])[pairs],
-            ((((first << _BITS) | second) << _BITS) | third)[inner],
+            chars[:starts][letter[:starts]],
+            two[letter[:pairs] | letter[1 : pairs + 1]],
+            three[letter[1 : triples + 1]],
         ]
     )
 
 
 def count_grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-gram codes in ascending order and their counts, over the whole text."""
+    codes, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
     if not text:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return codes, counts
     padded = f" {text.lower()} "
-    found = [_grams(padded[i : i + PIECE_CHARS]) for i in range(0, len(padded), PIECE_CHARS)] if len(padded) <= PIECE_CHARS else None
-    if found is not None:
-        return np.unique(found[0], return_counts=True)
-    codes, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    # An n-gram is counted in the piece that it begins in, which reaches two characters on.
     for i in range(0, len(padded), PIECE_CHARS):
-        more, n = np.unique(_grams(padded[i : i + PIECE_CHARS]), return_counts=True)
+        more, n = np.unique(_grams(padded[i : i + PIECE_CHARS + 2], PIECE_CHARS), return_counts=True)
+        if not i:
+            codes, counts = more, n
+            continue
         codes, place = np.unique(np.concatenate([codes, more]), return_inverse=True)
         counts = np.bincount(place, np.concatenate([counts, n]), len(codes)).astype(np.int64)
     return codes, counts
@@ -128,15 +130,16 @@ def fit_profiles(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Pr
     )
     # Ids are ranked without their texts. Only those whose hash lies in a share of the hash
     # space that holds about MARGIN times the sample are ranked, so a language of any size
-    # sends a bounded number of rows to its ranking.
-    sizes = known.groupBy("lang").count()  # one row per language
+    # sends a bounded number of rows to its ranking. Ids are counted, not rows, within 2%.
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("ids"))
     place = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("double")
-    share = F.lit(float(MARGIN * per_language)) / F.col("count")
-    ids = known.join(F.broadcast(sizes), "lang").where(place < share * float(1 << 32)).select("doc_id", "lang").distinct()
+    share = F.lit(float(MARGIN * per_language)) / F.col("ids")
+    ids = known.join(small(sizes), "lang").where(place < share * float(1 << 32)).select("doc_id", "lang").distinct()
     by_hash = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")))
     first = ids.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= per_language)
     chosen = first.select("doc_id", "lang")
-    sample = known.join(F.broadcast(chosen), ["doc_id", "lang"])
+    # One row per sampled id and language: of different texts the least.
+    sample = known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     counts = (
         sample.select("lang", "text")
         .mapInArrow(_count_sample, "lang string, gram long, n long")

@@ -9,8 +9,9 @@ stand in other documents cancel the matches they cover. The sum of the matched w
 divided by the logarithm of the length, goes through a logistic curve fitted on the same
 labelled documents.
 
-Labels are a bounded sample: at most ``MAX_LABELLED`` ids, smallest md5 first. Lexicon and
-phrases are bounded by ``MAX_TERMS`` each. Every document is scored on its whole text.
+Labels are a bounded sample: at most ``MAX_LABELLED`` ids, smallest md5 first, each with one
+text. Lexicon and phrases are all that this sample shows, with no bound of their own. Every
+document is scored on its whole text.
 
 Null and empty texts score as documents without matches; repeated rows score alike; without
 labels of both kinds every score is the prior 0; an empty table gives no rows.
@@ -28,13 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.llm.common import own_columns, written
+from helixframe.session import small
 
 MAX_LABELLED = 20_000
-MAX_TERMS = 2_000
 MIN_CONTEXTS = 4
 MIN_WEIGHT = 2.5
 CONFIDENCE = 1.64
 FOLDS = 5
+BLANKS = " \t\n\r"
 
 # Characters that stand for a Latin letter, and characters to drop.
 _IMITATIONS = {
@@ -96,7 +98,10 @@ def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """(``text``, ``toxic``) of the training sample; held-out ids never enter it."""
+    """(``text``, ``toxic``) of the training sample, one row per id, of different texts the least.
+
+    Held-out ids never enter it.
+    """
     usable = (
         own_columns(labels, "doc_id", "toxic")
         .where("doc_id is not null and toxic is not null")
@@ -105,11 +110,12 @@ def labelled_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = M
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
     sample = usable.orderBy(F.md5(F.col("doc_id").cast("string"))).limit(max_labelled)
-    return own_columns(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    known = own_columns(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id")
+    return known.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def fit_lexicon(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
-    """Weights of terms and the exception phrases, both bounded by ``MAX_TERMS``."""
+    """Weights of terms and the exception phrases: as many as the bounded sample shows."""
     pairs = written(sample.mapInArrow(_terms_of, "term string, before string, toxic int"), "toxicity-terms")
     contexts = pairs.groupBy("term", "before").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("all_toxic"))
     counted = contexts.groupBy("term").agg(
@@ -125,18 +131,14 @@ def fit_lexicon(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
         counted.where((F.col("bad") >= MIN_CONTEXTS) & (F.length("term") >= 3))
         .select("term", "bad", "other", weight.alias("weight"))
         .where((surely >= MIN_WEIGHT) & (F.col("bad") >= 2 * F.col("other")))
-        .orderBy(F.col("weight").desc(), "term")
-        .limit(MAX_TERMS)
         .collect()
     )
     lexicon = {r["term"]: round(r["weight"], 6) for r in chosen}
     if not lexicon:
         return {}, []
+    terms = small(contexts.sparkSession.createDataFrame([(t,) for t in sorted(lexicon)], "term string"))
     spared = (
-        contexts.where(F.col("term").isin(list(lexicon)) & (F.col("toxic") == 0) & (F.col("before") != ""))
-        .orderBy("term", "before")
-        .limit(MAX_TERMS)
-        .collect()
+        contexts.join(terms, "term", "left_semi").where((F.col("toxic") == 0) & (F.col("before") != "")).collect()
     )
     return lexicon, [f"{r['before']} {r['term']}" for r in spared]
 
@@ -178,7 +180,7 @@ def strength(machine: ahocorasick.Automaton | None, text: str | None) -> float:
     if machine is None or not text:
         return 0.0
     found = matches(machine, fold(text))
-    return math.fsum(w for _, _, w in found) / math.log(math.e + text.count(" ")) if found else 0.0
+    return math.fsum(w for _, _, w in found) / math.log(math.e + sum(map(text.count, BLANKS))) if found else 0.0
 
 
 def fit_curve(rows: list[tuple[float, int]], rounds: int = 50) -> tuple[float, float]:
@@ -240,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     lexicon, exceptions = fit_lexicon(sample)
     if not lexicon:
         return {}, [], 0.0, 0.0
-    rows = _scored(sample, (lexicon, exceptions, 0.0, 1.0)).select("strength", "toxic").limit(max_labelled).collect()
+    rows = _scored(sample, (lexicon, exceptions, 0.0, 1.0)).select("strength", "toxic").collect()
     intercept, slope = fit_curve(sorted((r["strength"], r["toxic"]) for r in rows))
     return lexicon, exceptions, intercept, slope
 

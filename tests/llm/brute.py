@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import math
 import re
+import zlib
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -190,3 +192,109 @@ def fill_in_middle(i, text: str | None) -> tuple:
     if h4 % 100 < 80:
         return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
     return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def _crc(i) -> int:
+    return zlib.crc32(str(i).encode())
+
+
+def _md5(i) -> str:
+    return hashlib.md5(str(i).encode()).hexdigest()
+
+
+def languages(docs: list, most: int = 400, sample: int = 400) -> list:
+    """(doc_id, language, score) per (doc_id, text, lang)."""
+
+    def ranks(texts) -> list:
+        counts = collections.Counter()
+        for text in texts:
+            if text:
+                chars = [c if c.isalpha() else " " for c in f" {text.lower()} "]
+                for k in range(len(chars)):
+                    counts.update(["".join(chars[k : k + 1])] if chars[k] != " " else [])
+                    two, three = chars[k : k + 2], chars[k : k + 3]
+                    counts.update(["".join(two)] if len(two) == 2 and two != [" ", " "] else [])
+                    counts.update(["".join(three)] if len(three) == 3 and three[1] != " " else [])
+        # Ties by code points, the n-gram read as a number.
+        number = lambda g: sum(ord(c) << 21 * (len(g) - 1 - k) for k, c in enumerate(g))
+        return sorted(counts, key=lambda g: (-counts[g], number(g)))[:most]
+
+    known = collections.defaultdict(dict)
+    for i, text, lang in docs:
+        if i is not None and lang is not None and _crc(i) % 4 != 2:
+            texts = known[lang].setdefault(i, [])
+            texts += [text] if text is not None else []
+    profiles = {}
+    for lang, ids in known.items():
+        chosen = sorted(ids, key=_md5)[:sample]
+        profiles[lang] = {g: r for r, g in enumerate(ranks(min(ids[i]) if ids[i] else None for i in chosen))}
+    profiles = {lang: p for lang, p in profiles.items() if p}
+    out = []
+    for i, text, _ in docs:
+        own = ranks([text])
+        if not own or not profiles:
+            out.append((i, "und", 0.0))
+            continue
+        far = {lang: sum(abs(p[g] - r) if g in p else most for r, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(sorted(far), key=far.get)
+        out.append((i, best, 1 - far[best] / (most * len(own))))
+    return out
+
+
+def toxicity(docs: list, labels: dict, fold, least: int = 4, weight: float = 2.5, confidence: float = 1.64) -> list:
+    """(doc_id, score) per (doc_id, text); ``fold`` is the folding of characters under test elsewhere."""
+    term = re.compile(r"[^\W_]+")
+    texts = collections.defaultdict(list)
+    for i, text in docs:
+        if i in labels and _crc(i) % 5:
+            texts[i].append(text)
+    sample = [(min((t for t in ts if t is not None), default=None), labels[i]) for i, ts in texts.items()]
+    contexts = collections.defaultdict(set)
+    for text, toxic in sample:
+        found = term.findall(fold(text))
+        for pair in zip(found, ["", *found]):
+            contexts[pair].add(toxic)
+    bad, other = collections.Counter(), collections.Counter()
+    for (t, _), seen in contexts.items():
+        bad[t] += max(seen)
+        other[t] += 1 - min(seen)
+    all_bad, all_other = sum(bad.values()), sum(other.values())
+    lexicon = {}
+    for t in bad if all_bad and all_other else ():
+        w = math.log((bad[t] + 0.5) / (all_bad + 1)) - math.log((other[t] + 0.5) / (all_other + 1))
+        sure = w - confidence * math.sqrt(1 / (bad[t] + 0.5) + 1 / (other[t] + 0.5))
+        if bad[t] >= least and len(t) >= 3 and sure >= weight and bad[t] >= 2 * other[t]:
+            lexicon[t] = w
+    spared = {f"{b} {t}" for (t, b), seen in contexts.items() if t in lexicon and b and seen == {0}}
+
+    def strength(text) -> float:
+        folded = fold(text)
+        covered = []
+        for phrase in spared:
+            at = folded.find(phrase)
+            while at >= 0:
+                whole = not folded[at - 1 : at].isalnum() if at else True
+                if whole and not folded[at + len(phrase) : at + len(phrase) + 1].isalnum():
+                    covered.append((at, at + len(phrase)))
+                at = folded.find(phrase, at + 1)
+        total = 0.0
+        for m in re.finditer(r"(?:(?!_)\w)+", folded):
+            if m[0] in lexicon and not any(s <= m.start() and m.end() <= e for s, e in covered):
+                total += lexicon[m[0]]
+        return total / math.log(math.e + len(re.findall("[ \t\n\r]", text or "")))
+
+    if not lexicon:
+        return [(i, 0.0) for i, _ in docs]
+    points = [(strength(t), y) for t, y in sample]
+    a, b = 0.0, 1.0
+    for _ in range(400):
+        p = [1 / (1 + math.exp(-(a + b * x))) for x, _ in points]
+        ga = sum(q - y for q, (_, y) in zip(p, points))
+        gb = sum((q - y) * x for q, (x, y) in zip(p, points)) + 1e-3 * b
+        aa = sum(q * (1 - q) for q in p) + 1e-3
+        bb = sum(q * (1 - q) * x * x for q, (x, _) in zip(p, points)) + 1e-3
+        ab = sum(q * (1 - q) * x for q, (x, _) in zip(p, points))
+        det = aa * bb - ab * ab
+        a -= max(-2.0, min(2.0, (bb * ga - ab * gb) / det))
+        b -= max(-2.0, min(2.0, (aa * gb - ab * ga) / det))
+    return [(i, 1 / (1 + math.exp(-(a + b * strength(t))))) for i, t in docs]

@@ -291,10 +291,40 @@ def test_components_of_chains_and_stars(spark):
 def test_language_counts_in_pieces(monkeypatch):
     text = prose(4, 400) + " éà ñ"
     codes, counts = langid.count_grams(text)
-    monkeypatch.setattr(langid, "PIECE_CHARS", 1000)
-    few_codes, few = langid.count_grams(text)
-    # Pieces lose only the n-grams across their edges.
-    assert counts.sum() - few.sum() <= 4 * (len(text) // 1000 + 1) and set(few_codes) <= set(codes)
+    for size in (1, 2, 3, 1000, len(text) + 1, len(text) + 2):
+        monkeypatch.setattr(langid, "PIECE_CHARS", size)
+        again, n = langid.count_grams(text)
+        assert again.tolist() == codes.tolist() and n.tolist() == counts.tolist()
+
+
+def test_a_text_beyond_one_piece_counts_like_a_short_one():
+    text = prose(4, 30) + " "
+    times = langid.PIECE_CHARS // len(text) + 2
+    codes, counts = langid.count_grams(text * times)
+    one, n = langid.count_grams(text)
+    assert len(text) * times > langid.PIECE_CHARS and codes.tolist() == one.tolist()
+    assert np.abs(counts - n * times).max() <= times  # two edges become one blank
+
+
+def test_a_language_of_few_repeated_ids_is_learnt(spark):
+    """10,000 rows of three ids: counted by ids, each id enters once."""
+    texts = {"xx": "zzyx qwvk zzyx vkq ", "en": "the house of the river ", "de": "das haus und der fluss "}
+    rows = [(n % 3 if lang == "xx" else 100 * k + n % 97, text * 5, lang) for k, (lang, text) in enumerate(texts.items()) for n in range(10_000 if lang == "xx" else 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = langid.fit_profiles(docs)
+    assert profiles.names == ["de", "en", "xx"] and profiles.nearest(texts["xx"])[0] == "xx"
+
+
+def test_exceptions_are_not_cut(spark, monkeypatch):
+    """Thousands of exception phrases of an early term; a late one keeps its own."""
+    monkeypatch.setattr(toxicity, "MIN_WEIGHT", -9.0)
+    bad = [(n, f"c{n}x zorgle", 1) for n in range(0, 400)]
+    words = ["".join(chr(97 + (n // 26**k) % 26) for k in range(3)) for n in range(2600)]
+    good = [(1000 + n, " ".join(f"{w} arble" for w in words[50 * n : 50 * n + 50]), 0) for n in range(52)]
+    good += [(2000, "mild zorgle", 0)] + [(3000 + n, f"d{n}x arble", 1) for n in range(6000)]
+    sample = spark.createDataFrame([(t, y) for _, t, y in bad + good], "text string, toxic int")
+    lexicon, exceptions = toxicity.fit_lexicon(sample)
+    assert {"zorgle", "arble"} <= set(lexicon) and len(exceptions) > 2000 and "mild zorgle" in exceptions
 
 
 @pytest.mark.parametrize(

@@ -8,7 +8,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from helixframe.llm import decontaminate, queries
+from helixframe.llm import decontaminate, queries, toxicity
 
 duckdb = pytest.importorskip("duckdb")
 DIRS = ("sf_dir", "edge_dir")
@@ -142,6 +142,18 @@ def test_toxicity(spark, folder, documents):
     assert all(0 <= r[2] <= 1 and r[3] == (r[2] >= 0.5) for r in got)
 
 
+def test_toxicity_against_brute_force(spark, folder, documents):
+    _, got = _run(spark, "op7_toxicity", folder)
+    labels = {}
+    for r in spark.read.parquet(f"{folder}/labels.parquet").collect():
+        if r["doc_id"] is not None and r["toxic"] is not None:
+            labels[r["doc_id"]] = max(r["toxic"], labels.get(r["doc_id"], 0))
+    expected = brute.toxicity(documents, labels, toxicity.fold)
+    order = lambda rows: sorted((repr(i), s) for i, s in rows)
+    for (i, score), (j, wanted) in zip(order((r[0], r[2]) for r in got), order(expected)):
+        assert i == j and abs(score - wanted) < 1e-4
+
+
 def test_toxicity_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     _, got = _run(spark, "op7_toxicity", folder)
@@ -171,6 +183,13 @@ def test_languages(spark, folder, documents):
     assert all(0 <= r[3] <= 1 for r in got)
 
 
+def test_languages_against_brute_force(spark, folder):
+    _, got = _run(spark, "op9_langid", folder)
+    docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    order = lambda rows: sorted((repr(i), lang, round(s, 9)) for i, lang, s in rows)
+    assert order((r[0], r[2], r[3]) for r in got) == order(brute.languages(docs))
+
+
 def test_languages_held_out_accuracy(spark, sf_dir):
     _, got = _run(spark, "op9_langid", sf_dir)
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
