@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.common import own_columns, written
+from helixframe.llm.common import own_columns, text_or_empty, written
 from helixframe.session import small
 
 MAX_LABELLED = 20_000
@@ -98,9 +98,10 @@ def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """(``text``, ``toxic``) of the training sample, one row per id, of different texts the least.
+    """(``doc_id``, ``text``, ``toxic``) of the training sample; held-out ids never enter it.
 
-    Held-out ids never enter it.
+    Of different texts of an id, that with the least md5 is taken; rows that repeat it stay, as
+    nothing that is learnt counts them twice.
     """
     usable = (
         own_columns(labels, "doc_id", "toxic")
@@ -110,13 +111,14 @@ def labelled_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = M
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
     sample = usable.orderBy(F.md5(F.col("doc_id").cast("string"))).limit(max_labelled)
-    known = own_columns(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id")
-    return known.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
+    known = own_columns(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("key", F.md5(text_or_empty()))
+    first = known.groupBy("doc_id").agg(F.min("key").alias("key"))  # at most max_labelled rows
+    return known.join(F.broadcast(first), ["doc_id", "key"]).select("doc_id", "text", "toxic")
 
 
 def fit_lexicon(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
     """Weights of terms and the exception phrases: as many as the bounded sample shows."""
-    pairs = written(sample.mapInArrow(_terms_of, "term string, before string, toxic int"), "toxicity-terms")
+    pairs = written(sample.select("text", "toxic").mapInArrow(_terms_of, "term string, before string, toxic int"), "toxicity-terms")
     contexts = pairs.groupBy("term", "before").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("all_toxic"))
     counted = contexts.groupBy("term").agg(
         F.sum("toxic").alias("bad"), F.sum(1 - F.col("all_toxic")).alias("other")
@@ -242,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     lexicon, exceptions = fit_lexicon(sample)
     if not lexicon:
         return {}, [], 0.0, 0.0
-    rows = _scored(sample, (lexicon, exceptions, 0.0, 1.0)).select("strength", "toxic").collect()
+    rows = _scored(sample, (lexicon, exceptions, 0.0, 1.0)).select("doc_id", "strength", "toxic").distinct().collect()
     intercept, slope = fit_curve(sorted((r["strength"], r["toxic"]) for r in rows))
     return lexicon, exceptions, intercept, slope
 

@@ -248,7 +248,7 @@ def toxicity(docs: list, labels: dict, fold, least: int = 4, weight: float = 2.5
     for i, text in docs:
         if i in labels and _crc(i) % 5:
             texts[i].append(text)
-    sample = [(min((t for t in ts if t is not None), default=None), labels[i]) for i, ts in texts.items()]
+    sample = [(min((t or "" for t in ts), key=_md5), labels[i]) for i, ts in texts.items()]
     contexts = collections.defaultdict(set)
     for text, toxic in sample:
         found = term.findall(fold(text))
