@@ -6,17 +6,20 @@ nothing behind):
 ``dictionary``  one row: ``hash`` (sha256, hex), ``content`` (the dictionary), ``width``
                 (bytes per id, little endian: 2 for vocabularies below 65,536, else 4).
 ``segments``    rows of up to ``SEGMENT_IDS`` ids in ascending document order: ``shard``,
-                ``segment``, ``dict_hash``, and per document ``doc_ids``, ``counts`` (ids with
+                ``segment``, ``dict_hash``, ``first_id`` and ``last_id``, and per document ``doc_ids``, ``counts`` (ids with
                 the end id) and ``offsets`` (of its frame in ``payload``).
 
-A short document is read by decompressing its own frame. The dictionary is trained on the
+``read_document`` reads a document by decompressing its own frame, from the segments whose
+range of ids may hold it. Readers compare the dictionary with the hash that every segment
+carries. The dictionary is trained on the
 serialized ids of a bounded sample (``DICTIONARY_DOCS`` documents of at most
 ``DICTIONARY_DOC_BYTES``, smallest md5 of the id first); every document is written whole.
 
 Encoding works on pieces cut before a blank that follows a visible character. The tokenizer
-splits there in any case, so the ids of the pieces joined are the ids of the text; repeated
-pieces are looked up in a bounded cache. Documents are range-partitioned by id, so one task
-holds a range of ids and streams it.
+splits there in any case, so the ids of the pieces joined are the ids of the text; repeated pieces are looked up in a cache bounded in bytes. A text without
+blanks is one piece, encoded by itself and not kept. Documents are range-partitioned by id and
+the beginning of the text, so one task holds a range of ids, or of the texts of one id or of
+none, and streams it: memory is a segment and the texts encoded together.
 
 Null text is an empty document (its end id only), a null id comes last, equal ids are
 ordered by text and each row is a document of its own; an empty table gives empty files.
@@ -41,13 +44,14 @@ from helixframe.llm.common import own_columns, text_or_empty
 
 END_ID = 0
 SEGMENT_IDS = 1 << 20
-CACHE_PIECES = 300_000
-TOGETHER = 64
+CACHE_BYTES, ENTRY_BYTES, LONG_PIECE = 50 << 20, 150, 1 << 10
+TOGETHER_CHARS = 1 << 18
 MARKS = frozenset(".,;:!?")
 DICTIONARY_BYTES = 1 << 15
 DICTIONARY_DOCS = 400
 DICTIONARY_DOC_BYTES = 1 << 16
 LEVEL = 1
+RANGE_CHARS = 64
 
 # Blanks beside other white space need the slow cut: only behind a visible character.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -71,8 +75,8 @@ class PieceEncoder:
     """Tokenizer with a bounded cache of the serialized ids of pieces.
 
     New pieces are encoded many at a time as one text, whose ids are parted again by the
-    bytes that each id stands for. The cache keeps two generations of at most
-    ``CACHE_PIECES`` pieces.
+    bytes that each id stands for. The cache keeps two generations of ``CACHE_BYTES`` each, by
+    the size of pieces and of ids as a rule of thumb; pieces above ``LONG_PIECE`` characters are not kept.
     """
 
     def __init__(self, path: str) -> None:
@@ -89,6 +93,7 @@ class PieceEncoder:
             self.bytes_of[i] = len(special[i].encode()) if i in special else len(token)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.size = 0
 
     @property
     def width(self) -> int:
@@ -99,7 +104,7 @@ class PieceEncoder:
 
     def _learn(self, pieces: list[str]) -> None:
         # A word and the mark behind it are split by the tokenizer: their ids follow each other.
-        marked = [p for p in pieces if p[-1] in MARKS and p[1:-1].isalpha() and p[0] == " "]
+        marked = [p for p in pieces if p[-1] in MARKS and len(p) <= LONG_PIECE and p[1:-1].isalpha() and p[0] == " "]
         if marked:
             plain = {p[:-1] for p in marked} | {p[-1] for p in marked}
             plain.update(set(pieces).difference(marked))
@@ -126,8 +131,8 @@ class PieceEncoder:
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Serialized ids of each text."""
-        if len(self.known) > CACHE_PIECES:
-            self.known, self.older = {}, self.known
+        if self.size > CACHE_BYTES:
+            self.known, self.older, self.size = {}, self.known, 0
         known = self.known
         cut = [pieces_of(t) for t in texts]
         missing = set().union(*cut).difference(known)
@@ -138,7 +143,12 @@ class PieceEncoder:
         missing = list(missing.difference(found))
         if missing:
             self._learn(missing)
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+        encoded = [b"".join([known[p] for p in pieces]) for pieces in cut]
+        for piece in [p for p in missing if len(p) > LONG_PIECE]:
+            del known[piece]
+        kept = [*found, *(p for p in missing if len(p) <= LONG_PIECE)]
+        self.size += 3 * sum(map(len, kept)) + ENTRY_BYTES * len(kept)
+        return encoded
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -171,7 +181,7 @@ def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 SEGMENT_SCHEMA = (
-    "shard int, segment int, dict_hash string, doc_ids array<{id}>, counts array<long>, offsets array<long>, payload binary"
+    "shard int, segment int, dict_hash string, first_id {id}, last_id {id}, doc_ids array<{id}>, counts array<long>, offsets array<long>, payload binary"
 )
 
 
@@ -186,22 +196,30 @@ def _writer(path: str, dictionary: bytes, dict_hash: str, id_type: pa.DataType):
 
         def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             for batch in batches:
-                for at in range(0, batch.num_rows, TOGETHER):
-                    part = batch.slice(at, TOGETHER)
-                    yield from zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist()))
+                names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+                first, together, chars = 0, [], 0
+                for at in range(batch.num_rows):
+                    together.append(texts[at].as_py())
+                    chars += len(together[-1])
+                    if chars >= TOGETHER_CHARS or at + 1 == batch.num_rows:
+                        yield from zip(names[first : at + 1], encode(together))
+                        first, together, chars = at + 1, [], 0
 
         def packed() -> pa.RecordBatch:
+            named = [i for i in ids if i is not None]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard], pa.int32()),
                     pa.array([segment], pa.int32()),
                     pa.array([dict_hash], pa.string()),
+                    pa.array([min(named, default=None)], id_type),
+                    pa.array([max(named, default=None)], id_type),
                     pa.array([ids], pa.list_(id_type)),
                     pa.array([counts], pa.list_(pa.int64())),
                     pa.array([offsets], pa.list_(pa.int64())),
                     pa.array([b"".join(frames)], pa.binary()),
                 ],
-                names=["shard", "segment", "dict_hash", "doc_ids", "counts", "offsets", "payload"],
+                names=["shard", "segment", "dict_hash", "first_id", "last_id", "doc_ids", "counts", "offsets", "payload"],
             )
 
         for doc_id, ids_of_doc in encoded(batches):
@@ -234,9 +252,9 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str) -> None:
     )
     about.coalesce(1).write.parquet(f"{folder}/dictionary")
     id_type = rows.schema["doc_id"].dataType
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_last(), "text"
-    )
+    by_id = F.col("doc_id").asc_nulls_last()
+    dealt = rows.repartitionByRange(by_id, F.substring("text", 1, RANGE_CHARS))
+    ordered = dealt.sortWithinPartitions(by_id, "text")
     from pyspark.sql.pandas.types import to_arrow_type
 
     segments = ordered.mapInArrow(
@@ -246,11 +264,22 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str) -> None:
     segments.write.option("compression", "none").parquet(f"{folder}/segments")
 
 
+def _decompressor(content: bytes) -> zstandard.ZstdDecompressor:
+    shared = _dictionary(content)
+    return zstandard.ZstdDecompressor(dict_data=shared) if shared else zstandard.ZstdDecompressor()
+
+
+def _same_dictionary(batch: pa.RecordBatch, content: bytes) -> None:
+    wanted = hashlib.sha256(content).hexdigest()
+    if any(h != wanted for h in batch.column("dict_hash").to_pylist()):
+        raise ValueError("a segment was written with another dictionary")
+
+
 def _reader(content: bytes, width: int, id_type: pa.DataType, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared = _dictionary(content)
-        plain = zstandard.ZstdDecompressor(dict_data=shared) if shared else zstandard.ZstdDecompressor()
+        plain = _decompressor(content)
         for batch in batches:
+            _same_dictionary(batch, content)
             for i in range(batch.num_rows):
                 payload = memoryview(batch.column("payload")[i].as_buffer())
                 offsets = batch.column("offsets")[i].as_py()
@@ -311,3 +340,24 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = False) -> Dat
     )
     start = F.col("__shard") + F.col("__in_shard") + F.col("__in_segment")
     return placed.select("doc_id", start.alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
+
+
+def read_document(spark: SparkSession, folder: str, doc_id) -> list[list[int]]:
+    """The ids of every document of an id (as a rule one), end id included; other frames stay closed."""
+    about = spark.read.parquet(f"{folder}/dictionary").first()
+    content, width = bytes(about["content"]), about["width"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = _decompressor(content)
+        for batch in batches:
+            _same_dictionary(batch, content)
+            for i in range(batch.num_rows):
+                payload = memoryview(batch.column("payload")[i].as_buffer())
+                offsets = [*batch.column("offsets")[i].as_py(), len(payload)]
+                for k, name in enumerate(batch.column("doc_ids")[i].as_py()):
+                    if name == doc_id:
+                        ids = np.frombuffer(plain.decompress(payload[offsets[k] : offsets[k + 1]]), f"<u{width}")
+                        yield pa.RecordBatch.from_arrays([pa.array([ids.astype("int32")], pa.list_(pa.int32()))], names=["ids"])
+
+    segments = spark.read.parquet(f"{folder}/segments").where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
+    return [r["ids"] for r in segments.mapInArrow(run, "ids array<int>").collect()]
