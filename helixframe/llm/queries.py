@@ -22,8 +22,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix in training order; documents that it does not take have no position and come first."""
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    placed = plan.select("doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("first_position"))
+    return placed.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +120,10 @@ with sized as (
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size
   from documents),
 totals as (select source, sum(size) as source_size from sized group by source),
-ranked as (select *, list_extract([5.0, 2.0, 1.0]::double[], cast((row_number() over (order by source nulls last) - 1) % 3 as int) + 1) as w from totals),
+ranked as (
+  select *, list_extract([5.0, 2.0, 1.0]::double[], cast((row_number() over (order by source nulls last) - 1) % 3 as int) + 1) as w,
+    list_extract([-0.5, 0.0, 0.5]::double[], cast((row_number() over (order by source nulls last) - 1) % 3 as int) + 1) as slope
+  from totals),
 levels as (select *, 2.0::double * source_size as cap, 2.0::double * source_size / w as full_at from ranked),
 filled as (
   select *, 1.5::double * sum(source_size) over () as goal, sum(w) over () as all_w,
@@ -130,14 +135,16 @@ sat as (
     sum(case when c + full_at * (all_w - cw) <= goal then w else 0 end) over () as tw
   from filled),
 targets as (
-  select source, source_size, case when all_w > tw then least(cap, w * ((goal - tc) / (all_w - tw))) else cap end as target
+  select source, source_size, slope, case when all_w > tw then least(cap, w * ((goal - tc) / (all_w - tw))) else cap end as target
   from sat),
 laid as (
-  select s.*, t.source_size, t.target,
+  select s.*, t.source_size, t.target, t.slope,
     sum(s.size) over (partition by s.source order by k, doc_id, s.size rows unbounded preceding) - s.size + s.size / 2.0::double as middle
   from sized s join targets t on s.source is not distinct from t.source)
 select doc_id, cast(size as bigint) as size, cast(source_size as bigint) as source_size, target,
-  cast(size * ((case when middle < target then 1 else 0 end) + (case when source_size + middle < target then 1 else 0 end)) as bigint) as taken
+  cast(size * ((case when middle < target then 1 else 0 end) + (case when source_size + middle < target then 1 else 0 end)) as bigint) as taken,
+  case when middle < target then 2.0::double * (middle / target) / (1.0::double - slope
+    + sqrt((1.0::double - slope) * (1.0::double - slope) + 4.0::double * slope * (middle / target))) end as first_position
 from laid""",
     "op5_decontaminate": r"""
 with item_words as (

@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import public_tokenizers
 import pytest
 from conftest import SCHEMAS, edge_documents, edge_tables, prose
 from pyspark.sql import functions as F
@@ -370,3 +371,56 @@ def test_chat_parts(spark):
 def test_escaping_is_reversible(text):
     assert chat.unescape(chat.escape(text)) == text and chat.unescape(chat.escape_role(text)) == text
     assert "|" not in chat.escape(text)
+
+
+def test_token_files_give_one_document_and_know_their_dictionary(spark, tmp_path, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.createDataFrame([(i, prose(i, 30)) for i in range(300)] + [(7, "again"), (None, "none")], "doc_id long, text string")
+    monkeypatch.setattr(token_output, "SEGMENT_IDS", 2000)
+    token_output.write_tokens(docs, str(tmp_path / "a"), path)
+    ids = lambda text: [*token_output.encoder(path).tokenizer.encode(text, add_special_tokens=False).ids, 0]
+    assert token_output.read_document(spark, str(tmp_path / "a"), 123) == [ids(prose(123, 30))]
+    assert sorted(token_output.read_document(spark, str(tmp_path / "a"), 7)) == sorted([ids(prose(7, 30)), ids("again")])
+    assert token_output.read_document(spark, str(tmp_path / "a"), 999) == []
+    about = spark.read.parquet(str(tmp_path / "a" / "dictionary")).withColumn("content", F.lit(b"other"))
+    about.write.parquet(str(tmp_path / "b" / "dictionary"))
+    spark.read.parquet(str(tmp_path / "a" / "segments")).write.parquet(str(tmp_path / "b" / "segments"))
+    with pytest.raises(Exception, match="another dictionary"):
+        token_output.read_tokens(spark, str(tmp_path / "b")).collect()
+
+
+def test_token_cache_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(token_output, "CACHE_BYTES", 20_000)
+    made = token_output.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [prose(i, 40) + " " + "\u4e2d" * 3000 + "x" * i + "." for i in range(60)]
+    assert [np.frombuffer(made.encode_many([t])[0], made.type).tolist() for t in texts] == [made._ids(t).tolist() for t in texts]
+    assert made.size < 30_000 and max(map(len, made.known)) <= token_output.LONG_PIECE
+
+
+def test_rows_of_one_id_spread_over_token_files(spark, tmp_path):
+    """No id at all: ranges of the texts' beginnings part them, in their order."""
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    docs = spark.createDataFrame([(None, prose(i, 8)) for i in range(400)], "doc_id long, text string")
+    token_output.write_tokens(docs, str(tmp_path / "n"), public_tokenizers.path("byte_bpe_50k.json"))
+    spark.conf.unset(merging)
+    got = token_output.read_tokens(spark, str(tmp_path / "n"), with_ids=True).orderBy("start").collect()
+    shards = spark.read.parquet(str(tmp_path / "n" / "segments")).select("shard").distinct().count()
+    tokenizer = token_output.encoder(public_tokenizers.path("byte_bpe_50k.json")).tokenizer
+    assert shards > 1 and [tokenizer.decode(r["ids"][:-1]) for r in got] == sorted(prose(i, 8) for i in range(400))
+
+
+def test_word_order_changes_the_quality_score(spark):
+    good = [(i, prose(i, 60)) for i in range(60)]
+    shuffled = []
+    for i, text in good[:20]:
+        words = text.split()
+        random.Random(i).shuffle(words)
+        shuffled.append((1000 + i, " ".join(words)))
+    docs = spark.createDataFrame(good + shuffled, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good], "doc_id long, quality int")
+    sample = quality.labelled_sample(labels)
+    ratios = quality.fit_ratios(docs, sample)
+    score = {r["doc_id"]: r["score_millionths"] for r in quality.document_scores(docs, ratios).collect()}
+    counted = {r["doc_id"] for r in sample.collect() if r["counted"]} & set(range(20))
+    assert len(counted) > 3 and all(score[i] > score[1000 + i] for i in counted)

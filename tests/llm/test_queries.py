@@ -55,11 +55,14 @@ def test_suffix_dedup(spark, folder, documents):
 def test_mixing_reaches_targets(spark, folder, documents):
     columns, got = _run(spark, "op2_mixing", folder)
     assert len(got) == len(documents)
-    assert all(taken <= 2 * size for _, size, _, _, taken in got)
-    total = sum(size for _, size, _, _, _ in got)
+    assert all(taken <= 2 * size for _, size, _, _, taken, _ in got)
+    total = sum(size for _, size, _, _, _, _ in got)
+    placed = [r[5] for r in got]
+    assert placed == sorted(placed, key=lambda t: (t is not None, t or 0)) and all(0 <= t <= 1 for t in placed if t is not None)
+    assert all((t is not None) == (r[4] > 0) for t, r in zip(placed, got) if r[1])
     source = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     words = {}
-    for doc, size, _, target, taken in got:
+    for doc, size, _, target, taken, _ in got:
         entry = words.setdefault((source[doc], target), [0, 0])
         entry[0] += taken
         entry[1] = max(entry[1], size)
