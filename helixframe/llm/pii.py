@@ -12,8 +12,9 @@ overlap one.
 Everything is column expressions. The texts are searched once; the candidates are stored,
 and the statistics that come back to the driver are counts per vote pattern (at most 4 * 81)
 and per feature (a few hundred), whatever the size of the corpus. Patterns are possessive or
-anchored at the start of a run, so the time is linear in the length of a text; a search
-behind a cheap test (an ``@``, enough digits) is skipped where the test fails.
+anchored at the start of a run, positions are running sums in blocks and contexts come from
+short stretches, so the time is in proportion to a text's length and hits; a search behind a
+cheap test (an ``@``, enough digits) is skipped where the test fails.
 
 Null text has no spans; repeated rows are searched alike; an empty table gives no rows.
 Positions count code points, ends are exclusive.
@@ -33,6 +34,7 @@ KINDS = ("email", "ip", "card", "phone")
 CONTEXT = 24
 ROUNDS = 50
 WORD_BINS = 64
+BLOCK, STRETCH, FAR = 256, 512, 2**31 - 1
 
 # Starting inside a run of the first class cannot match where its start does not, except
 # right behind the match before (\G).
@@ -65,19 +67,35 @@ def _digits(text: Column) -> Column:
     return F.length(text) - F.length(F.translate(text, "0123456789", ""))
 
 
-def _spans(pieces: Column, hits: Column) -> Column:
-    """Positions of hits, from what stands between them."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
+def _with_running(df: DataFrame, name: str, values: str, op, zero: int) -> DataFrame:
+    """Adds array column ``name``: ``op`` over each prefix of the integer array ``values``.
 
-    def add(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["piece"])
-        end = begin + F.length(pair["hit"])
-        span = F.struct(begin.alias("start"), end.alias("end"), pair["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.array_append(state["found"], span).alias("found"))
+    A prefix is the blocks before and a part of its own block, so the work per element is
+    bounded by ``BLOCK`` (and by a 65,536th of the elements); appending to a growing array would
+    copy all of it each time. Every step is a column, so lambdas read it and don't repeat it.
+    """
+    none = F.array().cast("array<int>")
+    blocks = F.sequence(F.lit(0), ((F.size(values) - 1) / BLOCK).cast("int"))
+    fold = lambda x: F.aggregate(x, F.lit(zero), op)
+    out = df.withColumn("__blocks", F.when(F.size(values) > 0, blocks).otherwise(none))
+    out = out.withColumn("__cut", F.transform("__blocks", lambda b: F.slice(values, b * BLOCK + 1, F.lit(BLOCK))))
+    out = out.withColumn("__totals", F.transform("__cut", fold))
+    out = out.withColumn("__starts", F.transform("__blocks", lambda b: fold(F.slice("__totals", F.lit(1), b))))
+    inside = F.zip_with(
+        "__cut", "__starts",
+        lambda x, start: F.transform(x, lambda _, j: op(start, fold(F.slice(x, F.lit(1), j + 1)))),
+    )
+    return out.withColumn(name, F.flatten(inside)).drop("__blocks", "__cut", "__totals", "__starts")
 
-    between = F.slice(pieces, 1, F.size(hits))
-    pairs = F.zip_with(between, hits, lambda p, h: F.struct(p.alias("piece"), h.alias("hit")))
-    return F.aggregate(pairs, start, add, lambda s: s["found"])
+
+def _with_spans(df: DataFrame, name: str) -> DataFrame:
+    """Adds array column ``name``: positions of ``__hits``, from what stands between them."""
+    steps = F.zip_with(F.slice("__pieces", F.lit(1), F.size("__hits")), "__hits", lambda p, h: F.length(p) + F.length(h))
+    ends = _with_running(df.withColumn("__steps", steps), "__ends", "__steps", lambda a, b: a + b, 0)
+    spans = F.zip_with(
+        "__hits", "__ends", lambda h, e: F.struct((e - F.length(h)).alias("start"), e.alias("end"), h.alias("hit"))
+    )
+    return ends.withColumn(name, spans.cast(_SPAN)).drop("__steps", "__ends")
 
 
 def _valid_ip(hit: Column) -> Column:
@@ -112,8 +130,7 @@ def _found(df: DataFrame, name: str, source: Column, pattern: str, guard: Column
             "__hits": F.when(guard, F.regexp_extract_all(source, F.lit(pattern), F.lit(0))).otherwise(none),
         }
     )
-    spans = F.when(F.size("__hits") > 0, _spans(F.col("__pieces"), F.col("__hits"))).otherwise(F.array().cast(_SPAN))
-    placed = split.withColumn("__placed", spans).drop("__pieces", "__hits")
+    placed = _with_spans(split, "__placed").drop("__pieces", "__hits")
     kept = F.filter("__placed", lambda s: valid(s["hit"])) if valid else F.col("__placed")
     return placed.withColumn(name, kept).drop("__placed")
 
@@ -136,13 +153,22 @@ def find_candidates(docs: DataFrame) -> DataFrame:
     df = _found(df, "__l2", text, LOOSE_CARD, digits >= 16, _valid_card)
     df = _found(df, "__l3", text, LOOSE_PHONE, digits >= 10, None)
 
+    # Contexts are taken from short stretches: a place far on in a text costs no more than one
+    # at its beginning.
+    df = df.withColumn("__stretches", F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0)))
+
+    def cut(first: Column, length: Column) -> Column:
+        at = (first / STRETCH).cast("int")
+        two = F.concat(F.coalesce(F.get("__stretches", at), F.lit("")), F.coalesce(F.get("__stretches", at + 1), F.lit("")))
+        return F.substring(two, first - at * STRETCH + 1, length)
+
     def described(column: str, kind: int, base: bool) -> Column:
         def row(s: Column) -> Column:
             first = F.greatest(s["start"] - CONTEXT, F.lit(0))
             return F.struct(
                 F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("hit"),
-                F.lit(base).alias("base"), F.substring(text, first + 1, s["start"] - first).alias("before"),
-                F.substring(text, s["end"] + 1, F.lit(1)).alias("after"),
+                F.lit(base).alias("base"), cut(first, s["start"] - first).alias("before"),
+                cut(s["end"], F.lit(1)).alias("after"),
             )
 
         return F.transform(column, row).cast(_CANDIDATE)
@@ -150,12 +176,31 @@ def find_candidates(docs: DataFrame) -> DataFrame:
     df = df.withColumn("__base", F.concat(*[described(f"__b{k}", k, True) for k in range(4)])).withColumn(
         "__loose", F.concat(*[described(f"__l{k}", k, False) for k in range(4)])
     )
+    df = _without_overlaps(df.select("doc_id", "__base", "__loose"))
+    return df.select("doc_id", F.concat("__base", "__loose").alias("candidates"))
+
+
+def _without_overlaps(df: DataFrame) -> DataFrame:
+    """Drops loose candidates that overlap a base span.
+
+    Along all candidates in order of their start, one overlaps if a base span before it ends
+    behind its start, or the next base span begins before its end.
+    """
+    both = F.when(F.size("__loose") > 0, F.concat("__base", "__loose")).otherwise(F.array().cast(_CANDIDATE))
+    placed = F.transform(both, lambda c: F.struct(c["start"].alias("start"), c["base"].alias("base"), c["end"].alias("end"), c.alias("c")))
+    df = df.withColumn("__order", F.sort_array(placed))
+    df = df.withColumn("__base_ends", F.transform("__order", lambda x: F.when(x["base"], x["end"]).otherwise(-1)))
+    starts = F.transform("__order", lambda x: F.when(x["base"], x["start"]).otherwise(FAR))
+    df = df.withColumn("__base_starts", F.reverse(starts))
+    df = _with_running(df, "__reached", "__base_ends", lambda a, b: F.greatest(a, b), -1)
+    df = _with_running(df, "__next", "__base_starts", lambda a, b: F.least(a, b), FAR)
+    judged = F.arrays_zip(F.col("__order").alias("x"), F.col("__reached").alias("reached"), F.reverse("__next").alias("next"))
     apart = F.filter(
-        F.col("__loose"),
-        lambda s: ~F.exists(F.col("__base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        judged, lambda j: ~j["x"]["base"] & (j["reached"] <= j["x"]["start"]) & (j["next"] >= j["x"]["end"])
     )
-    more = F.when(F.size("__loose") > 0, apart).otherwise(F.array().cast(_CANDIDATE))
-    return df.select("doc_id", F.concat("__base", more).alias("candidates"))
+    kept = F.transform(apart, lambda j: j["x"]["c"])
+    # In the order they were found in: by kind, then place.
+    return df.withColumn("__loose", F.sort_array(kept)).select("doc_id", "__base", "__loose")
 
 
 def _sign(yes: Column, no: Column) -> Column:

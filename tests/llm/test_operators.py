@@ -424,3 +424,20 @@ def test_word_order_changes_the_quality_score(spark):
     score = {r["doc_id"]: r["score_millionths"] for r in quality.document_scores(docs, ratios).collect()}
     counted = {r["doc_id"] for r in sample.collect() if r["counted"]} & set(range(20))
     assert len(counted) > 3 and all(score[i] > score[1000 + i] for i in counted)
+
+
+def test_candidates_of_a_text_with_many_hits(spark):
+    """Positions, contexts and overlaps over several blocks and stretches, and in an empty text."""
+    text = " ".join(f"é10.1.{i % 256}.{i % 99} call 555-{100 + i % 900}-{1000 + i} 1.2.3.4 x" for i in range(700))
+    text += " 10.0.0.1-555-123-4567 +1 555-123-4567"
+    docs = spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id long, text string")
+    rows = {r["doc_id"]: r["candidates"] for r in pii.find_candidates(docs).collect()}
+    assert rows[2] == [] and rows[3] == []
+    base = sorted((c["kind"], c["start"], c["end"]) for c in rows[1] if c["base"])
+    names = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in base)
+    assert names == brute.personal_data(text) and len(base) > 1400
+    loose = [c for c in rows[1] if not c["base"]]
+    assert len(loose) >= 700 and not any(c["start"] < e and s < c["end"] for c in loose for _, s, e in base)
+    for c in rows[1]:
+        assert c["hit"] == text[c["start"] : c["end"]] and c["after"] == text[c["end"] : c["end"] + 1]
+        assert c["before"] == text[max(0, c["start"] - pii.CONTEXT) : c["start"]]
