@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from helixframe.operators.extent import LEVELS, Extent, measure, span_level
 from helixframe.session import BROADCAST_MAX_ROWS, broadcast_if_small
-from helixframe.sinks.tables import written
+from helixframe.sinks.tables import behind_shuffle, written
 
 HOT_BIN_ROWS = 2_000_000
 CHUNK = 1 << 16
@@ -70,6 +70,15 @@ def _parts(counts: DataFrame, hot_rows: int, name: str) -> DataFrame:
     return hot.select(_CHROM, _LEVEL, _BIN, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias(name))
 
 
+def _numbered_alike(df: DataFrame, name: str) -> DataFrame:
+    """``df`` if its tasks read rows in the same order whenever they run again, else stored.
+
+    Rows behind a shuffle arrive in any order, so a task that is run again after a loss would
+    number them otherwise than the one whose output was already read.
+    """
+    return written(df, name) if behind_shuffle(df) else df
+
+
 def _dealt(side: DataFrame, hot: DataFrame, own: str, other: str, salt: str, copy: str) -> DataFrame:
     """Rows of a hot bin dealt over its own parts and copied to the parts of the other side.
 
@@ -171,9 +180,12 @@ def _span_join(
         extent = extent or measure(spans, s_chrom, s_start, s_end)
         points = extent.near(points, p_chrom, p_pos, p_pos)
 
+    small_lookup = fits_broadcast(extent, lookup, max_rows)
+    if not small_lookup:
+        points, spans = _numbered_alike(points, "range_points"), _numbered_alike(spans, "range_spans")
     binned_spans = _with_span_bins(spans, s_chrom, s_start, s_end)
     keys = [_CHROM, _LEVEL, _BIN]
-    if fits_broadcast(extent, lookup, max_rows):
+    if small_lookup:
         if lookup == "points":
             joined = binned_spans.join(F.broadcast(_with_point_bins(points, p_chrom, p_pos)), keys)
         else:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,12 @@ SAMPLE_PER_FILE, SAMPLE_SEED = 60, 17
 BLOOM_VALUES = 100_000
 
 
+def behind_shuffle(df: DataFrame) -> bool:
+    """Rows of ``df`` come out of a shuffle: dear to compute again, and in another order each time."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.search("(?<!Broadcast)Exchange", plan) is not None
+
+
 def _width(kind: T.DataType) -> int:
     """Bytes that a value of a type takes, as a rule of thumb."""
     if isinstance(kind, T.StructType):
@@ -89,14 +96,16 @@ def write_clustered(
     """Write parquet range-partitioned and sorted by ``order``.
 
     Row groups then carry narrow min/max ranges, so a locus or sample range reads only its
-    own. Bounds come from the key columns alone, so ``df`` is computed in full only once;
-    ``keys_from`` is a smaller table with the same distribution of (some of) the keys, each of
+    own. Bounds come from the key columns alone, so ``df`` is computed in full only once (and
+    stored first where even its keys need a shuffle); ``keys_from`` is a smaller table with the same distribution of (some of) the keys, each of
     its rows standing for ``rows_per_key`` rows. The number of files follows from row count and
     width. Rows that agree in all order columns may still be many, so the source partition is
     the last range key: equal keys can spread over several files. ``bloom`` names columns that
     get a Bloom filter per row group, for point lookups that no order serves.
     """
     keys = [c for c in order if c in df.columns]
+    if keys_from is None and behind_shuffle(df):
+        df = written(df, "clustered-input")
     tagged = df.withColumn("__source", F.spark_partition_id())
     source = df if keys_from is None else keys_from
     have = [c for c in keys if c in source.columns]

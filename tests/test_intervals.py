@@ -153,3 +153,13 @@ def test_extent_keeps_every_possible_match(spark, contigs):
     )
     kept = {r["name"] for r in extent.near(spans, "chrom", "pos", "end_pos").collect()}
     assert set(range(contigs)) <= kept
+
+
+def test_rows_behind_a_shuffle_are_stored_before_they_are_dealt(spark, rows):
+    """Salts are row numbers, which a task that is run again must give alike."""
+    points = spark.range(200).select(F.lit("1").alias("chrom"), (F.col("id") % 50).cast("int").alias("pos")).distinct()
+    spans = spark.createDataFrame([("1", 5, 9), ("1", 7, 30)], "chrom string, pos int, end_pos int")
+    joined = R.point_in_span_join(points, spans, max_rows=0, hot_rows=1)
+    read = "".join(joined.inputFiles())
+    assert "range_points" in read and "range_spans" not in read
+    assert len(joined.collect()) == 5 + 24
