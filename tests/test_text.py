@@ -10,6 +10,7 @@ from helixframe.operators.joins import normalize_contigs
 from helixframe.operators.reshape import pivot_samples, unpivot_columns, unpivot_samples
 from helixframe.plans import loading as L
 from helixframe.plans.tables import gvcf_view
+from helixframe.registry import texts
 from helixframe.sinks import tables as K
 from helixframe.sources import dims as D
 from helixframe.sources import vcf as S
@@ -255,3 +256,45 @@ def test_append_and_materialize(spark, tmp_path, rows):
     K.materialize(a, "kept_table", str(tmp_path / "m"))
     assert spark.sql("select count(*) from kept_table").first()[0] == 1
     assert rows(K.duplicate_keys(K.append_all([a, b, a]), ["k"])) == [(1, 2)]
+
+
+def _many_files(spark, folder, samples):
+    """A file per sample and shard, of a header and two body lines, as the queries write them."""
+    keys = spark.range(samples).select(F.concat(F.lit("S"), "id").alias("sample_id")).crossJoin(
+        spark.range(2).select(F.col("id").cast("int").alias("shard"))
+    )
+    head = F.concat(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"), "sample_id")
+    body = [F.concat(F.lit(f"chr1\t{n}\t.\tA\tC\t.\tPASS\t.\tGT\t0/"), F.col("shard").cast("string")) for n in (7, 8)]
+    lines = keys.select("*", F.posexplode(F.array(head, *body)).alias("line", "value"))
+    texts.write_files(lines, ["sample_id", "shard"], ["line"], str(folder))
+
+
+def test_many_files_lie_in_few_packs(spark, tmp_path, rows):
+    """Files to open follow the tasks that wrote them; every member reads as a file of its own."""
+    _many_files(spark, tmp_path / "in", 60)
+    assert len(list((tmp_path / "in").rglob("part-*.txt"))) <= 8
+    file = F.regexp_extract("filename", r"(sample_id=[^/]+/shard=\d+)/part\.txt$", 1)
+    lines = S.scan_vcf_lines(spark, str(tmp_path / "in"))
+    assert lines.select("filename").distinct().count() == 120
+    got = rows(lines.where(file == "sample_id=S7/shard=1").select("line", F.split_part("text", F.lit("\t"), F.lit(2))))
+    assert got == [(1, "POS"), (2, "7"), (3, "8")]
+    assert rows(S.scan_vcf_headers(spark, str(tmp_path / "in")).groupBy("line").count()) == [(1, 120)]
+    lookup = S.sample_lookup(S.read_lines(spark, str(tmp_path / "in")))
+    assert lookup.where(~F.contains(file, F.col("sample_id"))).count() == 0 and lookup.count() == 120
+    some = S.select_files(spark, str(tmp_path / "in"), r"sample_id=S5\d/shard=0/")
+    assert rows(some.select(file.alias("f")).distinct()) == [(f"sample_id=S5{n}/shard=0",) for n in range(10)]
+
+
+def test_packs_lie_beside_plain_files(spark, multi, tmp_path, rows):
+    """A mark in a plain file is text; a file without a value for its folder keeps a name."""
+    plain = tmp_path / "vcf" / "odd.vcf"
+    plain.write_text("##a\x1fb\n")
+    texts.write_files(spark.sql("select cast(null as string) as k, '##c' as value, 1 as n"), ["k"], ["n"], multi)
+    got = rows(S.read_lines(spark, multi, r"odd\.vcf$|k=").select(F.substring_index("filename", "/", -2), "text"))
+    assert got == [("k=__HIVE_DEFAULT_PARTITION__/part.txt", "##c"), ("vcf/odd.vcf", "##a\x1fb")]
+
+
+def test_broadcast_side_is_no_shuffle(spark):
+    rows, few = spark.range(100), spark.range(9).select(F.col("id") % 5).toDF("id").distinct()
+    assert not K.behind_shuffle(rows.join(F.broadcast(few), "id", "left_anti"))
+    assert K.behind_shuffle(rows.groupBy((F.col("id") % 7).alias("id")).count().join(F.broadcast(few), "id"))
