@@ -9,10 +9,11 @@ addition and every run decides alike. A document is kept if its score reaches a
 that is fitted on labelled documents, unless the base rules reject it.
 
 Everything here is a native column expression. Within a document, repeated windows are found
-by sorting their hashes, never by comparing pairs; no row of text is shuffled.
+by sorting their hashes, never by comparing pairs.
 
-Labels are joined as a bounded sample: at most ``MAX_LABELLED`` ids, those with the smallest
-md5. Corpus counts cover every word of every document.
+Every labelled id takes part, and corpus counts cover every word of every document. Labels are
+broadcast to the texts within the session's bound; beyond it the texts of labelled documents,
+and only those, are shuffled to meet them.
 
 Null and empty texts have zero counts, no score (null) and are not kept. Without labels the ratio is zero
 everywhere and the base rules decide alone. Repeated rows are scored one by one; an empty
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.llm.common import VISIBLE, own_columns, shifted, text_or_empty, word_array, written
+from helixframe.session import broadcast_if_small, small
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -37,7 +39,6 @@ BINS = 1 << 16
 FEATURES = ("bin", "suffix_bin", "pair_bin")
 SUFFIX = 3
 SMOOTHING = 1.0
-MAX_LABELLED = 20_000
 TRUSTED_KEPT = 0.995
 SCALE = 1_000_000
 STEP = 10_000
@@ -102,38 +103,39 @@ def _words_exploded(docs: DataFrame, bins: int, *keep: str) -> DataFrame:
     )
 
 
-def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """One (``doc_id``, ``good``, ``counted``) row per labelled id, at most ``max_labelled``.
+def labelled_sample(labels: DataFrame) -> DataFrame:
+    """One (``doc_id``, ``good``, ``counted``) row for every labelled id.
 
     Half of them (by checksum) are counted into the trusted multinomial; the threshold is
     fitted on the other half, whose own words did not raise their scores.
     """
     rows = own_columns(labels, "doc_id", "quality").where("doc_id is not null and quality is not null")
     single = rows.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    return (
-        single.orderBy(F.md5(F.col("doc_id").cast("string")))
-        .limit(max_labelled)
-        .select(
-            "doc_id",
-            (F.col("quality") == 1).alias("good"),
-            (F.crc32(F.col("doc_id").cast("string")) % 2 == 0).alias("counted"),
-        )
+    return single.select(
+        "doc_id",
+        (F.col("quality") == 1).alias("good"),
+        (F.crc32(F.col("doc_id").cast("string")) % 2 == 0).alias("counted"),
     )
 
 
 def fit_ratios(docs: DataFrame, sample: DataFrame, bins: int = BINS) -> list[int]:
-    """Log ratio per bin, in millionths, from one pass over all documents.
+    """Log ratio per bin, in millionths, from one pass over all documents, and a second over the
+    trusted ones where their ids are too many to broadcast.
 
     The result of the counting is one row per bin, so at most ``bins`` rows come back.
     """
-    trusted = sample.where("good and counted").select("doc_id", "good")
-    marked = own_columns(docs, "doc_id", "text").join(F.broadcast(trusted), "doc_id", "left")
-    marked = marked.select("text", F.coalesce("good", F.lit(False)).cast("int").alias("good"))
+    texts = own_columns(docs, "doc_id", "text")
+    trusted, in_place = broadcast_if_small(sample.where("good and counted").select("doc_id", F.lit(1).alias("good")))
+    if in_place:
+        marked = texts.join(trusted, "doc_id", "left").select("text", F.lit(1).alias("raw"), F.coalesce("good", F.lit(0)).alias("good"))
+    else:
+        again = texts.join(trusted, "doc_id").select("text", F.lit(0).alias("raw"), "good")
+        marked = texts.select("text", F.lit(1).alias("raw"), F.lit(0).alias("good")).unionByName(again)
     counted = (
-        _words_exploded(marked, bins, "good")
-        .select("good", F.explode(F.array(*FEATURES)).alias("bin"))
+        _words_exploded(marked, bins, "raw", "good")
+        .select("raw", "good", F.explode(F.array(*FEATURES)).alias("bin"))
         .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("trusted"))
+        .agg(F.sum("raw").alias("raw"), F.sum("good").alias("trusted"))
         .collect()
     )
     raw, trusted = [0] * bins, [0] * bins
@@ -170,7 +172,7 @@ def fit_threshold(docs: DataFrame, sample: DataFrame, ratios: list[int], trusted
     The best difference of rates decides, but never so high that fewer than ``trusted_kept``
     of the good documents pass. Without documents of both kinds there is no threshold (None).
     """
-    held = F.broadcast(sample.where("not counted"))
+    held = small(sample.where("not counted"))
     scored = document_scores(own_columns(docs, "doc_id", "text").join(held, "doc_id"), ratios, "good")
     # A mean log ratio lies within +-20, hence at most 4,000 steps of a hundredth for each kind.
     steps = (
@@ -194,12 +196,12 @@ def fit_threshold(docs: DataFrame, sample: DataFrame, ratios: list[int], trusted
     return None if found is None else found * STEP
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, bins: int = BINS, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> DataFrame:
     """Statistics, score and verdict of every document; all columns of ``docs`` stay in front.
 
     Result columns that clash with a column of ``docs`` replace it.
     """
-    sample = written(labelled_sample(labels, max_labelled), "quality-labels")
+    sample = written(labelled_sample(labels), "quality-labels")
     ratios = fit_ratios(docs, sample, bins)
     threshold = fit_threshold(docs, sample, ratios)
     return apply_rules(docs, ratios, threshold)

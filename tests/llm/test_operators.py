@@ -441,3 +441,22 @@ def test_candidates_of_a_text_with_many_hits(spark):
     for c in rows[1]:
         assert c["hit"] == text[c["start"] : c["end"]] and c["after"] == text[c["end"] : c["end"] + 1]
         assert c["before"] == text[max(0, c["start"] - pii.CONTEXT) : c["start"]]
+
+
+def test_quality_takes_every_label(spark):
+    labels = spark.range(25_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    assert quality.labelled_sample(labels).count() == 25_000
+
+
+def test_quality_is_alike_beyond_the_broadcast_bound(spark, monkeypatch):
+    good = [(i, prose(i, 30)) for i in range(60)]
+    bad = [(100 + i, f"zzz qqq {i} " * 10) for i in range(60)] + [(3, "a second text of one id"), (None, "no id"), (5, None)]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in good + bad if i is not None], "doc_id long, quality int")
+    sample = quality.labelled_sample(labels)
+    ratios = quality.fit_ratios(docs, sample)
+    threshold = quality.fit_threshold(docs, sample, ratios)
+    monkeypatch.setattr(quality, "broadcast_if_small", lambda df: (df, False))
+    monkeypatch.setattr(quality, "small", lambda df: df)
+    assert any(ratios) and threshold is not None and quality.fit_ratios(docs, sample) == ratios
+    assert quality.fit_threshold(docs, sample, ratios) == threshold
