@@ -120,8 +120,10 @@ def fit_lexicon(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
     """Weights of terms and the exception phrases: as many as the bounded sample shows."""
     pairs = written(sample.select("text", "toxic").mapInArrow(_terms_of, "term string, before string, toxic int"), "toxicity-terms")
     contexts = pairs.groupBy("term", "before").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("all_toxic"))
-    counted = contexts.groupBy("term").agg(
-        F.sum("toxic").alias("bad"), F.sum(1 - F.col("all_toxic")).alias("other")
+    # Contexts are shuffled once: what follows reads one stored row per term.
+    counted = written(
+        contexts.groupBy("term").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("all_toxic")).alias("other")),
+        "toxicity-counts",
     )
     totals = counted.agg(F.sum("bad").alias("bad"), F.sum("other").alias("other")).first()
     if not totals["bad"] or not totals["other"]:
@@ -138,10 +140,10 @@ def fit_lexicon(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
     lexicon = {r["term"]: round(r["weight"], 6) for r in chosen}
     if not lexicon:
         return {}, []
-    terms = small(contexts.sparkSession.createDataFrame([(t,) for t in sorted(lexicon)], "term string"))
-    spared = (
-        contexts.join(terms, "term", "left_semi").where((F.col("toxic") == 0) & (F.col("before") != "")).collect()
-    )
+    terms = small(pairs.sparkSession.createDataFrame([(t,) for t in sorted(lexicon)], "term string"))
+    # Only the contexts of chosen terms meet again.
+    again = pairs.join(terms, "term", "left_semi").where(F.col("before") != "").groupBy("term", "before")
+    spared = again.agg(F.max("toxic").alias("toxic")).where("toxic = 0").collect()
     return lexicon, [f"{r['before']} {r['term']}" for r in spared]
 
 

@@ -328,6 +328,17 @@ def test_exceptions_are_not_cut(spark, monkeypatch):
     assert {"zorgle", "arble"} <= set(lexicon) and len(exceptions) > 2000 and "mild zorgle" in exceptions
 
 
+def test_contexts_are_shuffled_once(spark, monkeypatch):
+    """Totals and choice read stored counts; exceptions meet again for chosen terms alone."""
+    monkeypatch.setattr(toxicity, "MIN_WEIGHT", -9.0)
+    kept, written = [], toxicity.written
+    monkeypatch.setattr(toxicity, "written", lambda df, name: kept.append(name) or written(df, name))
+    rows = [(f"c{n}x zorgle", 1) for n in range(60)] + [(f"{w} fine", 0) for w in ("a", "b", "c")] + [("mild zorgle", 0)]
+    lexicon, exceptions = toxicity.fit_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert kept == ["toxicity-terms", "toxicity-counts"]
+    assert list(lexicon) == ["zorgle"] and exceptions == ["mild zorgle"]
+
+
 @pytest.mark.parametrize(
     "text,expected",
     [("Sсum", "scum"), ("1di0t!", "idiot "), ("l-o", "l-o"), ("pa$$ed b@d$$$ me", "passed bad  me"), (None, ""), ("a​b", "ab")],
