@@ -1,9 +1,10 @@
 """Sets of samples as bitmaps over numbered places.
 
-A panel gives each sample a place. A set is then one bitmap of 32768 bits per bucket of
-places, built where the rows are and merged as such, so distinct carriers are counted exactly
-without a sample name in any shuffle, and stored sets of sites merge into sets of regions or
-genes, which counts do not.
+A panel gives each sample a place. A set is then one word of 64 bits per bucket of places that
+has a member, built where the rows are and merged as such, so distinct carriers are counted
+exactly without a sample name in any shuffle, and stored sets of sites merge into sets of regions
+or genes, which counts do not. A set never takes more words than it has members, so memory
+follows the rows, however few of a large panel carry a site.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from helixframe.session import small
 
 PLACE, BUCKET, SET = "place", "bucket", "samples"
-BUCKET_BITS = 32768
+BUCKET_BITS = 64
 
 
 def sample_places(panel: DataFrame, sample: str = "sample_id") -> DataFrame:
@@ -40,19 +41,19 @@ def with_place(rows: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def _bucket() -> Column:
-    # Places begin at 0, Spark's bucket numbers and bit positions at 1.
-    return F.bitmap_bucket_number(F.col(PLACE) + 1).alias(BUCKET)
+    return F.floor(F.col(PLACE) / BUCKET_BITS).alias(BUCKET)
 
 
 def sample_sets(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Per key and bucket the bitmap of the samples at ``place``."""
-    bit = F.bitmap_construct_agg(F.bitmap_bit_position(F.col(PLACE) + 1))
-    return rows.groupBy(*[F.col(k) for k in keys], _bucket()).agg(bit.alias(SET))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col(PLACE), F.lit(BUCKET_BITS)).cast("int"))
+    marked = rows.select(*[F.col(k) for k in keys], _bucket(), bit.alias("bitmap"))
+    return marked.groupBy(*[F.col(k) for k in keys], BUCKET).agg(F.bit_or("bitmap").alias(SET))
 
 
 def merge_sets(sets: DataFrame, keys: list[str]) -> DataFrame:
     """Unions of sets over coarser keys."""
-    return sets.groupBy(*keys, BUCKET).agg(F.bitmap_or_agg(SET).alias(SET))
+    return sets.groupBy(*keys, BUCKET).agg(F.bit_or(SET).alias(SET))
 
 
 def common_sets(sets: DataFrame, keys: list[str]) -> DataFrame:
@@ -62,24 +63,22 @@ def common_sets(sets: DataFrame, keys: list[str]) -> DataFrame:
     """
     wanted = sets.select(*[c for c in sets.columns if c != SET and c != BUCKET]).distinct()
     members = wanted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__members"))
-    both = sets.groupBy(*keys, BUCKET).agg(F.bitmap_and_agg(SET).alias(SET), F.count(F.lit(1)).alias("__n"))
+    both = sets.groupBy(*keys, BUCKET).agg(F.bit_and(SET).alias(SET), F.count(F.lit(1)).alias("__n"))
     return both.join(members, keys).where(F.col("__n") == F.col("__members")).drop("__n", "__members")
 
 
 def count_sets(sets: DataFrame, keys: list[str], name: str = "carriers") -> DataFrame:
     """Samples per set."""
-    return sets.groupBy(*keys).agg(F.sum(F.bitmap_count(SET)).alias(name))
+    return sets.groupBy(*keys).agg(F.sum(F.bit_count(SET)).alias(name))
 
 
 def set_members(sets: DataFrame, places: DataFrame) -> DataFrame:
     """Sets as one row per sample, by name."""
     others = [c for c in sets.columns if c not in (SET, BUCKET)]
-    octets = sets.select(*others, BUCKET, F.posexplode(F.regexp_extract_all(F.hex(SET), F.lit(".."), F.lit(0))).alias("at", "hex"))
-    used = octets.where(F.col("hex") != "00").withColumn("octet", F.conv("hex", 16, 10).cast("int"))
-    bit = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("bit")
-    bits = used.select(*others, BUCKET, "at", "octet", bit).where(F.col("octet").bitwiseAND(F.call_function("shiftleft", F.lit(1), F.col("bit"))) != 0)
-    place = (F.col(BUCKET) - 1) * BUCKET_BITS + F.col("at") * 8 + F.col("bit")
-    return bits.select(*others, place.alias(PLACE)).join(small(places), PLACE).drop(PLACE)
+    bits = sets.select(*others, BUCKET, SET, F.explode(F.sequence(F.lit(0), F.lit(BUCKET_BITS - 1))).alias("bit"))
+    place = F.col(BUCKET) * BUCKET_BITS + F.col("bit")
+    held = bits.where(F.getbit(SET, F.col("bit")) == 1).select(*others, place.alias(PLACE))
+    return held.join(small(places), PLACE).drop(PLACE)
 
 
 def carriers_by_key(rows: DataFrame, places: DataFrame, keys: list[str], name: str = "carriers") -> DataFrame:

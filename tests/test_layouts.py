@@ -173,6 +173,18 @@ def test_sample_sets_count_merge_and_list(spark, rows):
     assert rows(more.where("place >= 70000")) == [("A", 70_000)]
 
 
+def test_a_set_takes_room_by_its_members(spark, rows):
+    """A few carriers of a large panel make small sets; every bit of a word is used."""
+    carried = spark.range(0, 70_000, 997).select((F.col("id") % 7).alias("pos"), F.col("id").alias("place"))
+    sets = B.sample_sets(carried.unionByName(spark.range(64).select(F.lit(9).alias("pos"), F.col("id").alias("place"))), ["pos"])
+    text = F.octet_length(F.col(B.SET).cast("string"))
+    assert sets.agg(F.sum(text)).first()[0] < 20 * 72
+    assert rows(B.count_sets(sets.where("pos = 9"), [])) == [(64,)]
+    places = spark.range(70_000).select(F.col("id").cast("string").alias("sample_id"), F.col("id").alias("place"))
+    held = B.set_members(sets.where("pos < 7"), places)
+    assert sorted(int(r["sample_id"]) for r in held.collect()) == list(range(0, 70_000, 997))
+
+
 def test_no_sample_name_is_shuffled(spark):
     places = B.sample_places(src.panel(spark, SF_DIR))
     counted = B.carriers_by_key(src.genotypes(spark, SF_DIR), K.written(places, "places"), ["chrom"])
