@@ -178,7 +178,9 @@ def read_by_sample(spark: SparkSession, target: str, schema) -> DataFrame:
 
 
 def write_genotypes(genotypes: DataFrame, by_locus: str, by_sample: str, **options) -> None:
-    """Both copies of a genotype table: by locus and by sample."""
+    """Both copies of a genotype table: by locus and by sample; rows out of a shuffle are computed once."""
+    if behind_shuffle(genotypes):
+        genotypes = written(genotypes, "clustered-input")
     write_clustered(genotypes, by_locus, LOCUS_ORDER, **options)
     write_by_sample(genotypes, by_sample, **options)
 

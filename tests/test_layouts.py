@@ -219,6 +219,19 @@ def test_cohort_updates_equal_a_recount(spark, tmp_path):
     assert _counts(again.counts) == _counts(shrunk.counts)
 
 
+def test_both_copies_start_from_one_stored_input(spark, tmp_path, monkeypatch):
+    kept, written = [], K.written
+    monkeypatch.setattr(K, "written", lambda df, name, path=None: kept.append(name) or written(df, name, path))
+    calls = spark.range(60).select(
+        F.lit("1").alias("chrom"), (F.col("id") % 20).cast("int").alias("pos"), F.lit("A").alias("ref"),
+        F.concat(F.lit("S"), F.col("id").cast("string")).alias("sample_id"), F.lit("0|1").alias("gt"),
+    )
+    by_locus, by_sample = str(tmp_path / "l"), str(tmp_path / "s")
+    K.write_genotypes(calls.groupBy(*calls.columns).agg(F.count("*").alias("n")), by_locus, by_sample)
+    assert kept == ["clustered-input"]
+    assert spark.read.parquet(by_locus).count() == spark.read.parquet(by_sample).count() == 60
+
+
 def test_a_shredded_path_reads_its_own_column(spark, tmp_path):
     text = F.concat(F.lit('{"AN":'), F.col("id").cast("string"), F.lit(',"AF":[0.5],"LONG":"'), F.repeat(F.sha2(F.col("id").cast("string"), 256), 20), F.lit('"}'))
     rows = spark.range(3000).select(F.lit("1").alias("chrom"), F.col("id").cast("int").alias("pos"), F.parse_json(text).alias("info"))
