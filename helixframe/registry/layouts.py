@@ -87,7 +87,7 @@ def _third(n):
 
 def update_cohort_counts(spark, sf):
     """Counts of a cohort that grew by two batches of samples."""
-    spans = src.spans(spark, sf)
+    spans = K.written(src.spans(spark, sf), "cohort-spans")
     paths = [new_scratch_path(spark, "cohort-state") for _ in range(3)]
     state = M.start_cohort(spans.where(_third(0)), paths[0])
     state = M.update_cohort(state, spans.where(~_third(2)), paths[1], added=spans.where(_third(1)))
@@ -97,7 +97,7 @@ def update_cohort_counts(spark, sf):
 
 def withdraw_samples(spark, sf):
     """Counts after some samples were withdrawn and others came in one update."""
-    spans = src.spans(spark, sf)
+    spans = K.written(src.spans(spark, sf), "cohort-spans")
     paths = [new_scratch_path(spark, "cohort-state") for _ in range(2)]
     state = M.start_cohort(spans.where(~_third(0)), paths[0])
     state = M.update_cohort(

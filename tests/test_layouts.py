@@ -8,6 +8,7 @@ from helixframe.operators.intervals import interval_join
 from helixframe.plans import maintenance as M
 from helixframe.plans.tables import gvcf_view
 from helixframe.registry import inputs as src
+from helixframe.registry import layouts as Q
 from helixframe.sinks import spans as W
 from helixframe.sinks import tables as K
 from helixframe.sinks import variants as V
@@ -219,6 +220,22 @@ def test_cohort_updates_equal_a_recount(spark, tmp_path):
     assert _counts(again.counts) == _counts(shrunk.counts)
 
 
+@pytest.mark.parametrize("query", [Q.update_cohort_counts, Q.withdraw_samples])
+def test_cohort_steps_read_stored_spans(spark, monkeypatch, query):
+    """The spans come out of a shuffle; no step of an update computes them again."""
+    class Started(Exception):
+        pass
+
+    def start(spans, path):
+        raise Started(K.behind_shuffle(spans))
+
+    monkeypatch.setattr(M, "start_cohort", start)
+    assert K.behind_shuffle(src.spans(spark, SF_DIR))
+    with pytest.raises(Started) as started:
+        query(spark, SF_DIR)
+    assert started.value.args == (False,)
+
+
 def test_both_copies_start_from_one_stored_input(spark, tmp_path, monkeypatch):
     kept, written = [], K.written
     monkeypatch.setattr(K, "written", lambda df, name, path=None: kept.append(name) or written(df, name, path))
