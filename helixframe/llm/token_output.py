@@ -28,6 +28,7 @@ ordered by text and each row is a document of its own; an empty table gives empt
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import zlib
@@ -56,6 +57,11 @@ RANGE_CHARS = 64
 # Blanks beside other white space need the slow cut: only behind a visible character.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CUT = re.compile(r"(?<=\S)(?= )")
+# Letters and digits that every Unicode version has as such, runs of which are a tokenizer's words;
+# pieces of them with single marks and line feeds between, and the parts that such a piece falls into.
+_LETTERS, _MARK = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "[.,;:!?]"
+_PLAIN = re.compile(f" ?[{_LETTERS}0-9]+(?:(?:{_MARK}|{_MARK}?\n)[{_LETTERS}0-9]+)*{_MARK}?")
+_PART = re.compile(f" ?[{_LETTERS}]+| ?[0-9]+|{_MARK}|\n")
 
 
 def pieces_of(text: str) -> list[str]:
@@ -71,11 +77,34 @@ def _joins(piece: str) -> bool:
     return len(piece) > 1 and piece[0] == " " and not piece[1].isspace() and not piece[-1].isspace()
 
 
+def _byte_names() -> dict[int, int]:
+    """The character by which a byte-level vocabulary names each byte: itself where it is visible."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+BYTE_NAMES = _byte_names()
+
+
+def _takes_words(tokenizer) -> bool:
+    """Nothing but the byte-level split stands between a plain piece and the tokenizer's model."""
+    about = json.loads(tokenizer.to_str())
+    split = about["pre_tokenizer"] or {}
+    letters = [t for t in about["added_tokens"] if not re.search(f"[^ {_LETTERS}0-9.,;:!?\n]", t["content"])]
+    return (
+        split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split["add_prefix_space"]
+        and about["normalizer"] is None and about["truncation"] is None and about["padding"] is None
+        and about["model"]["type"] == "BPE" and not about["model"]["dropout"] and not letters
+    )
+
+
 class PieceEncoder:
     """Tokenizer with a bounded cache of the serialized ids of pieces.
 
-    New pieces are encoded many at a time as one text, whose ids are parted again by the
-    bytes that each id stands for. The cache keeps two generations of ``CACHE_BYTES`` each, by
+    New plain pieces are parted into words, marks and line feeds, as the tokenizer would, and each new
+    part goes to its model. Other new pieces are encoded many at a time as one text, whose ids are parted
+    again by the bytes that each id stands for. The cache keeps two generations of ``CACHE_BYTES`` each, by
     the size of pieces and of ids as a rule of thumb; pieces above ``LONG_PIECE`` characters are not kept.
     """
 
@@ -91,6 +120,7 @@ class PieceEncoder:
         self.bytes_of = np.zeros(size, np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.bytes_of[i] = len(special[i].encode()) if i in special else len(token)
+        self.model = self.tokenizer.model if _takes_words(self.tokenizer) else None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.size = 0
@@ -103,6 +133,10 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
 
     def _learn(self, pieces: list[str]) -> None:
+        if self.model is not None:
+            parted = {p: _PART.findall(p) for p in pieces if len(p) <= LONG_PIECE and _PLAIN.fullmatch(p)}
+            self._encode_parts(set().union(*parted.values()).difference(self.known), parted)
+            pieces = [p for p in pieces if p not in parted]
         # A word and the mark behind it are split by the tokenizer: their ids follow each other.
         marked = [p for p in pieces if p[-1] in MARKS and len(p) <= LONG_PIECE and p[1:-1].isalpha() and p[0] == " "]
         if marked:
@@ -114,6 +148,23 @@ class PieceEncoder:
         else:
             self._encode(pieces)
 
+    def _encode_parts(self, new: set[str], parted: dict[str, list[str]]) -> None:
+        known, tokenize, ids, ends = self.known, self.model.tokenize, [], []
+        for part in new:
+            plain = part.isascii() and part != "\n"
+            name = part.replace(" ", "\u0120") if plain else part.encode().decode("latin-1").translate(BYTE_NAMES)
+            ids += [token.id for token in tokenize(name)]
+            ends.append(len(ids))
+        raw, width, start = np.array(ids, self.type).tobytes(), self.width, 0
+        for part, end in zip(new, ends):
+            known[part] = raw[start : end * width]
+            start = end * width
+        for piece, parts in parted.items():
+            if len(parts) > 1:
+                known[piece] = b"".join([known[p] for p in parts])
+        extra = new.difference(parted)
+        self.size += 3 * sum(map(len, extra)) + ENTRY_BYTES * len(extra)
+
     def _encode(self, pieces: list[str]) -> None:
         joined = [p for p in pieces if _joins(p)]
         for piece in pieces if not joined else set(pieces).difference(joined):

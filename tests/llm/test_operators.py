@@ -108,6 +108,25 @@ def test_token_round_trip(spark, wide, tmp_path):
     assert {r["dict_hash"] for r in segments.collect()} == {about[0]["hash"]}
 
 
+def test_plain_pieces_go_to_the_model_and_keep_their_ids(monkeypatch):
+    made = token_output.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    searched = []
+    encode = made._encode
+    monkeypatch.setattr(made, "_encode", lambda pieces: (searched.extend(pieces), encode(pieces)))
+    plain = [
+        "Word qwzx, word.\nNext line\nend: 2024 a1b22c \u00e9t\u00e9; na\u00efve!", "", "7", "a,b.c x", "\u0130stanbul \u01c5ep \u024f \u00df?",
+        "12345678901234567890 w" + "aeiou" * 40,
+    ]
+    odd = [
+        "don't can't'll x'S", "a\n\nb a.\n c", "e\u0301te\u0301 \u00b2x \u00d7y \u4e2d\u6587 a\u00a0b", "a.,b a..b ,a", "\nstart end\n", "  two  blanks ",
+        "a<|endoftext|>b", "x" * 3000, "\u0251a \u0434\u0430", "-a a- a_b 1.5%", "\u0378q",
+    ]
+    for texts, direct in ((plain, True), (odd, False), (plain + odd, False)):
+        for text, raw in zip(texts, made.encode_many(texts)):
+            assert np.frombuffer(raw, made.type).tolist() == made._ids(text).tolist(), text
+        assert not direct or searched == []
+
+
 def test_pieces_give_the_ids_of_the_text():
     import public_tokenizers
 
