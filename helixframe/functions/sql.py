@@ -13,8 +13,7 @@ from helixframe.operators.extent import LEVELS
 SQL_FUNCTIONS = {
     "gt_token": (
         "(gt STRING, n INT) RETURNS STRING",
-        "get(array_remove(CASE WHEN contains(gt, '|') THEN split(gt, '[|]') "
-        "ELSE split(gt, '/') END, ''), n - 1)",
+        "get(array_remove(split(gt, CASE WHEN contains(gt, '|') THEN r'\\|' ELSE '/' END), ''), n - 1)",
     ),
     "allele1": (
         "(ref STRING, alt ARRAY<STRING>, gt STRING) RETURNS STRING",
@@ -37,8 +36,8 @@ SQL_FUNCTIONS = {
     ),
     "allele_contained_in": (
         "(ref STRING, alt ARRAY<STRING>, gt STRING, target ARRAY<STRING>) RETURNS BOOLEAN",
-        "array_contains(target, allele1(ref, alt, gt)) "
-        "OR array_contains(target, allele2(ref, alt, gt))",
+        # A lambda keeps the calling projection out of one generated method too large to be compiled.
+        "exists(array(allele1(ref, alt, gt), allele2(ref, alt, gt)), a -> array_contains(target, a))",
     ),
     "allele_matches": (
         "(ref STRING, alt ARRAY<STRING>, gt STRING, target STRING) RETURNS BOOLEAN",

@@ -150,3 +150,26 @@ def test_sql_functions_agree(spark, calls):
     assert [r[0] for r in got] == [c[3] for c in REBASE[:-1]]
     one = spark.sql("select at_location(1, 3, 3), genokey('X', 5), is_homozygous('0|1')").first()
     assert tuple(one) == (True, 23_000_000_005, False)
+
+
+def test_sql_allele_contained_in_and_gt_token_on_odd_calls(spark):
+    """Same answers as the plain expressions, and no generated method that holds all functions."""
+    register_functions(spark)
+    calls = [None, "", ".", "0|1", "/1", "1/", "0/1|2", "|", "2|2", "./.", "3/1", "1"]
+    alts = [["C", "G"], ["A"], [None, "G"], None]
+    targets = [["C"], ["A", None], [], None, [None]]
+    data = [(g, a, t) for g in calls for a in alts for t in targets]
+    odd = spark.createDataFrame(data, "gt string, alt array<string>, target array<string>").withColumn("ref", F.lit("A"))
+    odd.createOrReplaceTempView("odd_calls")
+    got = spark.sql(
+        "select *, gt_token(gt, 1) as t1, gt_token(gt, 2) as t2, allele_contained_in(ref, alt, gt, target) as held from odd_calls"
+    )
+    first, second = (F.expr(f"get(array_remove(CASE WHEN contains(gt, '|') THEN split(gt, '[|]') ELSE split(gt, '/') END, ''), {i})") for i in (0, 1))
+    a1, a2 = (F.when(t == "0", F.col("ref")).otherwise(F.get("alt", t.try_cast("int") - 1)) for t in (first, second))
+    wanted = odd.select(
+        "*", first.alias("t1"), second.alias("t2"),
+        (F.array_contains("target", a1) | F.array_contains("target", a2)).alias("held"),
+    )
+    assert got.count() == len(data) and got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Project" in line and "*(" in line]
