@@ -15,6 +15,9 @@ from helixframe.sinks.tables import LOCUS_ORDER, read_clustered, write_clustered
 
 BASE_TABLES = ("region", "nation", "supplier", "part", "lineitem")
 
+# Line items that one task groups into calls, and the fewest that are worth a task.
+CALLS_PER_TASK, LEAST_PER_TASK = 500_000, 20_000
+
 # Declarations of the INFO keys that sites_fx uses.
 SITE_HEADER = (
     '##INFO=<ID=AC,Number=A,Type=Integer,Description="Allele count, per ALT">',
@@ -162,6 +165,17 @@ def forget_stored() -> None:
     _stored.clear()
 
 
+def spread_calls(lines: DataFrame) -> DataFrame:
+    """Line items dealt by (part, supplier), so that grouping them holds a bounded number in a task.
+
+    The number of tasks follows from the rows that the files' footers state, whatever the size
+    that adaptive execution merges shuffle partitions to.
+    """
+    rows, cores = lines.count(), lines.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-rows // CALLS_PER_TASK), min(cores, -(-rows // LEAST_PER_TASK)))
+    return lines.repartition(tasks, "l_partkey", "l_suppkey")
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One derived table as a DataFrame over the parquet tables below ``sf_dir``."""
     if (sf_dir, name) in _stored:
@@ -170,5 +184,8 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = with_fixtures(f"select * from {name}")
     for table in BASE_TABLES:
         if re.search(rf"\b(?:from|join) {table}\b", sql):
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+            rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+            if table == "lineitem":
+                rows = spread_calls(rows)
+            rows.createOrReplaceTempView(table)
     return spark.sql(sql)

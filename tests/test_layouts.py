@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from helixframe import fixtures
 from helixframe.operators import sample_sets as B
 from helixframe.operators.intervals import interval_join
 from helixframe.plans import maintenance as M
@@ -260,3 +261,15 @@ def test_a_shredded_path_reads_its_own_column(spark, tmp_path):
     assert "ReadSchema" in plan and "variant" not in plan.split("ReadSchema:")[1].split("\n")[0].lower().replace("try_variant", "")
     long = stored.where("pos = 7").select(F.try_variant_get("info", "$.LONG", "string").alias("x"))
     assert len(long.first()["x"]) == 1280
+
+
+def test_grouping_calls_holds_a_bounded_number_in_a_task(spark, tmp_path, monkeypatch):
+    """Tasks that group line items into calls follow from their number, not from merged shuffle partitions."""
+    rows = [(n % 300, n // 300, n, float(n % 50), n % 7 + 1) for n in range(6000)]
+    rows += [(None, 1, 1, 1.0, 1), (1, None, 1, 1.0, 1), rows[0]]
+    columns = "l_partkey long, l_suppkey long, l_orderkey long, l_quantity double, l_linenumber int"
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(fixtures, "CALLS_PER_TASK", 200)
+    calls = fixtures.fixture(spark, str(tmp_path), "calls_fx")
+    held = calls.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert held[0] <= 400 and held[1] == 6002
