@@ -1,5 +1,8 @@
 """Clustered writes, the span layout, Bloom filters, sample sets and cohort maintenance."""
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +76,40 @@ def test_clustered_write_takes_nulls_ties_and_arrays(spark, tmp_path, rows):
     assert K.read_clustered(spark, str(tmp_path / "none"), df.schema).count() == 0
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {x for x in files.mkString("\n").split("\n") if "shuffle_" in x and x.endswith(".data")}
+
+
+@pytest.mark.parametrize("partition_by", ["chrom", None])
+def test_a_write_in_passes_gives_the_same_files(spark, tmp_path, monkeypatch, partition_by):
+    """No pass shuffles all rows, and every range of files is written once."""
+    base = spark.range(6000).select((F.col("id") % 3).cast("string").alias("chrom"), (F.col("id") * 7 % 6000).cast("int").alias("pos"))
+    base.write.parquet(str(tmp_path / "base"))
+    stored, spread = spark.read.parquet(str(tmp_path / "base")), []
+    for most in (100_000, 2000):
+        monkeypatch.setattr(K, "ROWS_PER_PASS", most)
+        K.write_clustered(stored, str(tmp_path / str(most)), ("chrom", "pos"), partitions=5, partition_by=partition_by)
+        got = spark.read.schema("pos int, chrom string").parquet(str(tmp_path / str(most)))
+        files = got.groupBy(F.input_file_name().alias("f"), "chrom").agg(F.min("pos"), F.max("pos"), F.count("*"))
+        spread.append(sorted(tuple(r)[1:] for r in files.collect()))
+    assert spread[0] == spread[1] and sum(r[-1] for r in spread[0]) == 6000
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    """The disk holds the shuffle of one step, not of all steps so far."""
+    rows = spark.range(200_000).select((F.col("id") % 7).cast("string").alias("chrom"), F.col("id").cast("int").alias("pos"))
+    rows.write.parquet(str(tmp_path / "base"))
+    before = _shuffle_files(spark)
+    counts = K.written(spark.read.parquet(str(tmp_path / "base")).groupBy("pos").count(), "counts", str(tmp_path / "w"))
+    K.write_clustered(counts.withColumn("chrom", F.lit("1")), str(tmp_path / "c"), ("chrom", "pos"), partitions=4)
+    until = time.time() + 20
+    while (left := _shuffle_files(spark) - before) and sum(os.path.getsize(x) for x in left if os.path.exists(x)) > 100_000 and time.time() < until:
+        time.sleep(0.2)
+    assert sum(os.path.getsize(x) for x in left if os.path.exists(x)) < 100_000
+    assert counts.count() == 200_000
+
+
 def test_bounds_from_a_smaller_table(spark, tmp_path):
     sites = spark.range(1000).select(F.lit("1").alias("chrom"), F.col("id").cast("int").alias("pos"))
     calls = sites.withColumn("sample_id", F.explode(F.array(*[F.lit(f"S{n}") for n in range(50)])))

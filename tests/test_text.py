@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import fields as V
 from helixframe.operators.joins import normalize_contigs
-from helixframe.operators.reshape import pivot_samples, unpivot_columns, unpivot_samples
+from helixframe.operators.reshape import filled_text, pivot_samples, unpivot_columns, unpivot_samples
 from helixframe.plans import loading as L
 from helixframe.plans.tables import gvcf_view
 from helixframe.registry import texts
@@ -64,6 +64,15 @@ def test_pivot_keeps_keys_of_unlisted_samples(spark, rows):
     assert got == [(1, "y", "z"), (2, None, None)]
 
 
+def test_gaps_between_places_are_filled(spark):
+    df = spark.sql("select explode(array(array(), array(0, 3), array(1), array(0, 1, 2, 3))) as at")
+    cells = F.transform("at", lambda p: F.struct(p.cast("int").alias("place"), F.concat(F.lit("v"), p.cast("string")).alias("__value")))
+    got = [r[0].split("\t") for r in df.select(filled_text(cells, F.lit(4), "./.")).collect()]
+    none = "./."
+    assert got == [[none] * 4, ["v0", none, none, "v3"], [none, "v1", none, none], ["v0", "v1", "v2", "v3"]]
+    assert df.select(filled_text(cells, F.lit(0), ".")).first()[0] == ""
+
+
 def test_headers_and_lookup(spark, multi, rows):
     headers = S.scan_vcf_headers(spark, multi)
     assert rows(headers, "vcfname", "line") == [("chr1", 1), ("chr1", 2), ("chrY", 1)]
@@ -258,7 +267,7 @@ def test_append_and_materialize(spark, tmp_path, rows):
     assert rows(K.duplicate_keys(K.append_all([a, b, a]), ["k"])) == [(1, 2)]
 
 
-def _many_files(spark, folder, samples):
+def _many_files(spark, folder, samples, **options):
     """A file per sample and shard, of a header and two body lines, as the queries write them."""
     keys = spark.range(samples).select(F.concat(F.lit("S"), "id").alias("sample_id")).crossJoin(
         spark.range(2).select(F.col("id").cast("int").alias("shard"))
@@ -266,7 +275,25 @@ def _many_files(spark, folder, samples):
     head = F.concat(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"), "sample_id")
     body = [F.concat(F.lit(f"chr1\t{n}\t.\tA\tC\t.\tPASS\t.\tGT\t0/"), F.col("shard").cast("string")) for n in (7, 8)]
     lines = keys.select("*", F.posexplode(F.array(head, *body)).alias("line", "value"))
-    texts.write_files(lines, ["sample_id", "shard"], ["line"], str(folder))
+    texts.write_files(lines, ["sample_id", "shard"], ["line"], str(folder), **options)
+
+
+def test_slices_of_compressed_packs_hold_every_file_once(spark, tmp_path, rows):
+    """The text takes less disk than its lines, and slices change no file."""
+    _many_files(spark, tmp_path / "whole", 60)
+    _many_files(spark, tmp_path / "sliced", 60, slices=3)
+    file = F.regexp_extract("filename", r"(sample_id=[^/]+/shard=\d+)/part\.txt$", 1)
+    whole, sliced = (S.scan_vcf_lines(spark, str(tmp_path / n)).select(file, "line", "text") for n in ("whole", "sliced"))
+    assert rows(whole) == rows(sliced) and whole.count() == 360
+    size = sum(p.stat().st_size for p in (tmp_path / "whole").rglob("part-*"))
+    assert size < sum(len(r["text"]) for r in whole.collect())
+
+
+def test_line_items_are_grouped_once_for_text(spark, monkeypatch):
+    """Stored lines name the files: no second shuffle of line items for the headers."""
+    lines = texts.gvcf_lines(spark, "/root/testdata/sf0.001")
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "gvcf-lines" in plan and "lineitem" not in plan
 
 
 def test_many_files_lie_in_few_packs(spark, tmp_path, rows):
