@@ -293,6 +293,40 @@ def test_ngram_join_of_large_groups(spark, monkeypatch, short_list, block):
     assert sorted(map(tuple, ngram_join.ngram_components(df).collect())) == expected
 
 
+def test_counts_of_sets_bound_their_overlap():
+    """No linked pair is parted; unlike long sets are, which fixed ranges could not tell apart."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (20_000, 20_000, 20_100, 90, 100, 17_000)]
+    near = np.unique(np.concatenate([sets[0][:19_000], rng.integers(0, 2**63, 700).astype(np.uint64)]))
+    sets = sorted([*sets, near, sets[3]], key=len)
+    sizes, packed = np.array([len(x) for x in sets]), [ngram_join._bin_counts(x) for x in sets]
+    label = ngram_join.sketch_groups(sizes, packed)
+    for i, j in ngram_join.linked_pairs(sets):
+        assert label[i] == label[j]
+    assert len(set(label[sizes > 1000])) == 4
+    wide = np.full(1000, 7, np.uint64)
+    assert ngram_join._bins_of(ngram_join._bin_counts(wide)).sum() == 1000
+
+
+def test_texts_of_a_large_cluster_are_sent_few_times(spark, monkeypatch):
+    """Blocks of one near-copy group: text rows that meet grow with the group, not with its square."""
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 5)
+    met, decided = [], ngram_join._decided_links
+
+    def counting(units, percent):
+        met.append(units.count())
+        return decided(units, percent)
+
+    monkeypatch.setattr(ngram_join, "_decided_links", counting)
+    rng, base = random.Random(4), prose(3, 120).split()
+    docs = {n: " ".join(w if rng.random() > 0.01 else f"edit{n}" for w in base) for n in range(80)}
+    docs |= {100 + n: " ".join(base[:-30] + [f"tail{n}x{k}" for k in range(30)]) for n in range(3)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    expected = sorted((i, *r) for i, r in brute.near_copies(docs).items())
+    assert sorted(map(tuple, ngram_join.ngram_components(df).collect())) == expected
+    assert sum(met) < 6 * len(docs)
+
+
 def test_shingle_sets_of_long_and_joined_texts(monkeypatch):
     texts = [prose(1, 300), "", None, "one", "A b\tC\nd e", prose(2, 50)]
     whole = list(shingles.shingle_sets(texts))
