@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import fields as V
 from helixframe.operators.joins import normalize_contigs
-from helixframe.operators.reshape import filled_text, pivot_samples, unpivot_columns, unpivot_samples
+from helixframe.operators.reshape import filled_text, pivot_samples, pivot_text, unpivot_columns, unpivot_samples
 from helixframe.plans import loading as L
 from helixframe.plans.tables import gvcf_view
 from helixframe.registry import texts
@@ -73,6 +73,21 @@ def test_gaps_between_places_are_filled(spark):
     assert df.select(filled_text(cells, F.lit(0), ".")).first()[0] == ""
 
 
+def test_pivoted_rows_move_once_and_before_their_text(spark):
+    """One shuffle by key and one by order, both of present values: no exchange stands above the text."""
+    df = spark.sql("select cast(id div 100 as string) as chrom, id as pos, concat('S', id % 3) as sample_id, id as v from range(9)")
+    panel = spark.sql("select concat('S', id) as sample_id from range(4)")
+    got = pivot_text(df, ["chrom", "pos"], panel, F.col("v"), order=("chrom", "pos"))
+    assert [r["values"] for r in got.collect()][:4] == ["0\t.\t.\t.", ".\t1\t.\t.", ".\t.\t2\t.", "3\t.\t.\t."]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = pivot_text(df, ["chrom", "pos"], panel, F.col("v"), order=("chrom", "pos"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(chrom" in line or "Exchange rangepartitioning" in line]
+    assert len(moved) == 2 and "repeat(" in plan.split("rangepartitioning")[0]
+
+
 def test_headers_and_lookup(spark, multi, rows):
     headers = S.scan_vcf_headers(spark, multi)
     assert rows(headers, "vcfname", "line") == [("chr1", 1), ("chr1", 2), ("chrY", 1)]
